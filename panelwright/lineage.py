@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,3 +33,10 @@ def cut(df: DataFrame) -> DataFrame:
     """Write the frame to the reliable checkpoint folder and drop its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for written tables, next to the checkpoints, so that every
+    executor can reach it."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

@@ -61,18 +61,21 @@ def write_parquet(
     writer.parquet(path)
 
 
-def read_polygons(spark: SparkSession, path: str, id_property: str) -> DataFrame:
+def read_polygons(
+    spark: SparkSession, path: str, id_property: str, one_document: bool = True
+) -> DataFrame:
     """GeoJSON features as one row per group: outer vertices, centroid, bounds.
 
     Polygons and multipolygons are both read; the parts of a multipolygon are
-    put together into one vertex list.
+    put together into one vertex list. Without `one_document` every line is a
+    collection of its own, which lets Spark split a large file.
     """
     ring = "array<array<double>>"
     schema = (
         "features array<struct<"
         f"properties: map<string,string>, geometry: struct<type: string, coordinates: string>>>"
     )
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
+    raw = spark.read.schema(schema).option("multiLine", one_document).json(path)
     feature = raw.select(F.explode("features").alias("f")).select(
         F.col("f.properties")[id_property].cast("long").alias(id_property),
         F.col("f.geometry.type").alias("kind"),
@@ -124,10 +127,12 @@ def vertex_bounds(vertices: str):
     ]
 
 
-def read_cells(spark: SparkSession, path: str, variable: str) -> DataFrame:
+def read_cells(
+    spark: SparkSession, path: str, variable: str, one_document: bool = True
+) -> DataFrame:
     """JSON `{"cells": [{"gid", "year", "value"}]}` in long form."""
     schema = "cells array<struct<gid: long, year: int, value: double>>"
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
+    raw = spark.read.schema(schema).option("multiLine", one_document).json(path)
     return (
         raw.select(F.explode("cells").alias("c"))
         .select("c.*")

@@ -1,0 +1,6 @@
+"""Queries over the given tables, one or more per operator, with SQL twins."""
+
+from panelwright.workload import aggregates, columns, joins  # noqa: F401
+from panelwright.workload.base import REGISTRY
+
+__all__ = ["REGISTRY"]
