@@ -1,6 +1,15 @@
 """Queries over the given tables, one or more per operator, with SQL twins."""
 
-from panelwright.workload import aggregates, columns, gaps, joins, series, space  # noqa: F401
+from panelwright.workload import (  # noqa: F401
+    aggregates,
+    columns,
+    forecasting,
+    gaps,
+    joins,
+    scoring,
+    series,
+    space,
+)
 from panelwright.workload.base import REGISTRY
 
 __all__ = ["REGISTRY"]

@@ -274,9 +274,10 @@ def _(t):
            FROM (SELECT *, sum(CASE WHEN prev <> 0 THEN 1 ELSE 0 END) {BY_TIME} AS block
              FROM (SELECT *, lag(hit) {BY_TIME} AS prev FROM (SELECT t, g, (total >= 4000000)::INT AS hit, total
                FROM nation_month))))) p
-       JOIN (SELECT a.t, a.g, sum((b.total >= 4000000)::INT) AS near FROM nation_month a JOIN nation_month b
-         ON a.t = b.t AND a.g <> b.g AND abs(a.g % 5 - b.g % 5) <= 1 AND abs(a.g // 5 - b.g // 5) <= 1
-         GROUP BY 1, 2) n ON n.t = p.t AND n.g = p.g""",
+       JOIN (SELECT a.t, a.g, CASE WHEN count(*) = count(b.g) THEN sum((b.total >= 4000000)::INT) END AS near
+         FROM nation_month a JOIN nation c
+         ON a.g <> c.n_nationkey AND abs(a.g % 5 - c.n_nationkey % 5) <= 1 AND abs(a.g // 5 - c.n_nationkey // 5) <= 1
+         LEFT JOIN nation_month b ON b.t = a.t AND b.g = c.n_nationkey GROUP BY 1, 2) n ON n.t = p.t AND n.g = p.g""",
     ["nation_month"],
 )
 def _(t):

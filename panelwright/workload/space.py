@@ -39,12 +39,12 @@ def _(t):
 @query(
     "neighbours_of_higher_order",
     "SP5",
-    "g:l n:l order:l",
-    f"SELECT g, n, ring AS \"order\" FROM ({NATION_PAIRS}) WHERE ring BETWEEN 2 AND 3",
+    "g:l n:l ring:l",
+    f"SELECT g, n, ring FROM ({NATION_PAIRS}) WHERE ring BETWEEN 2 AND 3",
 )
 def _(t):
     adjacency = SP.polygon_neighbours(_nation_polygons(t), "g", "vertices")
-    return SP.neighbours_of_order(adjacency, 2, 3)
+    return SP.neighbours_of_order(adjacency, 2, 3).withColumnRenamed("order", "ring")
 
 
 @query(
