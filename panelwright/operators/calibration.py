@@ -42,11 +42,16 @@ def fit_logit(
 ) -> tuple[float, float]:
     """Intercept and slope of a logit by Newton's method.
 
-    Each round is one aggregate of six sums over the frame; only these sums
-    reach the driver. A step that lowers the likelihood is halved, and the
-    number of rounds is bounded, so separated data ends too.
+    Equal rows are first combined into one with a count, as many rows of a
+    sparse panel get the same prediction. Each round is one aggregate of six
+    sums; only these sums reach the driver. A step that lowers the likelihood
+    is halved, and the number of rounds is bounded, so separated data ends too.
     """
-    rows = df.select(F.col(y).cast("double").alias("y"), F.col(x).cast("double").alias("x")).persist()
+    rows = (
+        df.groupBy(F.col(y).cast("double").alias("y"), F.col(x).cast("double").alias("x"))
+        .agg(F.count(F.lit(1)).cast("double").alias("n"))
+        .persist()
+    )
     try:
 
         def sums(b0: float, b1: float):
@@ -55,13 +60,15 @@ def fit_logit(
             w = p * (F.lit(1.0) - p)
             # log(1 + exp(eta)) without overflow
             soft = F.greatest(eta, F.lit(0.0)) + F.log1p(F.exp(-F.abs(eta)))
+            n, x = F.col("n"), F.col("x")
+            miss = n * (F.col("y") - p)
             return rows.agg(
-                F.sum(F.col("y") - p),
-                F.sum((F.col("y") - p) * F.col("x")),
-                F.sum(w),
-                F.sum(w * F.col("x")),
-                F.sum(w * F.col("x") * F.col("x")),
-                F.sum(F.col("y") * eta - soft),
+                F.sum(miss),
+                F.sum(miss * x),
+                F.sum(n * w),
+                F.sum(n * w * x),
+                F.sum(n * w * x * x),
+                F.sum(n * (F.col("y") * eta - soft)),
             ).first()
 
         b0 = b1 = 0.0

@@ -63,15 +63,17 @@ class Ebma:
 
 
 def em_round(likelihoods: Sequence[Column], weights: Sequence[float], const: float) -> list[Column]:
-    """Aggregates of one EM round: the mean responsibility of each model and
-    the log-likelihood at the weights it started from."""
+    """Aggregates of one EM round over rows with a count `n`: the mean
+    responsibility of each model and the log-likelihood at the old weights."""
     k = len(weights)
     parts = [F.lit(w) * g for w, g in zip(weights, likelihoods)]
     total = sum(parts[1:], parts[0])
+    n = F.col("n")
     shares = [
-        F.avg(F.lit(const / k) + F.lit(1 - const) * part / total) for part in parts
+        F.sum(n * (F.lit(const / k) + F.lit(1 - const) * part / total)) / F.sum(n)
+        for part in parts
     ]
-    return [*shares, F.sum(F.log(total))]
+    return [*shares, F.sum(n * F.log(total))]
 
 
 def fit_weights(
@@ -84,12 +86,16 @@ def fit_weights(
 ) -> tuple[list[float], int, float]:
     """Mixture weights by EM from equal ones.
 
-    A round is one aggregate over the cached calibration rows; the weights are
-    all that reaches the driver.
+    Rows with the same likelihoods are first combined into one with a count.
+    A round is one aggregate over these cached rows; the weights are all that
+    reaches the driver.
     """
     y = F.col(actual).cast("double")
-    hit = [F.when(y == 1, clip_unit(c)).otherwise(F.lit(1.0) - clip_unit(c)).alias(f"g{i}") for i, c in enumerate(cols)]
-    rows = df.select(*hit).persist()
+    hit = [
+        F.when(y == 1, clip_unit(c)).otherwise(F.lit(1.0) - clip_unit(c)).alias(f"g{i}")
+        for i, c in enumerate(cols)
+    ]
+    rows = df.groupBy(*hit).agg(F.count(F.lit(1)).cast("double").alias("n")).persist()
     try:
         weights = [1.0 / len(cols)] * len(cols)
         before = None

@@ -139,22 +139,40 @@ def combine_steps(
 
 
 def permuted(
-    df: DataFrame, panel: Panel, feature: str, repeats: int, seed: int
+    df: DataFrame, panel: Panel, features: Sequence[str], repeats: int, seed: int
 ) -> DataFrame:
-    """The frame `repeats` times, each with the feature's values shuffled.
+    """The frame once per feature and repeat, with that feature's values shuffled.
 
-    Two hash orders of the same rows are numbered without a global sort and
-    joined on the number, which is a permutation that any run repeats.
+    Rows are numbered in one hash order, the values of each feature and repeat
+    in another; joining on the number is a permutation that any run repeats.
+    All features and repeats go through the same two numberings and one join.
     """
-    frames = []
-    for r in range(repeats):
-        rows = with_rank(df, digest(*panel.keys, seed), panel.keys, "_place")
-        values = with_rank(
-            df.select(*panel.keys, F.col(feature).alias("_value")),
-            digest(*panel.keys, F.lit(feature), r, seed),
-            panel.keys,
-            "_place",
-        ).select("_place", "_value")
-        shuffled = rows.join(values, "_place").withColumn(feature, F.col("_value"))
-        frames.append(shuffled.select(*df.columns).withColumn("repeat", F.lit(r)))
-    return union_all(frames)
+    rows = with_rank(df, digest(*panel.keys, seed), panel.keys, "_place")
+    columns = F.array(
+        *[
+            F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_value"))
+            for f in features
+        ]
+    )
+    values = (
+        df.select(*panel.keys, F.explode(columns).alias("v"))
+        .select(
+            *panel.keys,
+            "v.*",
+            F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"),
+        )
+    )
+    placed = with_rank(
+        values,
+        digest(*panel.keys, F.col("feature"), F.col("repeat"), seed),
+        panel.keys,
+        "_place",
+        by=["feature", "repeat"],
+    ).select("feature", "repeat", "_place", "_value")
+    swapped = [
+        F.when(F.col("feature") == c, F.col("_value")).otherwise(F.col(c).cast("double")).alias(c)
+        if c in features
+        else F.col(c)
+        for c in df.columns
+    ]
+    return rows.join(placed, "_place").select(*swapped, "feature", "repeat")

@@ -155,6 +155,28 @@ def assign_into(
     return joined.select(*kept, *added)
 
 
+def assign_all_into(
+    target: DataFrame, sources: Sequence[DataFrame], panel: Panel
+) -> DataFrame:
+    """Upsert several sources one after the other, with one aggregate and join.
+
+    The value of the last source that has one wins, and the target's own value
+    stays where none has. Sources may have different columns and keys.
+    """
+    numbered = [s.withColumn("_turn", F.lit(i)) for i, s in enumerate(sources)]
+    stacked = numbered[0]
+    for frame in numbered[1:]:
+        stacked = stacked.unionByName(frame, allowMissingColumns=True)
+    cols = [c for c in stacked.columns if c not in (*panel.keys, "_turn")]
+    last = stacked.groupBy(*panel.keys).agg(
+        *[
+            F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_turn"))).alias(c)
+            for c in cols
+        ]
+    )
+    return assign_into(target, last, panel)
+
+
 def keys_missing_in(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the left side that the right side does not have."""
     return left.select(*keys).join(right.select(*keys), list(keys), "left_anti")

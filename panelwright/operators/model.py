@@ -276,11 +276,9 @@ class StepModel:
         results = []
         for sample, part in (("train", period.in_train(t)), ("test", period.in_predict(t))):
             rows = shifted.filter(part)
-            variants = [rows.withColumns({"repeat": F.lit(-1), "feature": F.lit("")})] + [
-                permuted(rows, self.panel, f, repeats, seed).withColumn("feature", F.lit(f))
-                for f in self.cols_features
-            ]
-            scored = pipeline.transform(union_all(variants))
+            plain = rows.withColumns({"feature": F.lit(""), "repeat": F.lit(-1)})
+            shuffled = permuted(rows, self.panel, self.cols_features, repeats, seed)
+            scored = pipeline.transform(union_all([plain, shuffled]))
             scores = scored.groupBy("feature", "repeat").agg(
                 metric(F.col(self.col_outcome).cast("double"), F.col("prediction")).alias("score")
             )

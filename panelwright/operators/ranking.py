@@ -57,22 +57,24 @@ def with_rank(
     ties: Sequence[str],
     out: str = "_rank",
     limit: Column | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Number all rows 1..N in the order of a hex digest.
+    """Number all rows 1..N in the order of a hex digest, per group of `by`.
 
     The digest spreads rows evenly over the buckets, so no bucket is hot. The
-    bucket table has at most 16^4 rows, which is the bound for broadcasting it.
-    With `limit` whole buckets beyond it are dropped before anything is sorted.
+    bucket table has at most 16^4 rows, which is the bound for broadcasting it
+    when there are no groups. With `limit` whole buckets beyond it are dropped
+    before anything is sorted.
     """
     df = df.withColumn("_digest", order).withColumn(
         "_bucket", F.substring("_digest", 1, BUCKET_DIGITS)
     )
-    starts = _bucket_starts(df, [])
-    ranked = df.join(F.broadcast(starts), "_bucket")
+    starts = _bucket_starts(df, by)
+    ranked = df.join(starts if by else F.broadcast(starts), [*by, "_bucket"])
     if limit is not None:
         ranked = ranked.filter(F.col("_start") < limit)
     inside = F.row_number().over(
-        Window.partitionBy("_bucket").orderBy("_digest", *ties)
+        Window.partitionBy(*by, "_bucket").orderBy("_digest", *ties)
     )
     ranked = ranked.withColumn(out, F.col("_start") + inside)
     if limit is not None:

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.operators.joins import assign_into
+from panelwright.lineage import cut
+from panelwright.operators.joins import assign_all_into
 from panelwright.operators.model import Ensemble, StepModel
 from panelwright.panel import Panel, Period
 
@@ -37,27 +38,38 @@ def predict_models(
 ) -> DataFrame:
     """One prediction table of all models: raw, test and calibrated columns.
 
-    Missing features count as 0. Each pair's predictions are put into the table
-    by key where they have a value, so a period that is test in one pair and
-    calibration in the next is written once.
+    Missing features count as 0. A model predicts each period once, though it
+    is test in one pair and calibration in the next; its predictions are
+    written before they are calibrated and merged, so the plan of a run does
+    not grow with the number of models that came before. All parts are then
+    put into the table by key with one aggregate.
     """
     pairs = period_pairs(periods)
     panel = models[0].panel
-    table = prediction_rows(df, panel, pairs)
-    for calib, test in pairs:
-        for model in models:
-            data = df.select(
-                *panel.keys,
-                *[
-                    F.coalesce(c, F.lit(0)).alias(c)
-                    for c in sorted({*model.cols_features, model.col_outcome})
-                ],
+    used = list({p.name: p for pair in pairs for p in pair}.values())
+    parts: list[DataFrame] = []
+    for model in models:
+        data = df.select(
+            *panel.keys,
+            *[
+                F.coalesce(c, F.lit(0)).alias(c)
+                for c in sorted({*model.cols_features, model.col_outcome})
+            ],
+        )
+        raw = cut(model.predict(data, periods=used))
+        parts.append(raw)
+        for calib, test in pairs:
+            t = F.col(panel.time)
+            parts.append(
+                model.calibrate(
+                    data,
+                    raw.filter(calib.in_predict(t)),
+                    raw.filter(test.in_predict(t)),
+                    calib,
+                    test,
+                )
             )
-            raw_calib, raw_test = model.predict(data, calib), model.predict(data, test)
-            calibrated = model.calibrate(data, raw_calib, raw_test, calib, test)
-            for part in (raw_calib, raw_test, calibrated):
-                table = assign_into(table, part, panel)
-    return table
+    return assign_all_into(prediction_rows(df, panel, pairs), parts, panel)
 
 
 def predict_ensembles(
@@ -69,10 +81,8 @@ def predict_ensembles(
     """Ensemble columns next to those of the models they combine."""
     pairs = period_pairs(periods)
     panel = ensembles[0].panel
+    predictions = cut(predictions)
     outcomes = sorted({c for e in ensembles for c in e.cols_needed if c not in predictions.columns})
     inputs = predictions.join(df.select(*panel.keys, *outcomes), panel.keys, "left")
-    table = prediction_rows(df, panel, pairs)
-    for calib, test in pairs:
-        for ensemble in ensembles:
-            table = assign_into(table, ensemble.predict(inputs, calib, test), panel)
-    return table.join(predictions, panel.keys, "left")
+    parts = [e.predict(inputs, calib, test) for calib, test in pairs for e in ensembles]
+    return assign_all_into(predictions, parts, panel)

@@ -9,6 +9,7 @@ from panelwright.workload import (  # noqa: F401
     scoring,
     series,
     space,
+    staging,
 )
 from panelwright.workload.base import REGISTRY
 

@@ -190,10 +190,10 @@ def _simple_linear(t):
     "linear_model_predictions",
     ("MO2", "MO5", "U2"),
     "t:l g:l ss_ols_2:d sc_ols:d",
-    f"""SELECT t, g, p AS ss_ols_2, first_value(p) OVER (PARTITION BY g, period ORDER BY t = at DESC) AS sc_ols FROM (
-         SELECT k.t, k.g, c.period, c.at, c.a + c.b * x.n_events AS p
+    f"""SELECT t, g, p AS ss_ols_2, first_value(p) OVER (PARTITION BY g, period ORDER BY (t = mid) DESC) AS sc_ols FROM (
+         SELECT k.t, k.g, c.period, c.mid, c.a + c.b * x.n_events AS p
          FROM (SELECT t, g, CASE WHEN t <= 19 THEN 'B' ELSE 'C' END AS period FROM full_panel WHERE t BETWEEN 15 AND 24) k
-         JOIN (SELECT *, CASE period WHEN 'B' THEN 16 ELSE 21 END AS at FROM ({OLS})) c ON c.period = k.period
+         JOIN (SELECT *, CASE period WHEN 'B' THEN 16 ELSE 21 END AS mid FROM ({OLS})) c ON c.period = k.period
          JOIN full_panel x ON x.t = k.t - 2 AND x.g = k.g)""",
     ["full_panel"],
 )
@@ -294,7 +294,7 @@ def _(t):
 def _(t):
     # A permutation keeps the distribution of the feature in every repeat.
     rows = full_panel(t).select("t", "g", "n_events")
-    shuffled = FC.permuted(rows, PANEL, "n_events", 2, seed=1)
+    shuffled = FC.permuted(rows, PANEL, ["n_events"], 2, seed=1)
     return shuffled.groupBy("repeat", "n_events").agg(F.count(F.lit(1)).alias("n"))
 
 
