@@ -87,20 +87,21 @@ def draw_cells(
         .join(cells.select("area", "cell"), "cell")
         .join(wanted, keys, "left_semi")
     )
-    up_to = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    in_order = Window.partitionBy(*keys).orderBy("cell")
     whole = Window.partitionBy(*keys)
-    laid = extras.select(
+    running = extras.withColumn(
+        "stop", F.sum("extra").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    laid = running.select(
         *keys,
         "cell",
-        "extra",
-        F.sum("extra").over(up_to).alias("stop"),
+        F.lag("stop", 1, 0.0).over(in_order).alias("start"),
+        "stop",
+        F.max("stop").over(whole).alias("extra_total"),
         F.count(F.lit(1)).over(whole).alias("slots"),
     )
     totals = laid.groupBy(*keys).agg(
-        F.max("stop").alias("extra_total"), F.max("slots").alias("slots")
-    )
-    laid = laid.join(totals.select(*keys, "extra_total"), keys).withColumn(
-        "start", F.lag("stop", 1, 0.0).over(Window.partitionBy(*keys).orderBy("cell"))
+        F.max("extra_total").alias("extra_total"), F.max("slots").alias("slots")
     )
     width = F.col("extra_total") / F.col("slots")
     slot_of = lambda v: F.least(F.floor(v / width), F.col("slots") - 1)

@@ -98,10 +98,11 @@ def f1_score(y: Column, f: Column) -> Column:
 
 
 def ranked_scores(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Average precision and area under ROC per group.
+    """Average precision, area under ROC and Brier score of 0/1 outcomes.
 
-    Rows are first combined by score, so ties cost nothing; the running counts
-    over the remaining scores are built in buckets and never in one task.
+    Rows are first combined by score, so ties cost nothing and the data is read
+    once for all three; the running counts over the remaining scores are built
+    in buckets and never in one task.
     """
     outcome = F.col("actual").cast("double")
     at_score = df.groupBy(*by, "pred").agg(
@@ -110,16 +111,20 @@ def ranked_scores(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     run = cumulate_down(at_score, by, "pred", ["pos", "all"])
     neg = F.col("all") - F.col("pos")
     above = F.col("cum_pos") - F.col("pos")
+    p = F.col("pred")
+    squared = F.col("pos") * squared_error(p, F.lit(1.0)) + neg * p * p
     sums = run.groupBy(*by).agg(
         F.sum("pos").alias("_p"),
         F.sum(neg).alias("_n"),
         F.sum(F.col("pos") * F.col("cum_pos") / F.col("cum_all")).alias("_ap"),
         F.sum(neg * (above + F.col("pos") / 2)).alias("_auc"),
+        F.sum(squared).alias("_squared"),
     )
     return sums.select(
         *by,
         _ratio(F.col("_ap"), F.col("_p")).alias("average_precision"),
         F.try_divide(F.col("_auc"), F.col("_p") * F.col("_n")).alias("area_under_roc"),
+        F.try_divide(F.col("_squared"), F.col("_p") + F.col("_n")).alias("brier"),
     )
 
 
@@ -138,16 +143,6 @@ def scores_real(
     return df.groupBy(*by).agg(*aggs)
 
 
-def scores_prob(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """All scores of a probability."""
-    y, p = F.col("actual").cast("double"), F.col("pred").cast("double")
-    simple = df.groupBy(*by).agg(brier(y, p).alias("brier"))
-    ranked = ranked_scores(df, by)
-    if by:
-        return ranked.join(simple, list(by))
-    return ranked.withColumn("brier", df.agg(brier(y, p)).scalar())
-
-
 def class_report(df: DataFrame) -> DataFrame:
     """Precision, recall, F1 and support per label, with both averages.
 
@@ -251,7 +246,7 @@ def evaluate(
 ) -> DataFrame:
     """Scores in long form: grouping columns, metric, value."""
     if outcome_type == "prob":
-        wide, metrics = scores_prob(pairs, by), list(PROB_METRICS)
+        wide, metrics = ranked_scores(pairs, by), list(PROB_METRICS)
     elif outcome_type == "real":
         wide = scores_real(pairs, by, is_delta)
         metrics = list(REAL_METRICS) + (["tadda_score"] if is_delta else [])

@@ -133,9 +133,10 @@ def combine_steps(
         at = period.predict_start + step - 1
         if at <= period.predict_end:
             picked = F.when(t == at, F.col(col).cast("double")).otherwise(picked)
-    inside = df.filter(period.in_predict(t)).withColumn(out, picked)
-    outside = df.filter(~period.in_predict(t)).withColumn(out, F.lit(None).cast("double"))
-    return extrapolate(inside, panel, [out]).unionByName(outside)
+    # The picks lie inside the range, so rows outside it do not change what is
+    # between them.
+    filled = extrapolate(df.withColumn(out, picked), panel, [out])
+    return filled.withColumn(out, F.when(period.in_predict(t), F.col(out)))
 
 
 def permuted(

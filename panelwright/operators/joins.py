@@ -89,9 +89,14 @@ def salted_join(
         .filter(F.col("_n") >= total * F.lit(HOT_SHARE))
         .select(*on, F.lit(True).alias("_hot"))
     )
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    salted_left = left.join(F.broadcast(hot), list(on), "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+    spread = F.pmod(
+        F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)
+    ).cast("int")
+    salted_left = (
+        left.withColumn("_spread", spread)
+        .join(F.broadcast(hot), list(on), "left")
+        .withColumn("_salt", F.when(F.col("_hot"), F.col("_spread")).otherwise(F.lit(0)))
+        .drop("_spread")
     )
     salted_right = right.join(F.broadcast(hot), list(on), "left").withColumn(
         "_salt",

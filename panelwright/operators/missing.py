@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from panelwright.functions.windows import forward_fill
 from panelwright.lineage import cut
 from panelwright.operators.joins import left_join_keeping_rows
-from panelwright.operators.ranking import draw_with_replacement, take_exactly
-from panelwright.operators.reshape import clip_to_observed, numeric_columns
+from panelwright.operators.ranking import draw_with_replacement, take_share
+from panelwright.operators.reshape import clip_to_observed, numeric_columns, union_all
 from panelwright.operators.shape import between_times
 from panelwright.panel import Panel
 
@@ -244,14 +244,16 @@ def resample(
     """
     if share_positive == 1 and share_negative == 1:
         return df
-    negative = on_threshold(cols, threshold)
-
-    def part(rows: DataFrame, share: float) -> DataFrame:
+    marked = df.withColumn("_negative", on_threshold(cols, threshold))
+    shares = {False: float(share_positive), True: float(share_negative)}
+    parts = []
+    fewer = [negative for negative, share in shares.items() if share <= 1]
+    if fewer:
+        share = F.when(F.col("_negative"), shares[True]).otherwise(shares[False])
+        rows = marked.filter(F.col("_negative").isin(fewer))
+        parts.append(take_share(rows, share, keys, seed, by=["_negative"], groups=2))
+    for negative, share in shares.items():
         if share > 1:
-            return draw_with_replacement(rows, int(share * rows.count()), keys, seed)
-        wanted = rows.agg(F.floor(F.lit(float(share)) * F.count(F.lit(1)))).scalar()
-        return take_exactly(rows, wanted, keys, seed)
-
-    positives = part(df.filter(~negative), share_positive)
-    negatives = part(df.filter(negative), share_negative)
-    return positives.select(*df.columns).unionByName(negatives.select(*df.columns))
+            rows = marked.filter(F.col("_negative") == negative)
+            parts.append(draw_with_replacement(rows, share, keys, seed))
+    return union_all([part.select(*df.columns) for part in parts])

@@ -6,7 +6,7 @@ before it. Only the bucket sizes, whose number is fixed, meet in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,16 +38,20 @@ def uniform(*parts: ColumnLike | int) -> Column:
     return F.conv(head, 16, 10).cast("double") / F.lit(float(16**UNIFORM_DIGITS))
 
 
+# Groups up to which the bucket table, 16^4 rows for each, is broadcast.
+BROADCAST_GROUPS = 4
+
+
 def _bucket_starts(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows of earlier buckets, per bucket; one row per bucket and group."""
+    """Rows of earlier buckets and of the group; one row per group and bucket."""
     sizes = df.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    whole = Window.partitionBy(*by)
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select(
         *by,
         "_bucket",
         F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
+        F.sum("_size").over(whole).alias("_total"),
     )
 
 
@@ -56,49 +60,66 @@ def with_rank(
     order: Column,
     ties: Sequence[str],
     out: str = "_rank",
-    limit: Column | None = None,
     by: Sequence[str] = (),
+    groups: int | None = None,
+    keep: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Number all rows 1..N in the order of a hex digest, per group of `by`.
 
-    The digest spreads rows evenly over the buckets, so no bucket is hot. The
-    bucket table has at most 16^4 rows, which is the bound for broadcasting it
-    when there are no groups. With `limit` whole buckets beyond it are dropped
-    before anything is sorted.
+    The digest spreads rows evenly over the buckets, so no bucket is hot even
+    if one group has most rows. The bucket table has at most 16^4 rows per
+    group; it is broadcast when `groups` bounds the number of groups. `keep`
+    gets the size of the group and says how many of its rows are wanted: whole
+    buckets beyond that are dropped before anything is sorted.
     """
     df = df.withColumn("_digest", order).withColumn(
         "_bucket", F.substring("_digest", 1, BUCKET_DIGITS)
     )
     starts = _bucket_starts(df, by)
-    ranked = df.join(starts if by else F.broadcast(starts), [*by, "_bucket"])
-    if limit is not None:
-        ranked = ranked.filter(F.col("_start") < limit)
+    if not by or (groups is not None and groups <= BROADCAST_GROUPS):
+        starts = F.broadcast(starts)
+    ranked = df.join(starts, [*by, "_bucket"])
+    if keep is not None:
+        ranked = ranked.withColumn("_keep", keep(F.col("_total"))).filter("_start < _keep")
     inside = F.row_number().over(
         Window.partitionBy(*by, "_bucket").orderBy("_digest", *ties)
     )
     ranked = ranked.withColumn(out, F.col("_start") + inside)
-    if limit is not None:
-        ranked = ranked.filter(F.col(out) <= limit)
-    return ranked.drop("_digest", "_bucket", "_start")
+    if keep is not None:
+        ranked = ranked.filter(F.col(out) <= F.col("_keep"))
+    return ranked.drop("_digest", "_bucket", "_start", "_total", "_keep")
 
 
-def take_exactly(
-    df: DataFrame, n: Column, keys: Sequence[str], seed: int
+def take_share(
+    df: DataFrame,
+    share: Column,
+    keys: Sequence[str],
+    seed: int,
+    by: Sequence[str] = (),
+    groups: int | None = None,
 ) -> DataFrame:
-    """A reproducible sample of exactly `n` rows without replacement."""
-    return with_rank(df, digest(*keys, seed), keys, limit=n).drop("_rank")
+    """A reproducible sample of exactly floor(share * n) rows of each group."""
+    kept = with_rank(
+        df,
+        digest(*keys, seed),
+        keys,
+        by=by,
+        groups=groups,
+        keep=lambda total: F.floor(share * total),
+    )
+    return kept.select(*df.columns)
 
 
 def draw_with_replacement(
-    df: DataFrame, n: int, keys: Sequence[str], seed: int
+    df: DataFrame, share: float, keys: Sequence[str], seed: int
 ) -> DataFrame:
-    """`n` rows drawn with replacement; draw i takes the row whose rank it hashes to."""
-    total = df.agg(F.count(F.lit(1))).scalar()
+    """share * n rows with replacement; draw i takes the row it hashes to."""
+    total = df.count()
     ranked = with_rank(df, digest(*keys, seed), keys)
-    draws = df.sparkSession.range(n).select(
+    draws = df.sparkSession.range(int(share * total)).select(
         (F.floor(uniform(F.lit("draw"), F.col("id"), seed) * total) + 1).alias("_rank")
     )
-    return draws.join(ranked, "_rank").drop("_rank")
+    return draws.join(ranked, "_rank").select(*df.columns)
 
 
 def quantile_splits(df: DataFrame, col: str, buckets: int = 64) -> list[float]:

@@ -64,18 +64,24 @@ def groups_at_last_time(df: DataFrame, panel: Panel) -> DataFrame:
     return df.filter(F.col(panel.time) == last).select(panel.group).distinct()
 
 
+def observed_times(df: DataFrame, panel: Panel) -> Column:
+    """The distinct times of a panel as one array.
+
+    Duplicates are dropped in every task before anything is sent, so what
+    meets in one place is the calendar, however long the panel is.
+    """
+    return df.agg(F.array_sort(F.collect_set(panel.time))).scalar()
+
+
 def balance_last_t(df: DataFrame, panel: Panel) -> DataFrame:
     """All observed times for exactly the groups present at the last time.
 
-    Groups unfold over the whole span and are cut back to the times that occur
-    by a semi join, so gaps in the calendar stay gaps.
+    Each group unfolds over the array of times, so gaps in the calendar stay
+    gaps and no product of two tables is formed.
     """
-    span = df.agg(F.struct(F.min(panel.time).alias("a"), F.max(panel.time).alias("b"))).scalar()
-    full = skeleton_between(groups_at_last_time(df, panel), panel, span["a"], span["b"])
-    full = full.withColumn(panel.time, F.col(panel.time).cast(df.schema[panel.time].dataType))
-    present = full.join(df.select(panel.time).distinct(), panel.time, "left_semi")
-    joined = present.join(df, panel.keys, "left")
-    return joined.select(*df.columns)
+    members = groups_at_last_time(df, panel)
+    full = members.select(F.explode(observed_times(df, panel)).alias(panel.time), panel.group)
+    return full.join(df, panel.keys, "left").select(*df.columns)
 
 
 def drop_missing_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

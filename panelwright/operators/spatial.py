@@ -13,10 +13,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelwright.lineage import cut
 from panelwright.panel import Panel
 
 INFINITY = float("inf")
 
+# Rows a bucket table may have to be broadcast, some ten megabytes.
+BROADCAST_ROWS = 100_000
+
 
 # --- neighbourhoods --------------------------------------------------------
 
@@ -61,18 +65,19 @@ def neighbours_of_order(
 ) -> DataFrame:
     """Pairs whose shortest path has `first` to `last` steps, with its length.
 
-    One join per step; pairs found at an earlier step are taken out.
+    One join per step; pairs found at an earlier step are taken out. Each ring
+    is read three times later on, so its lineage is cut.
     """
     if not 1 <= first <= last:
         raise ValueError("orders run from 1 and must not decrease")
     if last == 1:
         return adjacency.select("g", "n", F.lit(1).alias("order"))
-    step = adjacency.select(F.col("g").alias("n"), F.col("n").alias("next"))
-    ring = adjacency.select("g", "n")
+    ring = cut(adjacency.select("g", "n"))
+    step = ring.select(F.col("g").alias("n"), F.col("n").alias("next"))
     reached = ring
     found = [ring.withColumn("order", F.lit(1))]
     for order in range(2, last + 1):
-        ring = (
+        ring = cut(
             ring.join(step, "n")
             .select("g", F.col("next").alias("n"))
             .filter(F.col("g") != F.col("n"))
@@ -213,11 +218,14 @@ def nearest_distance(
     that can still hold one of its k nearest points: those no farther than the
     distance within which k points are certain. That leaves a handful of
     buckets per query at every level whatever the number of points, and the
-    last level is the points themselves, so the answer is exact. The upper
-    levels are small and Spark broadcasts them when it has measured them; the
-    lower ones are joined on many distinct bucket numbers.
+    last level is the points themselves, so the answer is exact. A level has
+    at most as many buckets as its grid has squares, and no more than there
+    are points; it is broadcast when that bound is small. Larger levels are
+    joined on their many distinct bucket numbers.
     """
     extent = points.agg(
+        F.count(F.lit(1)).alias("points"),
+        F.count_distinct(*slices).alias("slices") if slices else F.lit(1).alias("slices"),
         *[F.min(d).alias(f"lo_{d}") for d in dims],
         *[F.max(d).alias(f"hi_{d}") for d in dims],
     ).first()
@@ -233,17 +241,27 @@ def nearest_distance(
         levels, side = levels + 1, side * fan
     tables = _tree(points, slices, dims, side, levels, fan, origin)
 
+    def root_square(q: Column, start: float) -> Column:
+        """The query's square on the root level, moved into the only one."""
+        square = F.floor((q - F.lit(start)) / side).cast("long")
+        return F.greatest(F.least(square, F.lit(0)), F.lit(0))
+
     ups = [f"_up_{d}" for d in dims]
     query_cols = [*keys, *[c for c in [*slices, *dims] if c not in keys]]
     found = queries.select(*query_cols, *[F.col(d).alias(f"_q_{d}") for d in dims])
     found = found.drop(*[d for d in dims if d not in keys])
     found = found.select(
-        "*", *[F.lit(0).cast("long").alias(f"_up_{d}") for d in dims],
+        "*",
+        *[root_square(F.col(f"_q_{d}"), o).alias(f"_up_{d}") for d, o in zip(dims, origin)],
         F.lit(INFINITY).alias("_limit"),
     )
     per_query = Window.partitionBy(*keys)
 
     for depth, table in enumerate(tables):
+        squares = extent["slices"] * fan ** (len(dims) * min(depth, levels))
+        bound = extent["points"] if depth > levels else min(squares, extent["points"])
+        if bound <= BROADCAST_ROWS:
+            table = F.broadcast(table)
         joined = found.join(table, [*slices, *ups])
         nearest, farthest = F.lit(0.0), F.lit(0.0)
         for d in dims:

@@ -74,7 +74,7 @@ def _(t):
     pairs = outcome_frame(t).select(
         F.floor(F.col("t") / 7).alias("week"), F.col("y").alias("actual"), F.col("p_b").alias("pred")
     )
-    return E.scores_prob(pairs, ["week"])
+    return E.ranked_scores(pairs, ["week"])
 
 
 @query(
