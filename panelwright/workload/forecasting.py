@@ -317,10 +317,28 @@ def _(t):
     return both.select("t", "g", F.col("sc_ols").eqNullSafe(F.col("again")).cast("int").alias("same"))
 
 
+RUN_SQL = """WITH periods AS (SELECT * FROM (VALUES ('A', 9, 10, 14), ('B', 14, 15, 19), ('C', 19, 20, 24)) v(period, train_end, first, last)),
+    long AS (SELECT t, g, n_error, m, CASE m WHEN 'p' THEN n_events ELSE n_purchase END AS x
+      FROM full_panel CROSS JOIN (SELECT unnest(['p', 'q']) AS m)),
+    lagged AS (SELECT *, lag(x, 2) OVER (PARTITION BY m, g ORDER BY t) AS x2 FROM long),
+    coefs AS (SELECT m, period, regr_slope(n_error, x2) AS b, regr_intercept(n_error, x2) AS a
+      FROM lagged JOIN periods ON t <= train_end GROUP BY 1, 2),
+    raw AS (SELECT l.t, l.g, l.m, l.n_error, p.period, p.first, a + b * l.x2 AS pred FROM lagged l
+      JOIN periods p ON l.t BETWEEN p.first AND p.last JOIN coefs c ON c.m = l.m AND c.period = p.period),
+    fits AS (SELECT m, CASE period WHEN 'A' THEN 'B' WHEN 'B' THEN 'C' END AS test, avg(n_error) AS ma, avg(pred) AS mp,
+      stddev_samp(n_error) / stddev_samp(pred) AS r FROM raw WHERE period <> 'C' GROUP BY m, period),
+    done AS (SELECT raw.*, ma + (pred - mp) * r AS cal FROM raw LEFT JOIN fits ON fits.m = raw.m AND fits.test = raw.period),
+    wide AS (SELECT t, g, period, first, max(pred) FILTER (m = 'p') AS ss_p_2, max(cal) FILTER (m = 'p') AS ss_p_2_calibrated,
+      max(pred) FILTER (m = 'q') AS ss_q_2, max(cal) FILTER (m = 'q') AS ss_q_2_calibrated, avg(cal) AS ss_mix_2 FROM done GROUP BY 1, 2, 3, 4)
+  SELECT *, first_value(ss_mix_2) OVER (PARTITION BY g, period ORDER BY (t = first + 1) DESC) AS sc_mix FROM wide"""
+
+
 @query(
     "prediction_run",
     ("MO11", "EN5", "EN1", "J12"),
     "t:l g:l ss_p_2:d ss_p_2_calibrated:d ss_q_2:d ss_q_2_calibrated:d ss_mix_2:d sc_mix:d",
+    RUN_SQL,
+    ["full_panel"],
 )
 def _(t):
     rows = full_panel(t)
