@@ -111,7 +111,7 @@ YEARLY = """SELECT t, g, CASE WHEN n_urgent > 4 THEN total END AS total, n_order
 @query(
     "window_filled_then_extrapolated",
     "M6",
-    "t:l g:l total:d2 n_orders:d",
+    "t:l g:l total:d n_orders:d",
     interpolation_sql(
         f"""SELECT k.t, k.g, w.total, w.n_orders FROM nation_month k LEFT JOIN ({interpolation_sql(
             f'''SELECT s.t, s.g, CASE WHEN h.has THEN s.total ELSE m.a END AS total,
@@ -190,12 +190,12 @@ def _(t):
 @query(
     "dataset_built",
     ("PL1", "J1"),
-    "t:l g:l n_orders:d quiet_since:l region:d total_lag1:d2 urgent_share:d",
+    "t:l g:l n_orders:d quiet_since:l region:d total_lag1:d urgent_share:d",
     f"""SELECT t, g, n_orders, region,
          CASE WHEN prev IS NOT NULL THEN sum(CASE WHEN prev = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY g, block ORDER BY t) END AS quiet_since,
          lag(total) OVER (PARTITION BY g ORDER BY t) AS total_lag1, n_urgent * (1 / n_orders) AS urgent_share FROM (
          SELECT *, sum(CASE WHEN prev <> 0 THEN 1 ELSE 0 END) OVER (PARTITION BY g ORDER BY t) AS block FROM (
-           SELECT *, lag((n_urgent >= 6)::INT) OVER (PARTITION BY g ORDER BY t) AS prev FROM (
+           SELECT *, lag(coalesce((n_urgent >= 6)::INT, 0)) OVER (PARTITION BY g ORDER BY t) AS prev FROM (
              {interpolation_sql('''SELECT s.t, s.g, CASE WHEN m.n_orders > 5 THEN m.n_orders END AS n_orders,
                 CASE WHEN m.n_orders > 5 THEN m.n_urgent END AS n_urgent, m.total, CAST(n.n_regionkey AS DOUBLE) AS region
                 FROM (SELECT a.t, b.g FROM (SELECT DISTINCT t FROM nation_month) a CROSS JOIN

@@ -155,7 +155,7 @@ SPARSE_TOTALS = interpolation_sql(
 @query(
     "filled_source_staged",
     ("PL4", "M2", "M3"),
-    "t:l g:l src_total:d2",
+    "t:l g:l src_total:d",
     f"""SELECT i.t, i.g, coalesce(src_total, m) AS src_total FROM ({SPARSE_TOTALS}) i
        JOIN (SELECT t, avg(src_total) AS m FROM ({SPARSE_TOTALS}) GROUP BY t) q ON q.t = i.t""",
     ["nation_month"],
