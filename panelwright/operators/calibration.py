@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import warnings
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,26 +15,41 @@ NEWTON_ROUNDS = 35
 NEWTON_TOLERANCE = 1e-10
 
 
-def real_scaling(calib: DataFrame, pred: str, actual: str) -> Column:
-    """One row of means and sample deviations, read as a scalar subquery."""
-    return calib.agg(
+def calibrate_real_columns(
+    test: DataFrame, calib: DataFrame, cols: Mapping[str, tuple[str, str, str]]
+) -> DataFrame:
+    """Shift and stretch predictions so that on the calibration period they
+    would have the outcome's mean and standard deviation.
+
+    `cols` maps a new column to the test prediction, the calibration prediction
+    and the outcome. The moments of all columns are one aggregate, read as a
+    scalar subquery.
+    """
+    moments = calib.agg(
         F.struct(
-            F.avg(actual).alias("mean_actual"),
-            F.avg(pred).alias("mean_pred"),
-            F.try_divide(F.stddev_samp(actual), F.stddev_samp(pred)).alias("ratio"),
+            *[
+                F.struct(
+                    F.avg(actual).alias("mean_actual"),
+                    F.avg(pred).alias("mean_pred"),
+                    F.try_divide(F.stddev_samp(actual), F.stddev_samp(pred)).alias("ratio"),
+                ).alias(out)
+                for out, (_test, pred, actual) in cols.items()
+            ]
         )
     ).scalar()
 
+    def scaled(out: str, test_pred: str) -> Column:
+        m = moments[out]
+        return m["mean_actual"] + (F.col(test_pred) - m["mean_pred"]) * m["ratio"]
+
+    return test.select("*", *[scaled(o, c[0]).alias(o) for o, c in cols.items()])
+
 
 def calibrate_real(
     test: DataFrame, test_pred: str, calib: DataFrame, calib_pred: str, actual: str, out: str
 ) -> DataFrame:
-    """Shift and stretch predictions so that on the calibration period they
-    would have the outcome's mean and standard deviation."""
-    s = real_scaling(calib, calib_pred, actual)
-    return test.withColumn(
-        out, s["mean_actual"] + (F.col(test_pred) - s["mean_pred"]) * s["ratio"]
-    )
+    """`calibrate_real_columns` for one prediction."""
+    return calibrate_real_columns(test, calib, {out: (test_pred, calib_pred, actual)})
 
 
 def fit_logit(
@@ -126,9 +141,8 @@ def calibrate_prob(
 ) -> DataFrame:
     """Logit of the outcome on the log-odds of the prediction, applied to test."""
     if check:
-        check_probabilities(calib, [calib_pred], "calibration predictions")
-        check_probabilities(calib, [actual], "calibration outcomes")
-        check_probabilities(test, [test_pred], "test predictions")
+        check_probabilities(calib, [calib_pred, actual], "calibration period")
+        check_probabilities(test, [test_pred], "test period")
     rows = calib.select(F.col(actual).alias("_y"), prob_to_logodds(calib_pred).alias("_x"))
     b0, b1 = fit_logit(rows, "_y", "_x")
     if b1 < 0:

@@ -20,6 +20,9 @@ from panelwright.panel import Panel
 # How close to the threshold counts as being on it.
 CLOSE_ABSOLUTE, CLOSE_RELATIVE = 1e-8, 1e-5
 
+# Columns updated by chained equations before the lineage is cut.
+CUT_EVERY = 8
+
 
 def extrapolate(df: DataFrame, panel: Panel, cols: Sequence[str] | None = None) -> DataFrame:
     """Linear between observed values by row position, nearest value outside.
@@ -141,7 +144,7 @@ def impute_chained(
     one with the fewest gaps, a regression on all other columns is fitted on
     the observed rows and predicts the gaps, for `max_iter` rounds. Fitting
     and predicting are Spark jobs over the whole panel; the lineage is cut
-    after each round. Results are bounded by the observed range; columns that
+    every few columns. Results are bounded by the observed range; columns that
     are not numeric or have no value at all are left alone.
     """
     cols = numeric_columns(df, panel.keys) if cols is None else list(cols)
@@ -176,7 +179,9 @@ def impute_chained(
                 )
                 .drop("_features", "_guess")
             )
-        state = cut(state)
+            # A fit runs through the updates since the last cut once more.
+            if i % CUT_EVERY == CUT_EVERY - 1 or i == len(order) - 1:
+                state = cut(state)
     filled = state.select(
         *[F.col(f"_x_{c}").alias(c) if c in cols else F.col(c) for c in df.columns]
     )

@@ -6,7 +6,9 @@ import json
 import warnings
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.operators import ensemble as mixing
-from panelwright.operators.calibration import calibrate_prob, calibrate_real
+from panelwright.operators.calibration import calibrate_prob, calibrate_real_columns
 from panelwright.operators.evaluation import (
     accuracy,
     actual_outcome,
@@ -110,36 +112,44 @@ class StepModel:
             self.downsampling,
         )
 
-    def fit(self, df: DataFrame) -> "StepModel":
-        """Fit one estimator per period and step."""
+    def fit(self, df: DataFrame, parallelism: int = 4) -> "StepModel":
+        """Fit one estimator per period and step, a few at the same time."""
         require_columns(df, [*self.cols_features, self.col_outcome], self.name)
         if not self.periods:
             raise ValueError(f"{self.name} has no periods")
         if self.estimator is None:
             raise ValueError(f"{self.name} has no estimator")
-        used = df.select(*self.panel.keys, *{*self.cols_features, self.col_outcome}).persist()
+        used = df.select(
+            *self.panel.keys, *sorted({*self.cols_features, self.col_outcome})
+        ).persist()
+        jobs = [(p, s) for p in self.periods for s in self.steps]
         try:
-            for period in self.periods:
-                for step in self.steps:
-                    assembler = VectorAssembler(
-                        inputCols=self.cols_features, outputCol="features"
-                    )
-                    estimator = self.estimator.copy(
-                        {
-                            self.estimator.featuresCol: "features",
-                            self.estimator.labelCol: self.col_outcome,
-                        }
-                    )
-                    rows = self.training_frame(used, period, step).withColumn(
-                        self.col_outcome, F.col(self.col_outcome).cast("double")
-                    )
-                    self.fitted[period.name, step] = Pipeline(
-                        stages=[assembler, estimator]
-                    ).fit(rows)
+            # Fits are independent; a few at a time keep a cluster busy.
+            with ThreadPool(min(parallelism, len(jobs))) as pool:
+                done = pool.map(
+                    inheritable_thread_target(used.sparkSession)(
+                        lambda job: self._fit_one(used, *job)
+                    ),
+                    jobs,
+                )
         finally:
             used.unpersist()
+        self.fitted.update({(p.name, s): m for (p, s), m in zip(jobs, done)})
         return self
 
+    def _fit_one(self, df: DataFrame, period: Period, step: int) -> PipelineModel:
+        assembler = VectorAssembler(inputCols=self.cols_features, outputCol="features")
+        estimator = self.estimator.copy(
+            {
+                self.estimator.featuresCol: "features",
+                self.estimator.labelCol: self.col_outcome,
+            }
+        )
+        rows = self.training_frame(df, period, step).withColumn(
+            self.col_outcome, F.col(self.col_outcome).cast("double")
+        )
+        return Pipeline(stages=[assembler, estimator]).fit(rows)
+
     # prediction
     def _score(self, period: Period):
         def score(rows: DataFrame, step: int) -> DataFrame:
@@ -221,16 +231,26 @@ class StepModel:
             actuals, self.panel.keys, "full"
         )
         out = test.select(*self.panel.keys, *self.cols_ss.values())
-        how = calibrate_prob if self.outcome_type == "prob" else calibrate_real
-        for s in self.steps:
-            out = how(
+        if self.outcome_type == "real":
+            out = calibrate_real_columns(
                 out,
-                self.cols_ss[s],
                 known,
-                self.cols_ss[s],
-                f"_actual_{s}",
-                self.cols_ss_calibrated[s],
+                {
+                    self.cols_ss_calibrated[s]: (self.cols_ss[s], self.cols_ss[s], f"_actual_{s}")
+                    for s in self.steps
+                },
             )
+        else:
+            # Every step is fitted in several rounds over the same rows.
+            known.persist()
+            try:
+                for s in self.steps:
+                    pred, actual = self.cols_ss[s], f"_actual_{s}"
+                    out = calibrate_prob(
+                        out, pred, known, pred, actual, self.cols_ss_calibrated[s]
+                    )
+            finally:
+                known.unpersist()
         out = out.select(*self.panel.keys, *self.cols_ss_calibrated.values())
         return combine_steps(
             out, self.panel, self.cols_ss_calibrated, period_test, self.col_sc_calibrated

@@ -65,8 +65,8 @@ def test_cells(spark, tmp_path):
 
 
 def test_database_options_and_column_chunks():
-    options = DB.table_options("ged.cm", ["month_id", "v"], "month_id", 1, 600, 12)
-    assert options["dbtable"] == "(SELECT month_id, v FROM ged.cm) AS source"
+    options = DB.table_options("staging.cm", ["month_id", "v"], "month_id", 1, 600, 12)
+    assert options["dbtable"] == "(SELECT month_id, v FROM staging.cm) AS source"
     assert (options["partitionColumn"], options["numPartitions"], options["upperBound"]) == ("month_id", "12", "600")
     assert "partitionColumn" not in DB.table_options("t", [])
     with pytest.raises(ValueError):
