@@ -160,14 +160,19 @@ def column_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def clip_to_observed(df: DataFrame, reference: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Bound each column by the smallest and largest value of the reference."""
-    def bound(c: str) -> Column:
-        low = reference.agg(F.min(c)).scalar()
-        high = reference.agg(F.max(c)).scalar()
-        return F.when(F.col(c).isNotNull(), F.least(F.greatest(F.col(c), low), high))
-
-    return df.select(*[bound(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+def clip_to_observed(df: DataFrame, observed: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Bound each column by the smallest and largest value of another frame.
+
+    All bounds are one aggregate, read as a scalar subquery.
+    """
+    ranges = column_ranges(observed, cols)
+    bounds = ranges.select(F.struct(*ranges.columns)).scalar()
+
+    def bounded(c: str) -> Column:
+        inside = F.least(F.greatest(F.col(c), bounds[f"{c}_min"]), bounds[f"{c}_max"])
+        return F.when(F.col(c).isNotNull(), inside)
+
+    return df.select(*[bounded(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def union_all(frames: Sequence[DataFrame], distinct: bool = False) -> DataFrame:

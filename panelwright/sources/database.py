@@ -1,4 +1,9 @@
-"""Database tables over JDBC, read and written in parallel."""
+"""Tables of the Spark catalog and of databases over JDBC.
+
+Catalog tables are the place for panels that are used again: bucketed by group
+and sorted by time, they are read, windowed and joined without a shuffle. JDBC
+reads and writes are split over tasks.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +17,49 @@ from panelwright.panel import drop_nan
 BATCH_ROWS = 10_000
 
 
+def save_table(
+    df: DataFrame,
+    fqtable: str,
+    path: str | None = None,
+    group: str | None = None,
+    time: str | None = None,
+    buckets: int = 200,
+) -> None:
+    """Replace a catalog table, with tidy column names.
+
+    With a group column the rows are first brought together by group, so each
+    bucket is one file, sorted by group and time.
+    """
+    tidy = df.toDF(*[tidy_name(c) for c in df.columns])
+    if group is not None:
+        tidy = tidy.repartition(buckets, group)
+    writer = tidy.write.mode("overwrite").format("parquet")
+    if group is not None:
+        order = [group] if time is None else [group, time]
+        writer = writer.bucketBy(buckets, group).sortBy(*order)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(fqtable)
+
+
+def load_table(
+    spark: SparkSession,
+    fqtable: str,
+    cols: Sequence[str] | None = None,
+    ids: Sequence[str] = (),
+) -> DataFrame:
+    """A catalog table with its ids and the wanted columns."""
+    df = spark.read.table(fqtable)
+    if cols is not None:
+        df = df.select(*dict.fromkeys([*ids, *cols]))
+    return drop_nan(df)
+
+
+def query_frames(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
+    """Run SQL over frames that it names in braces, as `FROM {events}`."""
+    return drop_nan(spark.sql(sql, **frames))
+
+
 def table_options(
     fqtable: str,
     cols: Sequence[str],

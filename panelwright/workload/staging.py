@@ -1,8 +1,11 @@
 """Queries for files, stagers, rasters and pages."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelwright.functions.scalars import grid_id, month_id_of
+from panelwright.functions.windows import tlag
 from panelwright.lineage import scratch_folder
 from panelwright.operators.shape import skeleton_between
 from panelwright.panel import Panel
@@ -49,6 +52,37 @@ def _(t):
     )
 
 
+@query(
+    "table_saved_and_loaded",
+    ("IO6", "IO8", "W1"),
+    "t:l g:l n_orders:l before:l",
+    """SELECT t, g, n_orders, lag(n_orders) OVER (PARTITION BY g ORDER BY t) AS before FROM nation_month""",
+    ["nation_month"],
+)
+def _(t):
+    name = f"panel_{uuid.uuid4().hex}"
+    folder = scratch_folder(t.spark, name)
+    DB.save_table(nation_month(t), name, folder, PANEL.group, PANEL.time, buckets=8)
+    rows = DB.load_table(t.spark, name, ["n_orders"], PANEL.keys)
+    # The table is bucketed by group: this window needs no shuffle.
+    return rows.withColumn("before", tlag("n_orders", PANEL))
+
+
+@query(
+    "sql_over_frames",
+    "IO7",
+    "g:l months:l total:d2",
+    "SELECT g, count(*) AS months, sum(total) AS total FROM nation_month WHERE n_urgent > 3 GROUP BY g",
+    ["nation_month"],
+)
+def _(t):
+    return DB.query_frames(
+        t.spark,
+        "SELECT g, count(*) AS months, sum(total) AS total FROM {panel} WHERE n_urgent > 3 GROUP BY g",
+        panel=nation_month(t),
+    )
+
+
 @query(
     "columns_split",
     "IO9",

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from panelwright.functions.windows import tlag
 from panelwright.lineage import cut
 from panelwright.sources import database as DB
 from panelwright.sources import files as FS
@@ -39,6 +40,21 @@ def test_time_buckets_prune_folders(spark, tmp_path):
     assert rows.count() == 12
 
 
+def test_bucketed_tables_need_no_shuffle(spark, panel, tmp_path):
+    df = spark.range(400).select((F.col("id") % 20).alias("g"), F.floor(F.col("id") / 20).alias("t"), F.rand(1).alias("Some.V"))
+    DB.save_table(df, "panel_a", str(tmp_path / "a"), "g", "t", buckets=8)
+    DB.save_table(df, "panel_b", str(tmp_path / "b"), "g", "t", buckets=8)
+    a, b = DB.load_table(spark, "panel_a", ["some_v"], ["t", "g"]), DB.load_table(spark, "panel_b")
+    lagged = a.select("t", "g", tlag("some_v", panel).alias("v"))
+    plan = lagged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert lagged.filter("v is null").count() == 20
+    joined = a.join(b.hint("merge"), ["g"])
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    DB.save_table(df.limit(3), "panel_a", str(tmp_path / "a"))
+    assert spark.read.table("panel_a").count() == 3
+
+
 def test_polygons(spark, tmp_path):
     square = [[[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]]
     parts = [[[[10, 0], [11, 0], [11, 1], [10, 1], [10, 0]]], [[[20, 5], [21, 5], [21, 6], [20, 6], [20, 5]]]]
