@@ -132,6 +132,16 @@ def quantile_splits(df: DataFrame, col: str, buckets: int = 64) -> list[float]:
     return sorted(set(cuts))
 
 
+def bucket_of(value: Column, cuts: Sequence[float], first: int = 0) -> Column:
+    """How many cuts are at or below a value, as a balanced tree of conditions."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    return F.when(
+        value >= cuts[middle], bucket_of(value, cuts[middle + 1 :], first + middle + 1)
+    ).otherwise(bucket_of(value, cuts[:middle], first))
+
+
 def cumulate_down(
     df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str]
 ) -> DataFrame:
@@ -141,11 +151,7 @@ def cumulate_down(
     order column, summed up inside them, and shifted by the totals of the
     buckets above. Rows must be unique per group and order value.
     """
-    cuts = quantile_splits(df, order)
-    bucket = F.lit(0)
-    for cut in cuts:
-        bucket = bucket + (F.col(order) >= cut).cast("int")
-    df = df.withColumn("_bucket", bucket)
+    df = df.withColumn("_bucket", bucket_of(F.col(order), quantile_splits(df, order)))
     totals = df.groupBy(*by, "_bucket").agg(
         *[F.sum(s).alias(f"_total_{s}") for s in sums]
     )

@@ -160,10 +160,10 @@ def coarse_grid(spark, rows: int = 180, cols: int = 360, size: float = 1.0) -> D
 def _tree(points: DataFrame, slices: Sequence[str], dims: Sequence[str], side: float, levels: int, fan: int, origin: Sequence[float]) -> list[DataFrame]:
     """Bucket tables from the root down; the last one holds single points.
 
-    Every table has the bucket number of the level above in `_up_<dim>`, its
-    own in `_at_<dim>`, the bounds of its points and their number.
+    `points` has one row per place with its number `_n`. Every table has the
+    bucket number of the level above in `_up_<dim>`, its own in `_at_<dim>`,
+    the bounds of its points and their number.
     """
-    counted = points.groupBy(*slices, *dims).agg(F.count(F.lit(1)).alias("_n"))
     leaf_side = side / fan**levels
     # A point is its own bucket on the last level, told apart by coordinates.
     at = [
@@ -171,7 +171,7 @@ def _tree(points: DataFrame, slices: Sequence[str], dims: Sequence[str], side: f
         for d, o in zip(dims, origin)
     ]
     bounds = [F.col(d).alias(f"_{e}_{d}") for d in dims for e in ("lo", "hi")]
-    points_level = counted.select(*slices, "_n", *at, *bounds)
+    points_level = points.select(*slices, "_n", *at, *bounds)
     tables = [points_level.select(
         *slices, "_n", *[F.col(f"_at_{d}").alias(f"_up_{d}") for d in dims],
         *[f"_{e}_{d}" for d in dims for e in ("lo", "hi")],
@@ -220,9 +220,11 @@ def nearest_distance(
     buckets per query at every level whatever the number of points, and the
     last level is the points themselves, so the answer is exact. A level has
     at most as many buckets as its grid has squares, and no more than there
-    are points; it is broadcast when that bound is small. Larger levels are
-    joined on their many distinct bucket numbers.
+    are places with points; it is broadcast when that bound is small. Larger
+    levels are joined on their many distinct bucket numbers. Points are
+    combined by place and written once, as every level is built from them.
     """
+    points = cut(points.groupBy(*slices, *dims).agg(F.count(F.lit(1)).alias("_n")))
     extent = points.agg(
         F.count(F.lit(1)).alias("points"),
         F.count_distinct(*slices).alias("slices") if slices else F.lit(1).alias("slices"),
@@ -233,7 +235,8 @@ def nearest_distance(
         return queries.select(*keys).limit(0).withColumn(out, F.lit(0.0))
     origin = [float(extent[f"lo_{d}"]) for d in dims]
     widest = max(float(extent[f"hi_{d}"]) - o for d, o in zip(dims, origin))
-    fan = 4
+    # Squares split into 64 smaller ones, cubes too.
+    fan = 8 if len(dims) == 2 else 4
     levels = max(1, math.ceil(math.log(max(widest / cell, fan), fan)))
     # Slightly wider than the extent, so that the root bucket has number 0.
     side = cell * fan**levels * 1.0001
@@ -267,21 +270,26 @@ def nearest_distance(
         for d in dims:
             q, lo, hi = F.col(f"_q_{d}"), F.col(f"_lo_{d}"), F.col(f"_hi_{d}")
             gap = F.greatest(lo - q, q - hi, F.lit(0.0))
-            if d == causal:
-                gap = F.greatest(q - hi, F.lit(0.0))
             span = F.greatest(F.abs(q - lo), F.abs(q - hi))
+            if d == causal:
+                gap, span = F.greatest(q - hi, F.lit(0.0)), q - lo
             nearest, farthest = nearest + gap * gap, farthest + span * span
         sure = F.col("_n")
         if causal is not None:
             q = F.col(f"_q_{causal}")
             joined = joined.filter(F.col(f"_lo_{causal}") <= q)
-            whole = F.col(f"_hi_{causal}") <= q
-            farthest = F.when(whole, farthest).otherwise(F.lit(INFINITY))
-            sure = F.when(whole, sure).otherwise(F.lit(0))
+            # Of a bucket that reaches past the query only the earliest point
+            # is sure to count, and it is `q - lo` away on this axis.
+            sure = F.when(F.col(f"_hi_{causal}") <= q, sure).otherwise(F.lit(1))
         joined = joined.withColumns(
             {"_near": nearest, "_far": farthest, "_sure": sure}
         ).filter(F.col("_near") <= F.col("_limit"))
         carried = [c for c in found.columns if c not in (*ups, "_limit")]
+        downs = [F.col(f"_at_{d}").alias(f"_up_{d}") for d in dims]
+        if depth == 0:
+            # One bucket per query: nothing to leave out yet.
+            found = joined.select(*carried, *downs, "_limit")
+            continue
         if depth == len(tables) - 1:
             found = joined.select(*keys, "_near", "_n")
             break
@@ -301,7 +309,7 @@ def nearest_distance(
         # below them; a hair of slack keeps rounding from dropping a point.
         bounded = bounded.withColumn("_limit", F.col("_limit") * (1 + 1e-12))
         found = bounded.filter(F.col("_near") <= F.col("_limit")).select(
-            *carried, *[F.col(f"_at_{d}").alias(f"_up_{d}") for d in dims], "_limit"
+            *carried, *downs, "_limit"
         )
 
     if k == 1:
@@ -352,15 +360,18 @@ def distance_to_points(
     out: str = "distance",
 ) -> DataFrame:
     """The same over event points of their own, given with time and x, y."""
-    per_time = events.groupBy(panel.time).agg(F.count(F.lit(1)).alias("_events"))
     dist = nearest_distance(
         df.select(*panel.keys, x, y), events, panel.keys, [x, y], [panel.time], k, cell, out="_dist"
     )
-    joined = df.join(per_time, panel.time, "left").join(dist, panel.keys, "left")
+    joined = df.join(dist, panel.keys, "left")
+    if k == 1:
+        # No distance means that the time has no event.
+        return joined.select(*df.columns, F.coalesce("_dist", F.lit(float(fill))).alias(out))
+    per_time = events.groupBy(panel.time).agg(F.count(F.lit(1)).alias("_events"))
     value = F.when(F.col("_events").isNull(), F.lit(float(fill))).otherwise(
         F.coalesce("_dist", F.lit(INFINITY))
     )
-    return joined.select(*df.columns, value.alias(out))
+    return joined.join(per_time, panel.time, "left").select(*df.columns, value.alias(out))
 
 
 def spacetime_distance_to_event(
