@@ -2,31 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names, and only in local mode our own.
-
-    A checkpoint must outlive the executor that wrote it, so a machine-local
-    folder is refused on a cluster.
-    """
+    """Use the shared folder the session names in spark.checkpoint.dir. Where it
+    is unset, as in tests, use a folder in the session's warehouse, which every
+    executor reaches as it reaches the tables."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="panelwright-checkpoint-"))
-    else:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; iterative operators need a folder "
-            "that every executor can reach"
-        )
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    sc.setCheckpointDir(configured or f"{warehouse.rstrip('/')}/_panelwright")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -40,3 +30,9 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     executor can reach it."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a scratch folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
