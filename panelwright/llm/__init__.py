@@ -5,7 +5,13 @@ import sys
 
 from pyspark import cloudpickle
 
-from panelwright.llm import exact, simhash  # noqa: F401
+from panelwright.llm import (  # noqa: F401
+    byte_bpe,
+    decontamination,
+    exact,
+    simhash,
+    token_counts,
+)
 from panelwright.llm.base import CORPUS
 
 # Functions of this subpackage travel to the executors by value, so that the

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 CORPUS: dict[str, "CorpusQuery"] = {}
@@ -45,3 +48,10 @@ def passes(texts: Sequence[str], limit: int = PASS_CHARS) -> Iterator[slice]:
         size += len(text)
     if start < len(texts):
         yield slice(start, len(texts))
+
+
+def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast a model of bounded size; the function returned reads it in a
+    task, once per task. Classes travel by value, like functions."""
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(data.value)

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm.base import corpus_query, passes, table
+from panelwright.llm.base import corpus_query, passes, shared, table
 from panelwright.llm.hashing import KeyTable, coded, ranges
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -158,17 +158,18 @@ def encode(spark: SparkSession, text: Column, path: str, pattern: str = public_t
     Every match of the pattern is encoded on its own, over the whole text, with
     no special tokens. A null or empty text has no ids. `path` is the rank file
     on the driver."""
-    merges = spark.sparkContext.broadcast(Merges(read_ranks(path), pattern))
+    read = shared(spark, Merges(read_ranks(path), pattern))
 
     @F.pandas_udf("binary")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        split = regex.compile(merges.value.pattern).findall
+        merges = read()
+        split = regex.compile(merges.pattern).findall
         for batch in batches:
             texts = batch.fillna("").tolist()
             out: list[bytes] = []
             for part in passes(texts):
                 words, codes, sizes = coded(texts[part], split)
-                flat, lens = merges.value.encode([w.encode() for w in words])
+                flat, lens = merges.encode([w.encode() for w in words])
                 starts = np.cumsum(lens) - lens
                 ids = flat[ranges(starts[codes], lens[codes])].astype("<u4").tobytes()
                 ends = np.concatenate(([0], np.cumsum(lens[codes])))[np.cumsum(sizes)].tolist()
@@ -181,11 +182,11 @@ def encode(spark: SparkSession, text: Column, path: str, pattern: str = public_t
 def decode(spark: SparkSession, ids: Column, path: str) -> Column:
     """The bytes that `ids` (binary, as of `encode`) stand for; null for null.
     An id that the vocabulary lacks fails."""
-    pieces = spark.sparkContext.broadcast(read_ranks(path))
+    read = shared(spark, {rank: piece for piece, rank in read_ranks(path).items()})
 
     @F.pandas_udf("binary")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        by_rank = {rank: piece for piece, rank in pieces.value.items()}
+        by_rank = read()
         for batch in batches:
             yield pd.Series(
                 [

@@ -17,7 +17,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm.base import corpus_query, table
+from panelwright.llm.base import corpus_query, shared, table
 from panelwright.llm.hashing import KeyTable, coded
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -126,13 +126,14 @@ def pre_tokens(text: str) -> list[str]:
 def token_counts(spark: SparkSession, text: Column, path: str) -> Column:
     """Struct (n_words, n_tokens) of a text: its words between white space, and
     the pieces of their most likely splits. A null or empty text has none."""
-    vocabulary = spark.sparkContext.broadcast(Pieces.read(path))
+    read = shared(spark, Pieces.read(path))
 
     @F.pandas_udf("n_words long, n_tokens long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        vocabulary = read()
         for batch in batches:
             words, codes, sizes = coded(batch.fillna("").tolist(), pre_tokens)
-            counts = vocabulary.value.counts(words)
+            counts = vocabulary.counts(words)
             sums = np.concatenate(([0], np.cumsum(counts[codes] if len(codes) else codes)))
             ends = np.cumsum(sizes)
             yield pd.DataFrame({"n_words": sizes, "n_tokens": sums[ends] - sums[ends - sizes]})
