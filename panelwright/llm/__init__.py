@@ -7,10 +7,14 @@ from pyspark import cloudpickle
 
 from panelwright.llm import (  # noqa: F401
     byte_bpe,
+    chat,
     decontamination,
     exact,
+    quality,
     simhash,
     token_counts,
+    toxicity,
+    warc,
 )
 from panelwright.llm.base import CORPUS
 

@@ -9,6 +9,7 @@ import numpy as np
 import xxhash
 
 OFFSET, PRIME = np.uint64(0xCBF29CE484222325), np.uint64(0x100000001B3)
+PREFIX = 5  # bytes of a word that `prefixes` tells apart
 SHORT = 48  # bytes of a word that are hashed in array steps; longer words singly
 
 # A word is a run of ASCII letters and digits and of any other non-ASCII byte.
@@ -20,6 +21,7 @@ for _c in b"0123456789abcdefghijklmnopqrstuvwxyz":
 
 class Words(NamedTuple):
     hashes: np.ndarray  # uint64 of every word, text after text
+    prefixes: np.ndarray  # the same of the word's first bytes
     sizes: np.ndarray  # words of each text
     starts: np.ndarray  # byte offsets in the lower-cased texts, joined by \n
     ends: np.ndarray
@@ -40,11 +42,11 @@ def words_of(texts: Sequence[str]) -> Words:
     starts, ends = turns[::2], turns[1::2]
     row_ends = np.cumsum(np.fromiter((len(r) + 1 for r in rows), np.int64, len(rows)))
     upto = np.searchsorted(starts, row_ends)
-    return Words(_hashes(data, starts, ends), np.diff(upto, prepend=0), starts, ends, buffer)
+    return Words(*_hashes(data, starts, ends), np.diff(upto, prepend=0), starts, ends, buffer)
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    out = np.full(len(starts), OFFSET)
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    out, begun = np.full(len(starts), OFFSET), np.full(len(starts), OFFSET)
     sizes = ends - starts
     order = np.argsort(-np.minimum(sizes, 255).astype(np.int16), kind="stable")
     first, left = starts[order], -sizes[order]
@@ -52,7 +54,9 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     for k in range(min(SHORT, int(sizes.max(initial=0)))):
         live = int(np.searchsorted(left, -k))  # words of more than k bytes come first
         h[:live] = (h[:live] ^ data[first[:live] + k]) * PRIME
+        if k < PREFIX:
+            begun[order] = h
     out[order] = h
     for i in np.flatnonzero(sizes > SHORT).tolist():
         out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes())
-    return out
+    return out, begun
