@@ -10,6 +10,7 @@ from panelwright.llm import (  # noqa: F401
     chat,
     decontamination,
     exact,
+    extraction,
     quality,
     simhash,
     token_counts,
