@@ -28,6 +28,7 @@ NONE = np.int32(np.iinfo(np.int32).max)
 MATRIX_BYTES = 256
 # Matrices of up to this many cells at a time.
 MATRIX_CELLS = 1 << 21
+DECODED_ROWS = 256  # texts decoded before they are handed on
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -166,15 +167,14 @@ def encode(spark: SparkSession, text: Column, path: str, pattern: str = public_t
         split = regex.compile(merges.pattern).findall
         for batch in batches:
             texts = batch.fillna("").tolist()
-            out: list[bytes] = []
+            # A series per pass, so that no whole batch of ids is held.
             for part in passes(texts):
                 words, codes, sizes = coded(texts[part], split)
                 flat, lens = merges.encode([w.encode() for w in words])
                 starts = np.cumsum(lens) - lens
                 ids = flat[ranges(starts[codes], lens[codes])].astype("<u4").tobytes()
                 ends = np.concatenate(([0], np.cumsum(lens[codes])))[np.cumsum(sizes)].tolist()
-                out += [ids[4 * a : 4 * b] for a, b in zip([0, *ends[:-1]], ends)]
-            yield pd.Series(out, dtype=object)
+                yield pd.Series([ids[4 * a : 4 * b] for a, b in zip([0, *ends[:-1]], ends)], dtype=object)
 
     return of(text)
 
@@ -187,14 +187,15 @@ def decode(spark: SparkSession, ids: Column, path: str) -> Column:
     @F.pandas_udf("binary")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         by_rank = read()
+
+        def whole(part: bytes | None) -> bytes | None:
+            if part is None:
+                return None
+            return b"".join(map(by_rank.__getitem__, np.frombuffer(part, "<u4").tolist()))
+
         for batch in batches:
-            yield pd.Series(
-                [
-                    None if x is None else b"".join(map(by_rank.__getitem__, np.frombuffer(x, "<u4").tolist()))
-                    for x in batch
-                ],
-                dtype=object,
-            )
+            for i in range(0, len(batch), DECODED_ROWS):
+                yield pd.Series(list(map(whole, batch.iloc[i : i + DECODED_ROWS])), dtype=object)
 
     return of(ids)
 
