@@ -29,7 +29,7 @@ def labelled_sample(
     for value in (0, 1):
         part = known.where(F.col("label") == value).orderBy(order, "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    language = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    language = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     texts = docs.select("doc_id", "text", language.alias("lang"))
     texts = texts.where(F.coalesce(F.length("text"), F.lit(0)) <= longest)
     return texts.join(F.broadcast(chosen), "doc_id"), sizes
