@@ -118,7 +118,7 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     Rows whose bit is unset pass with their text unshuffled."""
     own = docs.columns
     digest = F.sha2(normalised(F.col("text")), 256).alias("digest")
-    rows = docs.select(digest, F.struct(*own).alias("row"))
+    rows = docs.select(digest, F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"))
     flagged = flag_repeated(rows, _bits(docs.count()))
     order = F.struct(
         -F.coalesce(F.length("row.text"), F.lit(0)), F.col("row.doc_id").isNull(), F.col("row.doc_id")

@@ -22,7 +22,7 @@ from panelwright.llm.hashing import KeyTable, coded
 
 VOCABULARY = "piece_bpe_32k.model"
 WORD_START = "▁"
-PRIME = np.uint64(0x100000001B3)
+OFFSET, PRIME = np.uint64(0xCBF29CE484222325), np.uint64(0x100000001B3)
 ZIPF_SHIFT = 2.7
 
 
@@ -90,7 +90,7 @@ class Pieces:
         octets = 1 + (last[node] > 0x7F) + (last[node] > 0x7FF) + (last[node] > 0xFFFF)
         best = score[above] + self.fallback * octets
         fewest = pieces[above] + octets
-        hashed = np.zeros(size, np.uint64)
+        hashed = np.full(size, OFFSET)
         for _ in range(min(depth, self.longest)):
             hashed = (hashed ^ last[node]) * PRIME + np.uint64(1)
             node = up[node]
@@ -113,7 +113,7 @@ def _grown(kept: np.ndarray, more: np.ndarray, used: int) -> np.ndarray:
 
 def _from_end(piece: str) -> int:
     """Hash over the characters from the last to the first, as in `_level`."""
-    h = 0
+    h = int(OFFSET)
     for c in reversed(piece):
         h = ((h ^ ord(c)) * int(PRIME) + 1) & 0xFFFFFFFFFFFFFFFF
     return h
