@@ -218,10 +218,9 @@ def evaluation_frame(
         for s in steps
     }
     wide = df.select(*panel.keys, *[c for c, _ in predictions.values()], *actual.values())
-    period = F.lit(None).cast("string")
-    for p in periods:
-        period = F.when(p.in_predict(F.col(panel.time)), F.lit(p.name)).otherwise(period)
-    wide = wide.withColumn("period", period).filter(F.col("period").isNotNull())
+    # Periods may overlap; a row counts in each one whose predict range it is in.
+    held = [F.when(p.in_predict(F.col(panel.time)), F.lit(p.name)) for p in periods]
+    wide = wide.withColumn("period", F.explode(F.array_compact(F.array(*held))))
     rows = F.array(
         *[
             F.struct(

@@ -182,6 +182,7 @@ def cumulate_down(
     )
 
 
-def top_k(df: DataFrame, by: str, k: int) -> DataFrame:
-    """The k rows with the largest value, as Spark's take-ordered step."""
-    return df.orderBy(F.desc(by)).limit(k)
+def top_k(df: DataFrame, by: str, k: int, ties: Sequence[str]) -> DataFrame:
+    """The k rows with the largest value, as Spark's take-ordered step. `ties`,
+    in rising order, decide between equal values; missing values come last."""
+    return df.orderBy(F.desc_nulls_last(by), *[F.asc(c) for c in ties]).limit(k)

@@ -65,25 +65,19 @@ def missing_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.unpivot([], [*cols, "overall"], "column", "share_missing")
 
 
-def distinct_values(df: DataFrame, col: str, limit: int = 10_000) -> list:
-    """Values of a category column, which become columns; too many is an error."""
-    rows = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{col} has more than {limit} values, too many for columns")
-    return sorted(r[0] for r in rows)
-
-
 def one_hot(
     df: DataFrame,
     col: str,
     prefix: str,
-    values: Sequence | None = None,
+    values: Sequence,
     tidy: bool = False,
 ) -> DataFrame:
-    """Add a 0/1 column `<prefix>_<value>` for each value of a category."""
+    """Add a 0/1 column `<prefix>_<value>` for each given value of a category.
+
+    The values are columns of the result, so they are given and not searched
+    for; for a category whose values are not known `category_rows` has rows."""
     if tidy:
         df = df.withColumn(col, clean_name(col))
-    values = distinct_values(df, col) if values is None else values
     dummies = {
         f"{prefix}_{v}": F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0))
         for v in values
@@ -91,17 +85,26 @@ def one_hot(
     return df.select("*", *[c.alias(name) for name, c in dummies.items()])
 
 
+def category_rows(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
+    """The long form of `one_hot`: one row per key and value that occurs with
+    it, and the number of rows with both."""
+    known = df.filter(F.col(col).isNotNull())
+    return known.groupBy(*keys, F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 ) -> DataFrame:
     """Keep the first row of each key in the given order.
 
     An aggregate and not a window: the minimum of a struct combines before the
-    shuffle, so a key that holds a large share of the rows does no harm. The
-    order must tell rows apart for the choice to be reproducible.
+    shuffle, so a key that holds a large share of the rows does no harm. A
+    missing value sorts behind all others. The order must tell rows apart for
+    the choice to be reproducible.
     """
+    fields = [F.col(o) if isinstance(o, str) else o for o in order]
     rank = F.struct(
-        *[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)]
+        *[f.alias(f"o{i}{k}") for i, o in enumerate(fields) for k, f in (("n", o.isNull()), ("v", o))]
     )
     rest = [c for c in df.columns if c not in keys]
     best = df.groupBy(*keys).agg(

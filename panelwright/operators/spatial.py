@@ -224,6 +224,9 @@ def nearest_distance(
     levels are joined on their many distinct bucket numbers. Points are
     combined by place and written once, as every level is built from them.
     """
+    # A missing coordinate is no place: such points count for no query, and
+    # such queries have no distance.
+    queries, points = queries.dropna(subset=list(dims)), points.dropna(subset=list(dims))
     points = cut(points.groupBy(*slices, *dims).agg(F.count(F.lit(1)).alias("_n")))
     extent = points.agg(
         F.count(F.lit(1)).alias("points"),
@@ -359,19 +362,24 @@ def distance_to_points(
     cell: float = 0.5,
     out: str = "distance",
 ) -> DataFrame:
-    """The same over event points of their own, given with time and x, y."""
+    """The same over event points of their own, given with time and x, y. A row
+    without coordinates has no distance; an event without them is none."""
+    events = events.dropna(subset=[x, y])
+    placed = F.col(x).isNotNull() & F.col(y).isNotNull()
     dist = nearest_distance(
         df.select(*panel.keys, x, y), events, panel.keys, [x, y], [panel.time], k, cell, out="_dist"
     )
     joined = df.join(dist, panel.keys, "left")
     if k == 1:
         # No distance means that the time has no event.
-        return joined.select(*df.columns, F.coalesce("_dist", F.lit(float(fill))).alias(out))
+        value = F.when(placed, F.coalesce("_dist", F.lit(float(fill))))
+        return joined.select(*df.columns, value.alias(out))
     per_time = events.groupBy(panel.time).agg(F.count(F.lit(1)).alias("_events"))
     value = F.when(F.col("_events").isNull(), F.lit(float(fill))).otherwise(
         F.coalesce("_dist", F.lit(INFINITY))
     )
-    return joined.join(per_time, panel.time, "left").select(*df.columns, value.alias(out))
+    value = F.when(placed, value).alias(out)
+    return joined.join(per_time, panel.time, "left").select(*df.columns, value)
 
 
 def spacetime_distance_to_event(
@@ -390,11 +398,14 @@ def spacetime_distance_to_event(
 
     Time times `t_scale` is a third axis; only events up to the row's time
     count, and there must be more than k of them, else `fill`. For the running
-    number of events only the counts per time meet in one task.
+    number of events only the counts per time meet in one task. A row without
+    coordinates has no distance and is no event.
     """
+    placed = F.col(x).isNotNull() & F.col(y).isNotNull()
     scaled = (F.col(panel.time) * F.lit(float(t_scale))).alias("_z")
-    events = df.filter(F.col(col) > 0)
-    per_time = df.groupBy(panel.time).agg(F.count(F.when(F.col(col) > 0, 1)).alias("_events"))
+    happened = (F.col(col) > 0) & placed
+    events = df.filter(happened)
+    per_time = df.groupBy(panel.time).agg(F.count(F.when(happened, 1)).alias("_events"))
     past = Window.orderBy(panel.time).rowsBetween(Window.unboundedPreceding, 0)
     so_far = per_time.select(panel.time, F.sum("_events").over(past).alias("_so_far"))
     with_count = df.join(so_far, panel.time)
@@ -411,5 +422,5 @@ def spacetime_distance_to_event(
     )
     joined = with_count.join(dist, panel.keys, "left")
     return joined.select(
-        *df.columns, F.coalesce("_dist", F.lit(float(fill))).alias(out)
+        *df.columns, F.when(placed, F.coalesce("_dist", F.lit(float(fill)))).alias(out)
     )

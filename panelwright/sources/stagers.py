@@ -72,7 +72,7 @@ def indicators_by_year(
 def leader_months(
     df: DataFrame,
     code_fixes: Sequence[tuple[int, int]],
-    regimes: Sequence[str] | None = None,
+    regimes: Sequence[str],
     ties: Sequence[str] = ("leader",),
 ) -> DataFrame:
     """One row per country and month, the shortest tenure first, with regime

@@ -15,22 +15,27 @@ from panelwright.workload.frames import (
     user_cells,
     user_day,
     user_events,
+    years_of,
 )
 
-KINDS = {"error": "error", "purchase": "purchase", "view": "view"}
+# All types of events that occur.
+KINDS = {k: k for k in ("click", "error", "purchase", "signup", "view")}
+# Line numbers of an order, one to seven by the tables' definition.
+STEPS = list(range(1, 8))
 
 
 @query(
     "events_to_panel",
     "A1",
-    "t:l g:l count_error:l count_purchase:l count_view:l sum_error:d sum_purchase:d sum_view:d",
-    """SELECT f.t, f.g, coalesce(a, 0) AS count_error, coalesce(b, 0) AS count_purchase, coalesce(c, 0) AS count_view,
-        coalesce(d, 0) AS sum_error, coalesce(e, 0) AS sum_purchase, coalesce(h, 0) AS sum_view
-       FROM full_panel f LEFT JOIN (SELECT t, g, count(*) FILTER (event_type = 'error') AS a,
-         count(*) FILTER (event_type = 'purchase') AS b, count(*) FILTER (event_type = 'view') AS c,
-         sum(value) FILTER (event_type = 'error') AS d, sum(value) FILTER (event_type = 'purchase') AS e,
-         sum(value) FILTER (event_type = 'view') AS h FROM user_events GROUP BY t, g) k
-       ON k.t = f.t AND k.g = f.g""",
+    "t:l g:l " + " ".join(f"count_{k}:l sum_{k}:d" for k in KINDS),
+    "SELECT f.t, f.g, "
+    + ", ".join(f"coalesce(count_{k}, 0) AS count_{k}, coalesce(sum_{k}, 0) AS sum_{k}" for k in KINDS)
+    + " FROM full_panel f LEFT JOIN (SELECT t, g, "
+    + ", ".join(
+        f"count(*) FILTER (event_type = '{k}') AS count_{k}, sum(value) FILTER (event_type = '{k}') AS sum_{k}"
+        for k in KINDS
+    )
+    + " FROM user_events GROUP BY t, g) k ON k.t = f.t AND k.g = f.g",
     ["full_panel", "user_events"],
 )
 def _(t):
@@ -42,9 +47,11 @@ def _(t):
 @query(
     "events_to_region_month",
     "A2",
-    "region:l month_id:l count_open:l count_done:l sum_open:d2 sum_done:d2",
+    "region:l month_id:l count_open:l count_done:l count_part:l sum_open:d2 sum_done:d2 sum_part:d2",
     """SELECT n_regionkey AS region, (year(o_orderdate) - 1980) * 12 + month(o_orderdate) AS month_id,
         count(*) FILTER (o_orderstatus = 'O') AS count_open, count(*) FILTER (o_orderstatus = 'F') AS count_done,
+        count(*) FILTER (o_orderstatus = 'P') AS count_part,
+        coalesce(sum(o_totalprice) FILTER (o_orderstatus = 'P'), 0) AS sum_part,
         coalesce(sum(o_totalprice) FILTER (o_orderstatus = 'O'), 0) AS sum_open,
         coalesce(sum(o_totalprice) FILTER (o_orderstatus = 'F'), 0) AS sum_done
        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""",
@@ -60,7 +67,7 @@ def _(t):
         dated.join(area, "o_custkey"),
         ["region", "month_id"],
         "o_orderstatus",
-        {"open": "O", "done": "F"},
+        {"open": "O", "done": "F", "part": "P"},
         "o_totalprice",
     )
 
@@ -134,19 +141,33 @@ def _(t):
         (o_orderpriority = '5-LOW')::INT AS pr_5_low FROM orders""",
 )
 def _(t):
-    return R.one_hot(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority", "pr", tidy=True)
+    values = ["1_urgent", "2_high", "3_medium", "4_not_specified", "5_low"]
+    return R.one_hot(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderpriority", "pr", values, tidy=True)
+
+
+@query(
+    "category_rows",
+    "A6",
+    "o_custkey:l value:s n:l",
+    "SELECT o_custkey, o_orderpriority AS value, count(*) AS n FROM orders GROUP BY 1, 2",
+)
+def _(t):
+    return R.category_rows(t.orders, ["o_custkey"], "o_orderpriority")
 
 
 @query(
     "first_row_per_key",
     "A7",
     "o_custkey:l year:l o_orderkey:l o_totalprice:d2",
-    """SELECT o_custkey, year, o_orderkey, o_totalprice FROM (SELECT *, year(o_orderdate) AS year,
-        row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_totalprice, o_orderkey) AS r FROM orders)
+    """SELECT o_custkey, year, o_orderkey, price AS o_totalprice FROM (SELECT *, row_number() OVER (
+          PARTITION BY o_custkey, year ORDER BY price NULLS LAST, o_orderkey) AS r
+        FROM (SELECT *, year(o_orderdate) AS year, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS price FROM orders))
        WHERE r = 1""",
 )
 def _(t):
-    rows = t.orders.select("o_custkey", F.year("o_orderdate").alias("year"), "o_orderkey", "o_totalprice")
+    # Every fifth price is missing, so that a missing value must not win.
+    price = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice")).alias("o_totalprice")
+    rows = t.orders.select("o_custkey", F.year("o_orderdate").alias("year"), "o_orderkey", price)
     return R.first_per_key(rows, ["o_custkey", "year"], ["o_totalprice", "o_orderkey"])
 
 
@@ -159,7 +180,7 @@ def _(t):
     ["nation_month"],
 )
 def _(t):
-    years = [str(y) for y in range(1995, 2002)]
+    years = years_of(t)
     long = nation_month(t).select(
         "g",
         (F.lit(1980) + F.floor((F.col("t") - 1) / 12)).cast("string").alias("year"),
@@ -226,25 +247,24 @@ def _(t):
     "S2",
     "l_partkey:l revenue:d2",
     """SELECT l_partkey, sum(l_extendedprice * (1 - l_discount)) AS revenue FROM lineitem GROUP BY 1
-       ORDER BY revenue DESC LIMIT 20""",
+       ORDER BY revenue DESC, l_partkey LIMIT 20""",
 )
 def _(t):
     revenue = F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")
-    return top_k(t.lineitem.groupBy("l_partkey").agg(revenue), "revenue", 20)
+    return top_k(t.lineitem.groupBy("l_partkey").agg(revenue), "revenue", 20, ["l_partkey"])
 
 
 @query(
     "importance_table",
     "S3",
-    "feature:s step_1:d2 step_2:d2 step_3:d2",
-    """SELECT p_brand AS feature, sum(l_extendedprice) FILTER (l_linenumber = 1) AS step_1,
-        sum(l_extendedprice) FILTER (l_linenumber = 2) AS step_2, sum(l_extendedprice) FILTER (l_linenumber = 3) AS step_3
-       FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber IN (1, 2, 3) GROUP BY 1
-       ORDER BY step_1 DESC LIMIT 10""",
+    "feature:s " + " ".join(f"step_{s}:d2" for s in STEPS),
+    "SELECT p_brand AS feature, "
+    + ", ".join(f"sum(l_extendedprice) FILTER (l_linenumber = {s}) AS step_{s}" for s in STEPS)
+    + " FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1 ORDER BY step_1 DESC NULLS LAST, 1 LIMIT 10",
 )
 def _(t):
     joined = t.lineitem.select("l_partkey", "l_linenumber", "l_extendedprice").join(
         t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("feature")), "l_partkey"
     )
-    wide = joined.groupBy("feature").pivot("l_linenumber", [1, 2, 3]).agg(F.sum("l_extendedprice"))
-    return top_k(wide.toDF("feature", "step_1", "step_2", "step_3"), "step_1", 10)
+    wide = joined.groupBy("feature").pivot("l_linenumber", STEPS).agg(F.sum("l_extendedprice"))
+    return top_k(wide.toDF("feature", *[f"step_{s}" for s in STEPS]), "step_1", 10, ["feature"])

@@ -87,6 +87,12 @@ def nation_month(tables: Tables) -> DataFrame:
     )
 
 
+def years_of(tables: Tables) -> list[str]:
+    """All years with orders, which become columns: a bounded calendar."""
+    span = tables.orders.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    return [] if span[0] is None else [str(y) for y in range(span[0], span[1] + 1)]
+
+
 def user_cells(tables: Tables) -> DataFrame:
     """Users as cells of a grid, with row, column and centroid."""
     return place_on_grid(tables.events.select(F.col("user_id").alias("g")).distinct())

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from panelwright.functions.scalars import logodds_to_prob, prob_to_logodds
 from panelwright.operators import calibration as C
 from panelwright.operators import evaluation as E
+from panelwright.panel import Period
 from panelwright.workload.base import query
 from panelwright.workload.frames import (
     PANEL,
@@ -183,6 +184,26 @@ def _(t):
     )
 
 
+OVERLAP = [Period("early", 0, 4, 5, 10), Period("late", 0, 7, 8, 14)]
+
+
+@query(
+    "evaluation_of_overlapping_periods",
+    ("E1", "E15"),
+    "period:s step:s variant:s metric:s value:d4",
+    """WITH pairs AS (SELECT p.name AS period, v AS y, f_a AS f FROM outcome_frame o
+          JOIN (VALUES ('early', 5, 10), ('late', 8, 14)) p(name, a, b) ON o.t BETWEEN p.a AND p.b),
+        wide AS (SELECT period, '1' AS step, 'uncalibrated' AS variant, avg(pow(y - f, 2)) AS mse, avg(abs(y - f)) AS mae,
+          1 - sum(pow(y - f, 2)) / (var_pop(y) * count(*)) AS r2 FROM pairs GROUP BY ALL)
+       UNPIVOT wide ON mse, mae, r2 INTO NAME metric VALUE value""",
+    ["outcome_frame"],
+)
+def _(t):
+    label = {(1, "uncalibrated"): ("f_a", 1)}
+    pairs = E.evaluation_frame(outcome_frame(t), PANEL, "v", label, OVERLAP)
+    return E.evaluate(pairs, ["period", "step", "variant"], "real")
+
+
 @query(
     "evaluation_of_all_predictions",
     ("E1", "E15"),

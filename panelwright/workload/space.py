@@ -78,25 +78,27 @@ def _(t):
 
 
 def _cells_with_flag(t):
-    """The panel with centroids and a 0/1 flag that is 1 in a few cells a day."""
+    """The panel with centroids, of which some cells have none, and a 0/1 flag
+    that is 1 in a few cells a day."""
     flag = (F.col("n_purchase") >= 3).cast("int")
-    return place_on_grid(full_panel(t)).withColumn("flag", flag)
+    x = F.when(F.col("g") % 11 != 3, F.col("x"))
+    return place_on_grid(full_panel(t)).withColumns({"flag": flag, "x": x})
 
 
-FLAGGED = """SELECT f.t, f.g, c.x, c.y, (f.n_purchase >= 3)::INT AS flag
+FLAGGED = """SELECT f.t, f.g, CASE WHEN f.g % 11 <> 3 THEN c.x END AS x, c.y, (f.n_purchase >= 3)::INT AS flag
     FROM full_panel f JOIN user_cells c ON c.g = f.g"""
 
 
 def _nearest_sql(k: int, out: str, join: str, time_part: str, enough: str, fill: float) -> str:
     """Brute force: every row against every event it may see."""
-    return f"""SELECT t, g, CASE WHEN NOT {enough} THEN {fill}
+    return f"""SELECT t, g, CASE WHEN x IS NULL THEN NULL WHEN NOT {enough} THEN {fill}
           WHEN n < {k} THEN 'infinity'::DOUBLE ELSE {out}_sum / {k} END AS {out}
-        FROM (SELECT t, g, max(n) AS n, sum(d) FILTER (r <= {k}) AS {out}_sum FROM (
-          SELECT a.t, a.g, sqrt(pow(a.x - e.x, 2) + pow(a.y - e.y, 2) + {time_part}) AS d,
+        FROM (SELECT t, g, x, max(n) AS n, sum(d) FILTER (r <= {k}) AS {out}_sum FROM (
+          SELECT a.t, a.g, a.x, sqrt(pow(a.x - e.x, 2) + pow(a.y - e.y, 2) + {time_part}) AS d,
             count(e.g) OVER (PARTITION BY a.t, a.g) AS n,
             row_number() OVER (PARTITION BY a.t, a.g ORDER BY pow(a.x - e.x, 2) + pow(a.y - e.y, 2) + {time_part}) AS r
-          FROM ({FLAGGED}) a LEFT JOIN (SELECT * FROM ({FLAGGED}) WHERE flag = 1) e ON {join})
-          GROUP BY t, g)"""
+          FROM ({FLAGGED}) a LEFT JOIN (SELECT * FROM ({FLAGGED}) WHERE flag = 1 AND x IS NOT NULL) e ON {join})
+          GROUP BY t, g, x)"""
 
 
 @query(
@@ -151,22 +153,24 @@ def _event_points(t):
     """Purchases as points near their user's cell."""
     rows = place_on_grid(user_events(t)).filter(F.col("event_type") == "purchase")
     shift = F.col("event_id") % 10 / 10.0
-    return rows.select("t", (F.col("gcol") + shift).alias("x"), (F.col("grow") + shift).alias("y"))
+    # Some purchases have no place.
+    y = F.when(F.col("event_id") % 7 != 2, F.col("grow") + shift)
+    return rows.select("t", (F.col("gcol") + shift).alias("x"), y.alias("y"))
 
 
 @query(
     "distance_to_event_points",
     "SP8",
     "t:l g:l distance:d",
-    """SELECT f.t, f.g, coalesce(min(sqrt(pow(c.x - e.x, 2) + pow(c.y - e.y, 2))), 99) AS distance
+    """SELECT f.t, f.g, CASE WHEN f.g % 11 <> 3 THEN coalesce(min(sqrt(pow(c.x - e.x, 2) + pow(c.y - e.y, 2))), 99) END AS distance
        FROM full_panel f JOIN user_cells c ON c.g = f.g LEFT JOIN
        (SELECT t, g % 15 + event_id % 10 / 10e0 AS x, g // 15 + event_id % 10 / 10e0 AS y FROM user_events
-        WHERE event_type = 'purchase') e ON e.t = f.t GROUP BY 1, 2""",
+        WHERE event_type = 'purchase' AND event_id % 7 <> 2) e ON e.t = f.t GROUP BY 1, 2""",
     ["full_panel", "user_cells", "user_events"],
 )
 def _(t):
     return SP.distance_to_points(
-        place_on_grid(full_panel(t)), _event_points(t), PANEL, "x", "y", cell=1.0
+        _cells_with_flag(t), _event_points(t), PANEL, "x", "y", cell=1.0
     ).select("t", "g", "distance")
 
 

@@ -15,9 +15,13 @@ from panelwright.sources import pages as PG
 from panelwright.sources import raster as RA
 from panelwright.sources import stagers as ST
 from panelwright.workload.base import query
-from panelwright.workload.frames import PANEL, full_panel, nation_month
+from panelwright.workload.frames import PANEL, full_panel, nation_month, years_of
 from panelwright.workload.gaps import interpolation_sql
 
+# All types of events that occur, and of parts as forms of government.
+KINDS = ["click", "error", "purchase", "signup", "view"]
+REGIMES = ["economy_plus", "large", "medium", "promo", "small", "standard"]
+
 
 @query(
     "csv_round_trip",
@@ -208,12 +212,13 @@ def _(t):
 @query(
     "leaders_staged",
     ("PL4", "P11", "A6", "A7", "F13"),
-    "ccode:l year:l month:l tenure_months:l leader:s gov_medium:l gov_economy_plus:l",
-    """SELECT ccode, year, month, tenure_months, leader, (government = 'medium')::INT AS gov_medium,
-        (government = 'economy_plus')::INT AS gov_economy_plus FROM (SELECT *, row_number() OVER
-         (PARTITION BY ccode, year, month ORDER BY tenure_months, leader) AS r FROM (
+    "ccode:l year:l month:l tenure_months:l leader:s " + " ".join(f"gov_{r}:l" for r in REGIMES),
+    "SELECT ccode, year, month, tenure_months, leader, "
+    + ", ".join(f"(government = '{r}')::INT AS gov_{r}" for r in REGIMES)
+    + """ FROM (SELECT *, row_number() OVER
+         (PARTITION BY ccode, year, month ORDER BY tenure_months NULLS LAST, leader) AS r FROM (
           SELECT CASE WHEN p_size IN (3, 4) THEN 5 ELSE p_size END AS ccode, 2000 + p_partkey % 3 AS year, 1 + p_partkey % 12 AS month,
-            CAST(substr(p_brand, 7) AS INT) AS tenure_months, p_name || p_partkey AS leader,
+            CASE WHEN p_partkey % 4 <> 1 THEN CAST(substr(p_brand, 7) AS INT) END AS tenure_months, p_name || p_partkey AS leader,
             CASE WHEN p_type = 'ECONOMY' THEN 'economy_plus' ELSE lower(p_type) END AS government FROM part)) WHERE r = 1""",
 )
 def _(t):
@@ -222,11 +227,12 @@ def _(t):
         F.col("p_size").alias("ccode"),
         (F.lit(2000) + F.col("p_partkey") % 3).alias("year"),
         (F.lit(1) + F.col("p_partkey") % 12).alias("month"),
-        F.substring("p_brand", 7, 9).cast("int").alias("tenure_months"),
+        # Every fourth tenure is missing, so that a missing one must not win.
+        F.when(F.col("p_partkey") % 4 != 1, F.substring("p_brand", 7, 9).cast("int")).alias("tenure_months"),
         F.concat("p_name", "p_partkey").alias("leader"),
         kind.alias("government"),
     )
-    return ST.leader_months(rows, [(3, 4), (4, 5)], ["medium", "economy_plus"])
+    return ST.leader_months(rows, [(3, 4), (4, 5)], REGIMES)
 
 
 @query(
@@ -238,7 +244,7 @@ def _(t):
     ["nation_month"],
 )
 def _(t):
-    years = [str(y) for y in range(1995, 2002)]
+    years = years_of(t)
     pair = F.array(
         F.struct(F.lit("NY.GDP.Total").alias("Indicator Code"), F.col("total").alias("v")),
         F.struct(F.lit("NY.GDP.Count").alias("Indicator Code"), F.col("n_orders").cast("double").alias("v")),
@@ -255,13 +261,18 @@ def _(t):
 @query(
     "raster_on_panel",
     ("PL5", "SP2", "J10", "J11", "W13"),
-    "t:l g:l dry:d wet:d",
+    "t:l g:l " + " ".join(f"{k}:d" for k in KINDS),
     """WITH raster AS (SELECT (t + 529) AS month_id, floor(lat + 90) * 360 + floor(lon + 180) + 1 AS parent, kind, value FROM (
           SELECT t, g // 15 * 0.5e0 AS lat, g % 15 * 0.5e0 AS lon, event_type AS kind, value FROM user_events)),
-        coarse AS (SELECT parent, month_id, avg(value) FILTER (kind = 'error') AS dry, avg(value) FILTER (kind = 'view') AS wet FROM raster GROUP BY 1, 2),
+        coarse AS (SELECT parent, month_id, """
+    + ", ".join(f"avg(value) FILTER (kind = '{k}') AS {k}" for k in KINDS)
+    + """ FROM raster GROUP BY 1, 2),
         cells AS (SELECT DISTINCT (g // 15 + 180) * 720 + g % 15 + 360 + 1 AS g, floor(g // 15 * 0.5e0 + 90) * 360 + floor(g % 15 * 0.5e0 + 180) + 1 AS parent FROM users)
-       SELECT t, g, coalesce(last_value(dry IGNORE NULLS) OVER w, 0) AS dry, coalesce(last_value(wet IGNORE NULLS) OVER w, 0) AS wet FROM (
-         SELECT d.t + 529 AS t, c.g, dry, wet FROM cells c CROSS JOIN days d LEFT JOIN coarse k ON k.parent = c.parent AND k.month_id = d.t + 529)
+       SELECT t, g, """
+    + ", ".join(f"coalesce(last_value({k} IGNORE NULLS) OVER w, 0) AS {k}" for k in KINDS)
+    + """ FROM (SELECT d.t + 529 AS t, c.g, """
+    + ", ".join(KINDS)
+    + """ FROM cells c CROSS JOIN days d LEFT JOIN coarse k ON k.parent = c.parent AND k.month_id = d.t + 529)
        WINDOW w AS (PARTITION BY g ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     ["user_events", "users", "days"],
 )
@@ -273,15 +284,13 @@ def _(t):
     rows = t.events.select(
         lat.alias("lat"), lon.alias("lon"), date.alias("date"), "event_type", "value", day.alias("day")
     )
-    names = ["error", "view"]
     coarse = RA.raster_to_coarse_months(
-        rows.filter(F.col("event_type").isin(names)), "lat", "lon", "date", "event_type", "value", names
+        rows, "lat", "lon", "date", "event_type", "value", KINDS
     )
     span = rows.agg(F.struct(F.min("day").alias("a"), F.max("day").alias("b"))).scalar()
     cells = rows.select(grid_id("lat", "lon").alias("g")).distinct()
     skeleton = skeleton_between(cells, PANEL, span["a"] + 529, span["b"] + 529)
-    out = RA.spread_to_panel(skeleton, coarse, PANEL, names)
-    return out.withColumnsRenamed({"error": "dry", "view": "wet"})
+    return RA.spread_to_panel(skeleton, coarse, PANEL, KINDS)
 
 
 # --- pages -----------------------------------------------------------------

@@ -146,7 +146,7 @@ def test_first_per_key_and_one_hot(spark):
         [(1, 3, "b", "A / B"), (1, 2, "c", None), (2, 9, "d", "A-B")], "k long, o long, v string, c string"
     )
     assert rows(R.first_per_key(df, ["k"], ["o"]), "k", "o", "v") == [(1, 2, "c"), (2, 9, "d")]
-    hot = R.one_hot(df, "c", "p", tidy=True)
+    hot = R.one_hot(df, "c", "p", ["a_b"], tidy=True)
     assert rows(hot, "v", "p_a_b") == [("b", 1), ("c", 0), ("d", 1)]
 
 
