@@ -13,6 +13,7 @@ from panelwright.functions.scalars import logodds_to_prob, prob_to_logodds
 
 NEWTON_ROUNDS = 35
 NEWTON_TOLERANCE = 1e-10
+HALVINGS = 20
 
 
 def calibrate_real_columns(
@@ -60,7 +61,9 @@ def fit_logit(
     Equal rows are first combined into one with a count, as many rows of a
     sparse panel get the same prediction. Each round is one aggregate of six
     sums; only these sums reach the driver. A step that lowers the likelihood
-    is halved, and the number of rounds is bounded, so separated data ends too.
+    is halved. A constant prediction gets slope 0 and the outcome's mean. An
+    error is raised where there is no fit: on a constant outcome, on outcomes
+    that the prediction separates, and when the rounds run out.
     """
     rows = (
         df.groupBy(F.col(y).cast("double").alias("y"), F.col(x).cast("double").alias("x"))
@@ -84,28 +87,41 @@ def fit_logit(
                 F.sum(n * w * x),
                 F.sum(n * w * x * x),
                 F.sum(n * (F.col("y") * eta - soft)),
+                F.sum(n * F.col("y")) / F.sum(n),
             ).first()
 
         b0 = b1 = 0.0
         now = sums(b0, b1)
         if now[5] is None:
             raise ValueError("there are no rows to calibrate on")
+        mean = now[6]
+        if not 0 < mean < 1:
+            raise ValueError("a logit has no fit: the outcome is constant")
+        if now[2] * now[4] - now[3] ** 2 <= 1e-14 * now[2] * now[4]:
+            return math.log(mean / (1 - mean)), 0.0
+        step = math.inf
         for _ in range(rounds):
-            g0, g1, h00, h01, h11, like = now
+            g0, g1, h00, h01, h11, like, _ = now
             det = h00 * h11 - h01 * h01
-            if det <= 0 or not math.isfinite(det):
-                break
+            if det <= 1e-14 * max(h00 * h11, 1e-300) or not math.isfinite(det):
+                raise ValueError("a logit has no fit: the outcome is separated by the prediction")
             d0, d1 = (h11 * g0 - h01 * g1) / det, (h00 * g1 - h01 * g0) / det
             scale = 1.0
-            for _ in range(20):
+            for _ in range(HALVINGS):
                 trial = sums(b0 + scale * d0, b1 + scale * d1)
                 if trial[5] >= like - 1e-12 * abs(like):
                     break
                 scale /= 2
+            else:
+                raise ValueError(f"a logit has no fit: no step of {HALVINGS} halvings raises the likelihood")
             b0, b1, now = b0 + scale * d0, b1 + scale * d1, trial
-            if max(abs(d0), abs(d1)) * scale < NEWTON_TOLERANCE:
-                break
-        return b0, b1
+            step = max(abs(d0), abs(d1)) * scale
+            if step < NEWTON_TOLERANCE * max(1.0, abs(b0), abs(b1)):
+                return b0, b1
+        raise ValueError(
+            f"a logit has no fit after {rounds} rounds, the last step was {step:.3g}: "
+            "the outcome may be separated by the prediction"
+        )
     finally:
         rows.unpersist()
 
@@ -123,13 +139,6 @@ def check_probabilities(df: DataFrame, cols: Sequence[str], what: str) -> None:
             raise ValueError(f"{what}: {c} has values outside [0, 1]")
 
 
-def check_same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when two frames do not have the same keys."""
-    k = list(keys)
-    if not a.join(b, k, "left_anti").isEmpty() or not b.join(a, k, "left_anti").isEmpty():
-        raise ValueError("calibration predictions and outcomes have different keys")
-
-
 def calibrate_prob(
     test: DataFrame,
     test_pred: str,

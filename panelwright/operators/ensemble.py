@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -104,7 +105,9 @@ def fit_weights(
             weights, like = list(got[:-1]), got[-1]
             if before is not None and abs(like - before) < tolerance:
                 break
-            before = like
+            change, before = like - (before or 0.0), like
+        else:
+            warnings.warn(f"weights have not settled after {max_iter} rounds, the last change was {change:.3g}")
         return weights, rounds, like
     finally:
         rows.unpersist()
@@ -148,15 +151,15 @@ def cross_level(
     low_col: str,
     out: str,
     max_missing: float = 0.01,
-    check: bool = False,
+    check: bool = True,
 ) -> DataFrame:
     """Share an area's probability out over its cells.
 
     A cell gets the area's probability times its part of the sum of the cells'
     probabilities. The sums are combined before the shuffle and joined back,
     so an area with very many cells is not gathered in one task. What is
-    missing afterwards becomes the mean; with `check`, more than `max_missing`
-    of it is an error.
+    missing afterwards becomes the mean; more than `max_missing` of it is an
+    error unless `check` is off.
     """
     sums = high.groupBy(time, area).agg(F.sum(high_col).alias("_sum"))
     areas = sums.join(low.select(time, area, F.col(low_col).alias("_low")), [time, area], "left")

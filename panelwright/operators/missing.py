@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.windows import forward_fill
-from panelwright.lineage import cut
+from panelwright.lineage import Rounds
 from panelwright.operators.joins import left_join_keeping_rows
-from panelwright.operators.ranking import draw_with_replacement, take_share
+from panelwright.operators.ranking import draw_with_replacement, take_share, uniform
 from panelwright.operators.reshape import clip_to_observed, numeric_columns, union_all
 from panelwright.operators.shape import between_times
 from panelwright.panel import Panel
@@ -20,9 +21,6 @@ from panelwright.panel import Panel
 # How close to the threshold counts as being on it.
 CLOSE_ABSOLUTE, CLOSE_RELATIVE = 1e-8, 1e-5
 
-# Columns updated by chained equations before the lineage is cut.
-CUT_EVERY = 8
-
 
 def extrapolate(df: DataFrame, panel: Panel, cols: Sequence[str] | None = None) -> DataFrame:
     """Linear between observed values by row position, nearest value outside.
@@ -119,15 +117,67 @@ def forward_fill_then_zero(
 # --- chained equations -----------------------------------------------------
 
 
-def _regressor(kind: str, seed: int):
-    if kind == "linear":
-        return LinearRegression(regParam=1e-6)
-    if kind == "tree":
-        # One unbagged tree that looks at the square root of the features.
-        return RandomForestRegressor(
-            numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt", seed=seed, maxDepth=10
-        )
-    raise ValueError(f"unknown estimator {kind}, know linear and tree")
+def _linear(
+    state: DataFrame,
+    panel: Panel,
+    col: str,
+    others: Sequence[str],
+    centres: dict[str, float],
+    draw: tuple[int, int, int] | None,
+) -> Column:
+    """A Bayesian linear regression of a column on the others, as the column
+    that fills its gaps.
+
+    The sums of products of all columns are one aggregate; nothing else reaches
+    the driver. With `draw` (seed, round, column) the coefficients are drawn
+    from their posterior and every row gets noise of the residual's size; both
+    depend on the draw and the row's key alone. Without it the coefficients are
+    those of least squares, of least norm where they are not unique.
+    """
+    names = [*others, col]
+    x = {c: F.col(f"_x_{c}") - F.lit(centres[c]) for c in names}
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[: i + 1]]
+    known = state.filter(~F.col(f"_gap_{col}"))
+    got = known.agg(F.count(F.lit(1)), *[F.sum(x[a]) for a in names], *[F.sum(x[a] * x[b]) for a, b in pairs]).first()
+    n, sums, products = got[0], got[1 : 1 + len(names)], got[1 + len(names) :]
+    size = len(names) + 1
+    gram = np.zeros((size, size))
+    gram[0, 0] = n
+    gram[0, 1:] = gram[1:, 0] = sums
+    for (a, b), value in zip(pairs, products):
+        i, j = names.index(a) + 1, names.index(b) + 1
+        gram[i, j] = gram[j, i] = value
+    # Scaled, so that columns of different units weigh the same.
+    unit = np.sqrt(np.where(np.diag(gram) > 0, np.diag(gram), 1.0))
+    left = gram[:-1, :-1] / np.outer(unit[:-1], unit[:-1])
+    inverse = np.linalg.pinv(left, rcond=1e-12, hermitian=True)
+    weights = inverse @ (gram[:-1, -1] / unit[:-1])
+    noise = F.lit(0.0)
+    if draw is not None:
+        spent = gram[-1, -1] - weights @ (gram[:-1, -1] / unit[:-1])
+        sigma = float(np.sqrt(max(spent, 0.0) / max(1, n - len(names))))
+        values, vectors = np.linalg.eigh((inverse + inverse.T) / 2)
+        normal = np.random.default_rng(draw).standard_normal(len(values))
+        weights = weights + sigma * (vectors * np.sqrt(np.maximum(values, 0.0))) @ normal
+        # Two uniform numbers of the row make a normal one.
+        u, v = (uniform(*[F.col(k) for k in panel.keys], F.lit(f"{c}|{draw[2]}"), draw[0], draw[1]) for c in "uv")
+        noise = F.lit(sigma) * F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u)) * F.cos(F.lit(2 * np.pi) * v)
+    weights = weights / unit[:-1]
+    guess = F.lit(centres[col] + float(weights[0])) + noise
+    for c, w in zip(others, weights[1:]):
+        guess = guess + F.lit(float(w)) * x[c]
+    return guess
+
+
+def _tree(state: DataFrame, col: str, others: Sequence[str], seed: int) -> tuple[DataFrame, Column]:
+    """One unbagged tree that looks at the square root of the features."""
+    assembler = VectorAssembler(inputCols=[f"_x_{o}" for o in others], outputCol="_features")
+    rows = assembler.transform(state)
+    regressor = RandomForestRegressor(
+        numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt", seed=seed, maxDepth=10,
+        featuresCol="_features", labelCol=f"_x_{col}", predictionCol="_guess",
+    )
+    return regressor.fit(rows.filter(~F.col(f"_gap_{col}"))).transform(rows), F.col("_guess")
 
 
 def impute_chained(
@@ -137,16 +187,22 @@ def impute_chained(
     seed: int = 0,
     max_iter: int = 10,
     estimator: str = "linear",
+    draws: bool = True,
 ) -> DataFrame:
     """One imputation by chained equations.
 
     Missing cells start at the column mean; then, column by column from the
     one with the fewest gaps, a regression on all other columns is fitted on
-    the observed rows and predicts the gaps, for `max_iter` rounds. Fitting
-    and predicting are Spark jobs over the whole panel; the lineage is cut
-    every few columns. Results are bounded by the observed range; columns that
-    are not numeric or have no value at all are left alone.
+    the observed rows and predicts the gaps, for `max_iter` rounds. With
+    `draws` the linear regression fills in draws from its posterior, so that
+    imputations of different seeds differ by what the data leave open; without,
+    its best guess. Fitting and predicting are Spark jobs over the whole panel.
+    The columns that take part are written once a round, and the copy before is
+    removed. Results are bounded by the observed range; columns that are not
+    numeric or have no value at all are left alone.
     """
+    if estimator not in ("linear", "tree"):
+        raise ValueError(f"unknown estimator {estimator}, know linear and tree")
     cols = numeric_columns(df, panel.keys) if cols is None else list(cols)
     counts = df.agg(
         F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in cols]
@@ -156,36 +212,33 @@ def impute_chained(
     order = sorted((c for c in cols if gaps[c] > 0), key=lambda c: (gaps[c], c))
     if not order or len(cols) < 2:
         return df
-    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in cols])).scalar()
+    centres = df.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
     state = df.select(
-        "*",
+        *panel.keys,
         *[F.col(c).isNull().alias(f"_gap_{c}") for c in order],
-        *[F.coalesce(F.col(c).cast("double"), means[c]).alias(f"_x_{c}") for c in cols],
+        *[F.coalesce(F.col(c).cast("double"), F.lit(centres[c])).alias(f"_x_{c}") for c in cols],
     )
-    state = cut(state)
+    kept = Rounds(df.sparkSession, "imputation")
+    state = kept.put(state)
+    names = state.columns
     for round_no in range(max_iter):
         for i, c in enumerate(order):
-            others = [f"_x_{o}" for o in cols if o != c]
-            assembler = VectorAssembler(inputCols=others, outputCol="_features")
-            rows = assembler.transform(state)
-            fitted = _regressor(estimator, seed * 1000 + round_no * 100 + i).setParams(
-                featuresCol="_features", labelCol=f"_x_{c}", predictionCol="_guess"
-            ).fit(rows.filter(~F.col(f"_gap_{c}")))
-            state = (
-                fitted.transform(rows)
-                .withColumn(
-                    f"_x_{c}",
-                    F.when(F.col(f"_gap_{c}"), F.col("_guess")).otherwise(F.col(f"_x_{c}")),
-                )
-                .drop("_features", "_guess")
-            )
-            # A fit runs through the updates since the last cut once more.
-            if i % CUT_EVERY == CUT_EVERY - 1 or i == len(order) - 1:
-                state = cut(state)
-    filled = state.select(
-        *[F.col(f"_x_{c}").alias(c) if c in cols else F.col(c) for c in df.columns]
+            others = [o for o in cols if o != c]
+            if estimator == "linear":
+                draw = (seed, round_no, i) if draws else None
+                rows, guess = state, _linear(state, panel, c, others, centres, draw)
+            else:
+                tree_seed = int(np.random.default_rng((seed, round_no, i)).integers(1 << 62))
+                rows, guess = _tree(state, c, others, tree_seed)
+            filled = F.when(F.col(f"_gap_{c}"), guess).otherwise(F.col(f"_x_{c}"))
+            state = rows.withColumn(f"_x_{c}", filled).select(*names)
+        state = kept.put(state)
+    done = state.select(*panel.keys, *[F.col(f"_x_{c}").alias(f"_done_{c}") for c in order])
+    joined = df.join(done, panel.keys, "left")
+    filled = joined.select(
+        *[F.coalesce(F.col(c).cast("double"), F.col(f"_done_{c}")).alias(c) if c in order else F.col(c) for c in df.columns]
     )
-    return clip_to_observed(filled, df, cols)
+    return clip_to_observed(filled, df, order)
 
 
 def imputations(
@@ -204,7 +257,7 @@ def impute_window_extrapolate_rest(
     seed: int = 0,
     estimator: str = "tree",
     max_iter: int = 10,
-    impute: bool = True,
+    draws: bool = True,
 ) -> DataFrame:
     """Fill a window of years completely, then carry it to all other years.
 
@@ -214,8 +267,7 @@ def impute_window_extrapolate_rest(
     """
     inside = between_times(df, panel.time, first, last)
     inside = extrapolate(fill_groups_with_time_means(inside, panel), panel)
-    if impute:
-        inside = impute_chained(inside, panel, seed=seed, estimator=estimator, max_iter=max_iter)
+    inside = impute_chained(inside, panel, None, seed, max_iter, estimator, draws)
     full = left_join_keeping_rows(df.select(*panel.keys), inside, panel.keys)
     return extrapolate(full, panel)
 

@@ -281,7 +281,7 @@ def _(t):
 @query("permutation_importance", "MO10", "feature:s sample:s importance:d")
 def _(t):
     model = _linear(t, periods=(PERIOD_B,))
-    return model.permutation_importance(full_panel(t), PERIOD_B, 1, repeats=3)
+    return model.permutation_importance(full_panel(t), PERIOD_B, 1)
 
 
 @query(
@@ -433,7 +433,7 @@ def _(t):
     "ensemble_cross_level",
     "EN4",
     "t:l g:l joint:d",
-    """WITH high AS (SELECT t, g, g // 10 AS area, CASE WHEN g % 50 <> 0 THEN p_a END AS p_a FROM outcome_frame),
+    """WITH high AS (SELECT t, g, g // 10 AS area, CASE WHEN (t * 7 + g) % 150 <> 0 THEN p_a END AS p_a FROM outcome_frame),
         low AS (SELECT t, g // 10 AS area, max(p_b) AS p_low FROM outcome_frame GROUP BY 1, 2),
         joint AS (SELECT h.t, h.g, p_low * h.p_a / nullif(s.total, 0) AS joint FROM high h
           JOIN (SELECT t, area, sum(p_a) AS total FROM high GROUP BY 1, 2) s ON s.t = h.t AND s.area = h.area
@@ -444,5 +444,5 @@ def _(t):
 def _(t):
     rows = outcome_frame(t).withColumn("area", F.floor(F.col("g") / 10))
     low = rows.groupBy("t", "area").agg(F.max("p_b").alias("p_low"))
-    high = rows.select("t", "g", "area", F.when(F.col("g") % 50 != 0, F.col("p_a")).alias("p_a"))
+    high = rows.select("t", "g", "area", F.when((F.col("t") * 7 + F.col("g")) % 150 != 0, F.col("p_a")).alias("p_a"))
     return EN.cross_level(high, low, "t", "area", "p_a", "p_low", "joint")

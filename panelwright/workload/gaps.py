@@ -99,13 +99,89 @@ def _(t):
     return M.fill_with_group_and_global_means(_sparse(t), PANEL)
 
 
-@query("chained_imputation", "M5", "t:l g:l n_events:d n_error:d value_sum:d value_max:d")
+HOLED = """SELECT t, g, value_sum AS s, CASE WHEN g % 4 <> 0 THEN value_max END AS m FROM full_panel"""
+
+
+def _holed(t):
+    """Two columns with gaps of their own; days without events lack both."""
+    maximum = F.when(F.col("g") % 4 != 0, F.col("value_max")).alias("m")
+    return full_panel(t).select("t", "g", F.col("value_sum").alias("s"), maximum)
+
+
+def chained_sql(rounds: int) -> str:
+    """The rounds as a chain of frames: first s on m, then m on s."""
+    parts = [
+        f"holed AS MATERIALIZED ({HOLED})",
+        """x0 AS MATERIALIZED (SELECT t, g, s IS NULL AS no_s, m IS NULL AS no_m, coalesce(s, avg(s) OVER ()) AS s,
+          coalesce(m, avg(m) OVER ()) AS m FROM holed)""",
+    ]
+    for i in range(2 * rounds):
+        y, x = ("s", "m") if i % 2 == 0 else ("m", "s")
+        parts.append(
+            f"""x{i + 1} AS MATERIALIZED (SELECT t, g, no_s, no_m, {x}, CASE WHEN no_{y} THEN a + b * {x} ELSE {y} END AS {y} FROM x{i},
+              (SELECT regr_intercept({y}, {x}) AS a, regr_slope({y}, {x}) AS b FROM x{i} WHERE NOT no_{y}))"""
+        )
+    bound = lambda c: f"greatest(least({c}, (SELECT max({c}) FROM holed)), (SELECT min({c}) FROM holed)) AS {c}"
+    return "WITH " + ",\n".join(parts) + f" SELECT t, g, {bound('s')}, {bound('m')} FROM x{2 * rounds}"
+
+
+@query("chained_imputation", "M5", "t:l g:l s:d m:d", chained_sql(10), ["full_panel"])
+def _(t):
+    return M.impute_chained(_holed(t), PANEL, draws=False)
+
+
+@query(
+    "imputations_differ",
+    "M5",
+    "name:s gaps:l inside:l mostly_differ:l",
+    f"""WITH holed AS ({HOLED})
+       SELECT 's' AS name, count(*) AS gaps, count(*) AS inside, 1 AS mostly_differ FROM holed WHERE s IS NULL
+       UNION ALL SELECT 'm', count(*), count(*), 1 FROM holed WHERE m IS NULL""",
+    ["full_panel"],
+)
 def _(t):
-    panel = full_panel(t).select("t", "g", "n_events", "n_error", "value_sum", "value_max")
-    return M.impute_chained(panel, PANEL, max_iter=2)
+    # Two imputations fill every gap within the observed range, and most gaps differently.
+    holed = _holed(t)
+    first, second = M.imputations(holed, PANEL, 2)
+    joined = holed.join(first.toDF("t", "g", "s1", "m1"), ["t", "g"]).join(second.toDF("t", "g", "s2", "m2"), ["t", "g"])
+    ranges = holed.agg(F.struct(F.min("s").alias("s0"), F.max("s").alias("s9"), F.min("m").alias("m0"), F.max("m").alias("m9"))).scalar()
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("name"),
+                F.col(c).isNull().alias("gap"),
+                (F.col(f"{c}1").between(ranges[f"{c}0"], ranges[f"{c}9"]) & F.col(f"{c}2").between(ranges[f"{c}0"], ranges[f"{c}9"])).alias("inside"),
+                (F.col(f"{c}1") != F.col(f"{c}2")).alias("differ"),
+            )
+            for c in "sm"
+        ]
+    )
+    return (
+        joined.select(F.explode(cells).alias("cell"))
+        .select("cell.*")
+        .filter("gap")
+        .groupBy("name")
+        .agg(
+            F.count(F.lit(1)).alias("gaps"),
+            F.sum(F.col("inside").cast("int")).alias("inside"),
+            (F.avg(F.col("differ").cast("int")) > 0.5).cast("int").alias("mostly_differ"),
+        )
+    )
 
 
-YEARLY = """SELECT t, g, CASE WHEN n_urgent > 4 THEN total END AS total, n_orders FROM nation_month"""
+# Some nations have no total at all, which interpolation cannot fill.
+YEARLY = """SELECT t, g, CASE WHEN n_urgent > 4 AND g % 6 <> 5 THEN total END AS total, n_orders FROM nation_month"""
+INSIDE = interpolation_sql(
+    f"""SELECT s.t, s.g, CASE WHEN h.has THEN s.total ELSE m.a END AS total,
+      CASE WHEN h.has THEN s.n_orders ELSE m.b END AS n_orders FROM (SELECT * FROM ({YEARLY}) WHERE t BETWEEN 190 AND 240) s
+      JOIN (SELECT g, bool_or(total IS NOT NULL OR n_orders IS NOT NULL) AS has FROM ({YEARLY}) WHERE t BETWEEN 190 AND 240 GROUP BY g) h ON h.g = s.g
+      JOIN (SELECT t, avg(total) AS a, avg(n_orders) AS b FROM ({YEARLY}) WHERE t BETWEEN 190 AND 240 GROUP BY t) m ON m.t = s.t""",
+    ["total", "n_orders"],
+)
+# Only `total` has gaps left, so that every round has the same fit.
+IMPUTED = f"""SELECT i.t, i.g, coalesce(i.total, greatest(least(a + b * i.n_orders, top), low)) AS total, i.n_orders FROM ({INSIDE}) i,
+    (SELECT regr_intercept(total, n_orders) AS a, regr_slope(total, n_orders) AS b, max(total) AS top, min(total) AS low
+     FROM ({INSIDE}) WHERE total IS NOT NULL)"""
 
 
 @query(
@@ -113,21 +189,16 @@ YEARLY = """SELECT t, g, CASE WHEN n_urgent > 4 THEN total END AS total, n_order
     "M6",
     "t:l g:l total:d n_orders:d",
     interpolation_sql(
-        f"""SELECT k.t, k.g, w.total, w.n_orders FROM nation_month k LEFT JOIN ({interpolation_sql(
-            f'''SELECT s.t, s.g, CASE WHEN h.has THEN s.total ELSE m.a END AS total,
-              CASE WHEN h.has THEN s.n_orders ELSE m.b END AS n_orders FROM (SELECT * FROM ({YEARLY}) WHERE t BETWEEN 190 AND 240) s
-              JOIN (SELECT g, bool_or(total IS NOT NULL OR n_orders IS NOT NULL) AS has FROM ({YEARLY}) WHERE t BETWEEN 190 AND 240 GROUP BY g) h ON h.g = s.g
-              JOIN (SELECT t, avg(total) AS a, avg(n_orders) AS b FROM ({YEARLY}) WHERE t BETWEEN 190 AND 240 GROUP BY t) m ON m.t = s.t''',
-            ['total', 'n_orders'])}) w ON w.t = k.t AND w.g = k.g""",
+        f"""SELECT k.t, k.g, w.total, w.n_orders FROM nation_month k LEFT JOIN ({IMPUTED}) w ON w.t = k.t AND w.g = k.g""",
         ["total", "n_orders"],
     ),
     ["nation_month"],
 )
 def _(t):
     rows = nation_month(t).select(
-        "t", "g", F.when(F.col("n_urgent") > 4, F.col("total")).alias("total"), "n_orders"
+        "t", "g", F.when((F.col("n_urgent") > 4) & (F.col("g") % 6 != 5), F.col("total")).alias("total"), "n_orders"
     )
-    return M.impute_window_extrapolate_rest(rows, PANEL, 190, 240, impute=False)
+    return M.impute_window_extrapolate_rest(rows, PANEL, 190, 240, estimator="linear", draws=False)
 
 
 @query(

@@ -307,14 +307,23 @@ def test_em_raises_the_likelihood_and_finds_the_better_model(spark):
     assert fit.predict(df, "e").filter("e <= 0 or e >= 1").count() == 0
 
 
+def test_logit_without_a_fit(spark):
+    fit = lambda rows: C.fit_logit(spark.createDataFrame(rows, "y int, x double"), "y", "x")
+    with pytest.raises(ValueError, match="no fit"):
+        fit([(int(i > 10), float(i)) for i in range(20)])
+    with pytest.raises(ValueError, match="constant"):
+        fit([(1, 0.3), (1, 0.6)])
+    assert fit([(1, 0.5), (0, 0.5), (1, 0.5), (1, 0.5)]) == (pytest.approx(math.log(3)), 0.0)
+
+
 def test_cross_level(spark):
     high = spark.createDataFrame([(1, 1, 0.2), (1, 1, 0.6), (1, 2, 0.0)], "t long, area long, p double")
     low = spark.createDataFrame([(1, 1, 0.4), (1, 2, 0.3)], "t long, area long, q double")
-    out = EN.cross_level(high, low, "t", "area", "p", "q", "j")
+    out = EN.cross_level(high, low, "t", "area", "p", "q", "j", check=False)
     got = sorted((r.area, r.p, round(r.j, 9)) for r in out.collect())
     assert got == [(1, 0.2, 0.1), (1, 0.6, 0.3), (2, 0.0, 0.2)]
     with pytest.raises(ValueError):
-        EN.cross_level(high, low, "t", "area", "p", "q", "j", check=True)
+        EN.cross_level(high, low, "t", "area", "p", "q", "j")
 
 
 def test_cross_level_ensemble(spark, data):

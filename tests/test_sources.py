@@ -1,15 +1,16 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from panelwright.functions.windows import tlag
-from panelwright.lineage import cut
+from panelwright.lineage import _made, cut, release
 from panelwright.sources import database as DB
 from panelwright.sources import files as FS
 from panelwright.sources import pages as PG
 from panelwright.sources import stagers as ST
-from panelwright.operators.missing import imputations
+from panelwright.operators.missing import impute_chained, imputations
 from panelwright.operators.spatial import coarse_grid
 
 
@@ -130,3 +131,35 @@ def test_coarse_grid(spark):
 def test_checkpoints_use_the_configured_folder(spark, tmp_path):
     assert cut(spark.range(3)).count() == 3
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_rounds_leave_one_copy(spark, panel):
+    rows = [(t, g, float(t + g), float(t * g) if (t + g) % 3 else None) for t in range(12) for g in range(4)]
+    df = spark.createDataFrame(rows, "t long, g long, a double, b double")
+    release(spark)
+    out = impute_chained(df, panel, max_iter=10)
+    assert len(_made) == 1
+    rows = out.collect()
+    assert len(rows) == 48 and all(r.b is not None for r in rows)
+    folder = _made[0]
+    release(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    assert not _made and not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_imputations_draw_from_the_posterior(spark, panel):
+    rng = random.Random(4)
+    rows = []
+    for i in range(2000):
+        a = rng.gauss(0, 1)
+        rows.append((i % 50, i // 50, a, 3 * a + rng.gauss(0, 0.5) if i % 2 else None))
+    df = spark.createDataFrame(rows, "t long, g long, a double, b double")
+    done = [{(r.t, r.g): (r.a, r.b) for r in d.collect()} for d in imputations(df, panel, 2)]
+    gaps = [(t, g) for t, g, _, b in rows if b is None]
+    off = [[done[k][key][1] - 3 * done[k][key][0] for key in gaps] for k in (0, 1)]
+    for errors in off:
+        spread = sum(e * e for e in errors) / len(errors)
+        assert 0.2 < spread < 0.32 and abs(sum(errors) / len(errors)) < 0.06
+    assert sum(x != y for x, y in zip(*off)) > 0.9 * len(gaps)
+    again = {(r.t, r.g): (r.a, r.b) for r in next(imputations(df, panel, 1)).collect()}
+    assert all(again[k][1] == pytest.approx(done[0][k][1]) for k in gaps)
