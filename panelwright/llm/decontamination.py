@@ -15,7 +15,7 @@ no match and spares most windows the walk.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from math import ceil, floor
 
 import numpy as np
@@ -245,6 +245,12 @@ def _part(benchmark: DataFrame, part: int, parts: int) -> list[tuple[int, str]]:
     return sorted(((r[0], r[1]) for r in rows.collect()), key=lambda r: (r[0] is None, r))
 
 
+def _shared_parts(spark: SparkSession, benchmark: DataFrame, similarity: float):
+    """The benchmark in broadcast parts of bounded size, at least one."""
+    parts = _parts(benchmark)
+    return [shared(spark, Benchmark(_part(benchmark, part, parts), similarity)) for part in range(parts)]
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document and item that it holds: doc_id, item_id,
     similarity, first_word, n_words of the best passage.
@@ -253,59 +259,57 @@ def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     are null or have no word match nothing; repeated documents give repeated
     rows; ties go to the passage that begins first. Other columns are not read.
     """
-    spark, parts = docs.sparkSession, _parts(benchmark)
-    frames = []
-    for part in range(parts):
-        read = shared(spark, Benchmark(_part(benchmark, part, parts), similarity))
-
-        def search(batches: Iterator[pd.DataFrame], read=read) -> Iterator[pd.DataFrame]:
-            bench = read()
-            for batch in batches:
-                texts, ids = batch["text"].fillna("").tolist(), batch["doc_id"].to_numpy()
-                for cut in passes(texts, PASS_CHARS):
-                    hits = matches(bench, texts[cut])
-                    yield pd.DataFrame(
-                        {
-                            "doc_id": ids[cut][[h[0] for h in hits]] if hits else [],
-                            "item_id": [bench.ids[h[1]] for h in hits],
-                            "similarity": [h[2] for h in hits],
-                            "first_word": [h[3] for h in hits],
-                            "n_words": [h[4] for h in hits],
-                        }
-                    )
-
-        frames.append(
-            docs.select("doc_id", "text").mapInPandas(
-                search, "doc_id long, item_id long, similarity double, first_word long, n_words long"
-            )
+    found = None
+    for read in _shared_parts(docs.sparkSession, benchmark, similarity):
+        part = docs.select("doc_id", "text").mapInPandas(
+            _searching(read), "doc_id long, item_id long, similarity double, first_word long, n_words long"
         )
-    found = frames[0]
-    for more in frames[1:]:
-        found = found.unionByName(more)
+        found = part if found is None else found.unionByName(part)
     return found
 
 
+def _searching(read: Callable[[], Benchmark]):
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bench = read()
+        for batch in batches:
+            texts, ids = batch["text"].fillna("").tolist(), batch["doc_id"]
+            for cut in passes(texts, PASS_CHARS):
+                hits = matches(bench, texts[cut])
+                yield pd.DataFrame(
+                    {
+                        "doc_id": ids.iloc[[cut.start + h[0] for h in hits]].to_numpy(),
+                        "item_id": pd.Series([bench.ids[h[1]] for h in hits], dtype="Int64"),
+                        "similarity": [h[2] for h in hits],
+                        "first_word": [h[3] for h in hits],
+                        "n_words": [h[4] for h in hits],
+                    }
+                )
+
+    return search
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> Column:
     """Whether the row's text holds some item; a column over `docs`' text."""
-    spark, parts = docs.sparkSession, _parts(benchmark)
     held = F.lit(False)
-    for part in range(parts):
-        read = shared(spark, Benchmark(_part(benchmark, part, parts), similarity))
-
-        @F.pandas_udf("boolean")
-        def holds(batches: Iterator[pd.Series], read=read) -> Iterator[pd.Series]:
-            bench = read()
-            for batch in batches:
-                texts = batch.fillna("").tolist()
-                out = np.zeros(len(texts), bool)
-                for cut in passes(texts, PASS_CHARS):
-                    out[[cut.start + h[0] for h in matches(bench, texts[cut])]] = True
-                yield pd.Series(out)
-
-        held = held | holds(F.col("text"))
+    for read in _shared_parts(docs.sparkSession, benchmark, similarity):
+        held = held | _holding(read)(F.col("text"))
     return held
 
 
+def _holding(read: Callable[[], Benchmark]):
+    @F.pandas_udf("boolean")
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bench = read()
+        for batch in batches:
+            texts = batch.fillna("").tolist()
+            out = np.zeros(len(texts), bool)
+            for cut in passes(texts, PASS_CHARS):
+                out[[cut.start + h[0] for h in matches(bench, texts[cut])]] = True
+            yield pd.Series(out)
+
+    return holds
+
+
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs` that hold no passage of the benchmark."""
     return docs.where(~contaminated(docs, benchmark))
