@@ -37,6 +37,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return folder
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame once to a scratch folder and read it again: it is computed
+    once, and lost executors cost nothing of it."""
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     """Remove a scratch folder that nothing reads any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

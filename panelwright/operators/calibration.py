@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 import warnings
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.functions.scalars import logodds_to_prob, prob_to_logodds
+from panelwright.functions.scalars import ColumnLike, as_column, logodds_to_prob, prob_to_logodds
 
 NEWTON_ROUNDS = 35
 NEWTON_TOLERANCE = 1e-10
@@ -53,79 +54,128 @@ def calibrate_real(
     return calibrate_real_columns(test, calib, {out: (test_pred, calib_pred, actual)})
 
 
-def fit_logit(
-    df: DataFrame, y: str, x: str, rounds: int = NEWTON_ROUNDS
-) -> tuple[float, float]:
-    """Intercept and slope of a logit by Newton's method.
-
-    Equal rows are first combined into one with a count, as many rows of a
-    sparse panel get the same prediction. Each round is one aggregate of six
-    sums; only these sums reach the driver. A step that lowers the likelihood
-    is halved. A constant prediction gets slope 0 and the outcome's mean. An
-    error is raised where there is no fit: on a constant outcome, on outcomes
-    that the prediction separates, and when the rounds run out.
+@dataclass
+class _Newton:
+    """How far the fit of one logit has come."""
+
+    key: str
+    best: tuple[float, float] = (0.0, 0.0)
+    now: Sequence[float] | None = None
+    direction: tuple[float, float] = (0.0, 0.0)
+    scale: float = 1.0
+    halvings: int = 0
+    rounds: int = 0
+    done: bool = False
+
+    @property
+    def trial(self) -> tuple[float, float]:
+        return tuple(b + self.scale * d for b, d in zip(self.best, self.direction))
+
+    def take(self, sums: Sequence[float], most: int) -> None:
+        """Go on with the sums at `trial`."""
+        if self.now is None:
+            self.now = sums
+            mean = sums[6]
+            if not 0 < mean < 1:
+                raise self._error("the outcome is constant")
+            if sums[2] * sums[4] - sums[3] ** 2 <= 1e-14 * sums[2] * sums[4]:
+                self.best, self.done = (math.log(mean / (1 - mean)), 0.0), True
+                return
+        elif sums[5] < self.now[5] - 1e-12 * abs(self.now[5]):
+            self.scale, self.halvings = self.scale / 2, self.halvings + 1
+            if self.halvings == HALVINGS:
+                raise self._error(f"no step of {HALVINGS} halvings raises the likelihood")
+            return
+        else:
+            self.best, self.now, self.rounds = self.trial, sums, self.rounds + 1
+            step = self.scale * max(map(abs, self.direction))
+            if step < NEWTON_TOLERANCE * max(1.0, *map(abs, self.best)):
+                self.done = True
+                return
+            if self.rounds >= most:
+                raise self._error(
+                    f"after {most} rounds the last step was {step:.3g}; the outcome may be separated by the prediction"
+                )
+        g0, g1, h00, h01, h11 = self.now[:5]
+        det = h00 * h11 - h01 * h01
+        if not math.isfinite(det) or det <= 1e-14 * max(h00 * h11, 1e-300):
+            raise self._error("the outcome is separated by the prediction")
+        self.direction = ((h11 * g0 - h01 * g1) / det, (h00 * g1 - h01 * g0) / det)
+        self.scale, self.halvings = 1.0, 0
+
+    def _error(self, why: str) -> ValueError:
+        return ValueError(f"a logit has no fit ({self.key}): {why}")
+
+
+def fit_logits(
+    df: DataFrame, pairs: Mapping[str, tuple[ColumnLike, ColumnLike]], rounds: int = NEWTON_ROUNDS
+) -> dict[str, tuple[float, float]]:
+    """Intercept and slope of a logit for every named (outcome, prediction)
+    pair of columns, by Newton's method.
+
+    All pairs go through the same rounds: they are unfolded into rows, and equal
+    rows are combined into one with a count, as many rows of a sparse panel get
+    the same prediction. A round is one aggregate of a few sums per pair; only
+    these reach the driver. A step that lowers the likelihood is halved. A
+    constant prediction gets slope 0 and the outcome's mean. An error is raised
+    where there is no fit: on a constant outcome, on outcomes that the
+    prediction separates, and when the rounds run out.
     """
+    cells = [
+        F.struct(
+            F.lit(key).alias("key"),
+            as_column(y).cast("double").alias("y"),
+            as_column(x).cast("double").alias("x"),
+        )
+        for key, (y, x) in pairs.items()
+    ]
     rows = (
-        df.groupBy(F.col(y).cast("double").alias("y"), F.col(x).cast("double").alias("x"))
+        df.select(F.explode(F.array(*cells)).alias("cell"))
+        .groupBy("cell.key", "cell.y", "cell.x")
         .agg(F.count(F.lit(1)).cast("double").alias("n"))
         .persist()
     )
+    fits = {key: _Newton(key) for key in pairs}
     try:
-
-        def sums(b0: float, b1: float):
-            eta = F.lit(b0) + F.lit(b1) * F.col("x")
+        while open_fits := [f for f in fits.values() if not f.done]:
+            tried = F.create_map(
+                *[c for f in open_fits for c in (F.lit(f.key), F.array(*map(F.lit, f.trial)))],
+            )[F.col("key")]
+            eta = tried[0] + tried[1] * F.col("x")
             p = logodds_to_prob(eta)
             w = p * (F.lit(1.0) - p)
             # log(1 + exp(eta)) without overflow
             soft = F.greatest(eta, F.lit(0.0)) + F.log1p(F.exp(-F.abs(eta)))
-            n, x = F.col("n"), F.col("x")
-            miss = n * (F.col("y") - p)
-            return rows.agg(
-                F.sum(miss),
-                F.sum(miss * x),
-                F.sum(n * w),
-                F.sum(n * w * x),
-                F.sum(n * w * x * x),
-                F.sum(n * (F.col("y") * eta - soft)),
-                F.sum(n * F.col("y")) / F.sum(n),
-            ).first()
-
-        b0 = b1 = 0.0
-        now = sums(b0, b1)
-        if now[5] is None:
-            raise ValueError("there are no rows to calibrate on")
-        mean = now[6]
-        if not 0 < mean < 1:
-            raise ValueError("a logit has no fit: the outcome is constant")
-        if now[2] * now[4] - now[3] ** 2 <= 1e-14 * now[2] * now[4]:
-            return math.log(mean / (1 - mean)), 0.0
-        step = math.inf
-        for _ in range(rounds):
-            g0, g1, h00, h01, h11, like, _ = now
-            det = h00 * h11 - h01 * h01
-            if det <= 1e-14 * max(h00 * h11, 1e-300) or not math.isfinite(det):
-                raise ValueError("a logit has no fit: the outcome is separated by the prediction")
-            d0, d1 = (h11 * g0 - h01 * g1) / det, (h00 * g1 - h01 * g0) / det
-            scale = 1.0
-            for _ in range(HALVINGS):
-                trial = sums(b0 + scale * d0, b1 + scale * d1)
-                if trial[5] >= like - 1e-12 * abs(like):
-                    break
-                scale /= 2
-            else:
-                raise ValueError(f"a logit has no fit: no step of {HALVINGS} halvings raises the likelihood")
-            b0, b1, now = b0 + scale * d0, b1 + scale * d1, trial
-            step = max(abs(d0), abs(d1)) * scale
-            if step < NEWTON_TOLERANCE * max(1.0, abs(b0), abs(b1)):
-                return b0, b1
-        raise ValueError(
-            f"a logit has no fit after {rounds} rounds, the last step was {step:.3g}: "
-            "the outcome may be separated by the prediction"
-        )
+            n, x, y = F.col("n"), F.col("x"), F.col("y")
+            miss = n * (y - p)
+            got = (
+                rows.filter(F.col("key").isin([f.key for f in open_fits]))
+                .groupBy("key")
+                .agg(
+                    F.sum(miss),
+                    F.sum(miss * x),
+                    F.sum(n * w),
+                    F.sum(n * w * x),
+                    F.sum(n * w * x * x),
+                    F.sum(n * (y * eta - soft)),
+                    F.sum(n * y) / F.sum(n),
+                )
+            )
+            sums = {r[0]: r[1:] for r in got.collect()}
+            for f in open_fits:
+                if f.key not in sums or sums[f.key][5] is None:
+                    raise ValueError(f"there are no rows to calibrate on ({f.key})")
+                f.take(sums[f.key], rounds)
+        return {key: f.best for key, f in fits.items()}
     finally:
         rows.unpersist()
 
 
+def fit_logit(df: DataFrame, y: str, x: str, rounds: int = NEWTON_ROUNDS) -> tuple[float, float]:
+    """`fit_logits` for one pair."""
+    return fit_logits(df, {x: (y, x)}, rounds)[x]
+
+
 def check_probabilities(df: DataFrame, cols: Sequence[str], what: str) -> None:
     """Raise on a missing value or one outside [0, 1], by one aggregate."""
     bad = df.agg(
@@ -139,6 +189,30 @@ def check_probabilities(df: DataFrame, cols: Sequence[str], what: str) -> None:
             raise ValueError(f"{what}: {c} has values outside [0, 1]")
 
 
+def calibrate_prob_columns(
+    test: DataFrame, calib: DataFrame, cols: Mapping[str, tuple[str, str, str]], check: bool = True
+) -> DataFrame:
+    """Logits of the outcome on the log-odds of the prediction, applied to test.
+
+    `cols` maps a new column to the test prediction, the calibration prediction
+    and the outcome. All columns are checked by one aggregate on either frame
+    and fitted together.
+    """
+    if check:
+        check_probabilities(calib, sorted({c for _, *pair in cols.values() for c in pair}), "calibration period")
+        check_probabilities(test, sorted({t for t, _, _ in cols.values()}), "test period")
+    fits = fit_logits(calib, {o: (y, prob_to_logodds(p)) for o, (_, p, y) in cols.items()})
+    for out, (_, pred, _) in cols.items():
+        if fits[out][1] < 0:
+            warnings.warn(f"the slope for {pred} is negative, a very weak model?")
+
+    def fitted(out: str, pred: str) -> Column:
+        b0, b1 = fits[out]
+        return logodds_to_prob(F.lit(b0) + F.lit(b1) * prob_to_logodds(pred)).alias(out)
+
+    return test.select("*", *[fitted(o, c[0]) for o, c in cols.items()])
+
+
 def calibrate_prob(
     test: DataFrame,
     test_pred: str,
@@ -148,14 +222,5 @@ def calibrate_prob(
     out: str,
     check: bool = True,
 ) -> DataFrame:
-    """Logit of the outcome on the log-odds of the prediction, applied to test."""
-    if check:
-        check_probabilities(calib, [calib_pred, actual], "calibration period")
-        check_probabilities(test, [test_pred], "test period")
-    rows = calib.select(F.col(actual).alias("_y"), prob_to_logodds(calib_pred).alias("_x"))
-    b0, b1 = fit_logit(rows, "_y", "_x")
-    if b1 < 0:
-        warnings.warn(f"the slope for {calib_pred} is negative, a very weak model?")
-    return test.withColumn(
-        out, logodds_to_prob(F.lit(b0) + F.lit(b1) * prob_to_logodds(test_pred))
-    )
+    """`calibrate_prob_columns` for one prediction."""
+    return calibrate_prob_columns(test, calib, {out: (test_pred, calib_pred, actual)}, check)

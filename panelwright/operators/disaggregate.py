@@ -113,7 +113,8 @@ def draw_cells(
         F.explode(F.sequence(slot_of(F.col("start")), slot_of(F.col("stop")))).alias("slot"),
     )
 
-    events = salted_join(vague.select("id", *keys), totals, keys, "left").join(sizes, "area")
+    events = salted_join(vague.select("id", *keys), totals, keys, "left")
+    events = salted_join(events, sizes, ["area"])
     base_total = F.col("cells") * F.lit(BASE_WEIGHT)
     drawn = (
         events.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))

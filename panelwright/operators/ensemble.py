@@ -15,7 +15,7 @@ from panelwright.functions.scalars import (
     prob_to_logodds,
     row_mean,
 )
-from panelwright.operators.calibration import fit_logit
+from panelwright.operators.calibration import fit_logits
 
 # Tolerance, shrinkage exponent, weight floor, largest number of
 # rounds.
@@ -129,11 +129,8 @@ def fit_ebma(
     the corrected probabilities are found by EM; `const` keeps a small equal
     share for every model. Probabilities are clipped to the open interval.
     """
-    fits = []
-    for c in cols:
-        rows = calib.select(F.col(actual).alias("_y"), shrunk_logodds(F.col(c), shrinkage).alias("_x"))
-        fits.append(fit_logit(rows, "_y", "_x"))
-    intercepts, slopes = tuple(f[0] for f in fits), tuple(f[1] for f in fits)
+    fits = fit_logits(calib, {c: (actual, shrunk_logodds(F.col(c), shrinkage)) for c in cols})
+    intercepts, slopes = tuple(fits[c][0] for c in cols), tuple(fits[c][1] for c in cols)
     start = Ebma(tuple(cols), intercepts, slopes, (), shrinkage, 0, 0.0)
     adjusted = calib.select(actual, *[start.adjusted(i).alias(f"_p{i}") for i in range(len(cols))])
     weights, rounds, like = fit_weights(

@@ -16,7 +16,6 @@ from panelwright.functions.windows import onset_possible, tlag
 from panelwright.operators.evaluation import actual_outcome
 from panelwright.operators.missing import extrapolate, resample
 from panelwright.operators.ranking import digest, with_rank
-from panelwright.operators.reshape import union_all
 from panelwright.panel import Panel, Period
 
 
@@ -79,43 +78,48 @@ def training_frame(
     return rows
 
 
-def prediction_inputs(
-    df: DataFrame, panel: Panel, features: Sequence[str], period: Period, step: int
-) -> DataFrame:
-    """Complete features of the times that predict this period at this step,
-    keyed by the time they predict."""
-    t = F.col(panel.time)
-    rows = df.filter(t.between(period.predict_start - step, period.predict_end - step))
-    rows = rows.select(*panel.keys, *features).dropna(subset=list(features))
-    return rows.withColumn(panel.time, (t + step).cast(df.schema[panel.time].dataType))
-
-
 def step_predictions(
     df: DataFrame,
     panel: Panel,
     features: Sequence[str],
     period: Period,
     steps: Sequence[int],
-    score: Callable[[DataFrame, int], DataFrame],
+    score: Callable[[DataFrame], tuple[DataFrame, Mapping[int, Column]]],
     names: Mapping[int, str],
 ) -> DataFrame:
     """Predictions of all steps for the rows of the predict range.
 
-    `score(inputs, step)` adds a `prediction`. The steps are stacked and turned
-    into columns by one aggregate, so there is one join for all of them. Rows
-    without complete features stay missing.
+    Every row is read once. `score` adds what the models of all steps say about
+    it and names the column of each step; the prediction of a row with complete
+    features goes to the time `step` later. The steps are unfolded into rows,
+    with the row itself as step 0, and meet in one aggregate, so there is one
+    shuffle for all of them and no join. Rows that no prediction reaches stay
+    missing.
     """
-    scored = [
-        score(prediction_inputs(df, panel, features, period, s), s).select(
-            *panel.keys, F.lit(s).alias("_step"), F.col("prediction").cast("double").alias("_p")
-        )
-        for s in steps
-    ]
-    wide = union_all(scored).groupBy(*panel.keys).agg(
-        *[F.max(F.when(F.col("_step") == s, F.col("_p"))).alias(names[s]) for s in steps]
+    t, kind = F.col(panel.time), df.schema[panel.time].dataType
+    inputs = df.filter(t.between(period.predict_start - max(steps), period.predict_end))
+    whole = F.lit(True)
+    for f in features:
+        whole = whole & F.col(f).isNotNull()
+    scored, columns = score(inputs.select(*panel.keys, *features, whole.alias("_whole")))
+    reached = F.array(
+        F.struct(F.lit(0).alias("step"), t.alias("at"), F.lit(None).cast("double").alias("p")),
+        *[
+            F.struct(
+                F.lit(s).alias("step"),
+                (t + s).cast(kind).alias("at"),
+                F.when(F.col("_whole"), columns[s].cast("double")).alias("p"),
+            )
+            for s in steps
+        ],
+    )
+    rows = scored.select(panel.group, F.explode(reached).alias("a"))
+    rows = rows.select(F.col("a.at").alias(panel.time), panel.group, "a.step", "a.p").filter(period.in_predict(t))
+    wide = rows.groupBy(*panel.keys).agg(
+        F.min("step").alias("_first"),
+        *[F.max(F.when(F.col("step") == s, F.col("p"))).alias(names[s]) for s in steps],
     )
-    keys = df.filter(period.in_predict(F.col(panel.time))).select(*panel.keys)
-    return keys.join(wide, panel.keys, "left")
+    return wide.filter(F.col("_first") == 0).drop("_first")
 
 
 def combine_steps(

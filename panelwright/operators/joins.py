@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from panelwright.panel import Panel
 
-# A key is hot when it holds at least this share of the rows. There can be at
-# most 1 / HOT_SHARE such keys, which bounds the broadcast of the hot keys.
-HOT_SHARE = 0.01
-
 
 def shared_keys(skeleton: DataFrame, keys: Sequence[str]) -> list[str]:
     found = [k for k in keys if k in skeleton.columns]
@@ -66,51 +62,40 @@ def join_tables(
     return out
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    salts: int = 64,
-) -> DataFrame:
-    """Equi-join that spreads hot left keys over `salts` tasks.
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join that spreads hot left keys over several tasks.
 
-    A count per key (combined before the shuffle) finds the keys that hold at
-    least one percent of the left side; there are at most a hundred of them,
-    so that list is broadcast. Left rows of a hot key get a salt, right rows
-    of a hot key are repeated once per salt; all other rows keep salt 0.
+    A count per key, combined before the shuffle, finds the keys that hold more
+    than a fair share of the left side, its rows per shuffle partition. There
+    are fewer such keys than partitions, which bounds their broadcast. A hot
+    key gets as many salts as it has fair shares: its left rows are dealt out
+    over them, its right rows are repeated once per salt. A left row with a
+    missing key has no partner and goes anywhere.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join knows inner and left joins")
-    total = left.agg(F.count(F.lit(1))).scalar()
-    hot = (
-        left.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= total * F.lit(HOT_SHARE))
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-    spread = F.pmod(
-        F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)
-    ).cast("int")
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    fair = counts.agg(F.sum("_n")).scalar() / F.lit(float(partitions))
+    hot = counts.filter(F.col("_n") > fair).select(*on, F.ceil(F.col("_n") / fair).cast("int").alias("_salts"))
+    # From the row itself and its partition, so that a task that runs again
+    # sends its rows the same way.
+    number = F.xxhash64(*left.columns, F.spark_partition_id())
+    no_key = F.lit(False)
+    for c in on:
+        no_key = no_key | F.col(c).isNull()
+    salts = F.when(no_key, F.lit(partitions)).otherwise(F.coalesce("_salts", F.lit(1)))
     salted_left = (
-        left.withColumn("_spread", spread)
+        left.withColumn("_number", number)
         .join(F.broadcast(hot), list(on), "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.col("_spread")).otherwise(F.lit(0)))
-        .drop("_spread")
-    )
-    salted_right = right.join(F.broadcast(hot), list(on), "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(
-                F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))
-            ).otherwise(F.array(F.lit(0)))
-        ),
+        .withColumn("_salt", F.pmod("_number", salts).cast("int"))
+        .drop("_number", "_salts")
     )
-    return (
-        salted_left.drop("_hot")
-        .join(salted_right.drop("_hot"), [*on, "_salt"], how)
-        .drop("_salt")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    salted_right = (
+        right.join(F.broadcast(hot), list(on), "left").withColumn("_salt", F.explode(every)).drop("_salts")
     )
+    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
 def latest_per_code(lookup: DataFrame, code: str, id_col: str) -> DataFrame:

@@ -12,11 +12,12 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelwright.lineage import stored
 from panelwright.operators import ensemble as mixing
-from panelwright.operators.calibration import calibrate_prob, calibrate_real_columns
+from panelwright.operators.calibration import calibrate_prob_columns, calibrate_real_columns
 from panelwright.operators.evaluation import (
     accuracy,
     actual_outcome,
@@ -119,9 +120,13 @@ class StepModel:
             raise ValueError(f"{self.name} has no periods")
         if self.estimator is None:
             raise ValueError(f"{self.name} has no estimator")
-        used = df.select(
-            *self.panel.keys, *sorted({*self.cols_features, self.col_outcome})
-        ).persist()
+        # Laid out by group and time once, so that no fit shuffles or sorts.
+        used = (
+            df.select(*self.panel.keys, *sorted({*self.cols_features, self.col_outcome}))
+            .repartition(self.panel.group)
+            .sortWithinPartitions(self.panel.group, self.panel.time)
+            .persist()
+        )
         jobs = [(p, s) for p in self.periods for s in self.steps]
         try:
             # Fits are independent; a few at a time keep a cluster busy.
@@ -152,13 +157,25 @@ class StepModel:
 
     # prediction
     def _score(self, period: Period):
-        def score(rows: DataFrame, step: int) -> DataFrame:
-            if (period.name, step) not in self.fitted:
-                raise ValueError(f"{self.name} is not fitted for {period.name} step {step}")
-            out = self.fitted[period.name, step].transform(rows)
-            if self.outcome_type == "prob":
-                out = out.withColumn("prediction", vector_to_array("probability")[1])
-            return out
+        def score(rows: DataFrame) -> tuple[DataFrame, dict[int, Column]]:
+            """The rows with what the models of all steps add, and the column
+            of each step's prediction; the features are put together once."""
+            rows = VectorAssembler(
+                inputCols=self.cols_features, outputCol="_features", handleInvalid="keep"
+            ).transform(rows)
+            columns = {}
+            for step in self.steps:
+                if (period.name, step) not in self.fitted:
+                    raise ValueError(f"{self.name} is not fitted for {period.name} step {step}")
+                model = self.fitted[period.name, step].stages[-1]
+                names = {p: f"_{p}_{step}" for p in ("predictionCol", "probabilityCol", "rawPredictionCol") if model.hasParam(p)}
+                own = model.copy({model.getParam(p): name for p, name in names.items()})
+                own = own.copy({own.getParam("featuresCol"): "_features"})
+                rows = own.transform(rows)
+                columns[step] = F.col(names["predictionCol"])
+                if self.outcome_type == "prob":
+                    columns[step] = vector_to_array(names["probabilityCol"])[1]
+            return rows, columns
 
         return score
 
@@ -241,16 +258,17 @@ class StepModel:
                 },
             )
         else:
-            # Every step is fitted in several rounds over the same rows.
-            known.persist()
-            try:
-                for s in self.steps:
-                    pred, actual = self.cols_ss[s], f"_actual_{s}"
-                    out = calibrate_prob(
-                        out, pred, known, pred, actual, self.cols_ss_calibrated[s]
-                    )
-            finally:
-                known.unpersist()
+            # All steps are checked and fitted together; the predictions are
+            # written first, as scoring them again costs more than the fits.
+            known, out = stored(known, "calibration"), stored(out, "test")
+            out = calibrate_prob_columns(
+                out,
+                known,
+                {
+                    self.cols_ss_calibrated[s]: (self.cols_ss[s], self.cols_ss[s], f"_actual_{s}")
+                    for s in self.steps
+                },
+            )
         out = out.select(*self.panel.keys, *self.cols_ss_calibrated.values())
         return combine_steps(
             out, self.panel, self.cols_ss_calibrated, period_test, self.col_sc_calibrated

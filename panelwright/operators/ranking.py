@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.scalars import ColumnLike, as_column
+from panelwright.lineage import stored
 
 # Digits of the hex digest that make the bucket: 16^4 buckets at most.
 BUCKET_DIGITS = 4
@@ -122,36 +123,20 @@ def draw_with_replacement(
     return draws.join(ranked, "_rank").select(*df.columns)
 
 
-def quantile_splits(df: DataFrame, col: str, buckets: int = 64) -> list[float]:
-    """At most `buckets` - 1 cut points that split a column about evenly.
-
-    They only steer how work is spread; results do not depend on them.
-    """
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = df.approxQuantile(col, shares, 1.0 / (4 * buckets))
-    return sorted(set(cuts))
-
-
-def bucket_of(value: Column, cuts: Sequence[float], first: int = 0) -> Column:
-    """How many cuts are at or below a value, as a balanced tree of conditions."""
-    if not cuts:
-        return F.lit(first)
-    middle = len(cuts) // 2
-    return F.when(
-        value >= cuts[middle], bucket_of(value, cuts[middle + 1 :], first + middle + 1)
-    ).otherwise(bucket_of(value, cuts[:middle], first))
-
-
 def cumulate_down(
     df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str]
 ) -> DataFrame:
     """Running sums in descending order of a numeric column, per group.
 
-    A group may hold any share of the rows: it is cut into buckets of the
-    order column, summed up inside them, and shifted by the totals of the
-    buckets above. Rows must be unique per group and order value.
+    A group may hold any share of the rows: rows are dealt out by ranges of
+    (group, order), as many as there are shuffle partitions and of about equal
+    size, summed up inside them, and shifted by the totals of the ranges above.
+    The rows are written with the number of their range, as another run could
+    cut the ranges elsewhere. Rows must be unique per group and order value.
     """
-    df = df.withColumn("_bucket", bucket_of(F.col(order), quantile_splits(df, order)))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, *by, order).withColumn("_bucket", F.spark_partition_id())
+    df = stored(dealt, "running-sums")
     totals = df.groupBy(*by, "_bucket").agg(
         *[F.sum(s).alias(f"_total_{s}") for s in sums]
     )

@@ -22,12 +22,6 @@ def skeleton_between(groups: DataFrame, panel: Panel, first, last) -> DataFrame:
     return groups.select(times.alias(panel.time), *rest)
 
 
-def skeleton_of(df: DataFrame, panel: Panel) -> DataFrame:
-    """All groups of a frame at all times between its first and last."""
-    span = df.agg(F.struct(F.min(panel.time).alias("a"), F.max(panel.time).alias("b"))).scalar()
-    return skeleton_between(df.select(panel.group).distinct(), panel, span["a"], span["b"])
-
-
 def cell_skeleton(
     cell_times: DataFrame,
     times: DataFrame,

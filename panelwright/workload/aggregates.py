@@ -268,3 +268,16 @@ def _(t):
     )
     wide = joined.groupBy("feature").pivot("l_linenumber", STEPS).agg(F.sum("l_extendedprice"))
     return top_k(wide.toDF("feature", *[f"step_{s}" for s in STEPS]), "step_1", 10, ["feature"])
+
+
+@query(
+    "events_on_earth",
+    "P6",
+    "event_type:s n:l",
+    """SELECT event_type, count(*) AS n FROM events WHERE event_id % 400 - 200 BETWEEN -90 AND 90
+        AND event_id % 900 - 450 BETWEEN -180 AND 180 GROUP BY 1""",
+)
+def _(t):
+    # Coordinates of which some are not possible.
+    lat, lon = F.col("event_id") % 400 - 200, F.col("event_id") % 900 - 450
+    return t.events.filter(EV.on_earth(lat, lon)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))

@@ -84,12 +84,10 @@ def _(t):
     )
 
 
-def _formula(rows, step):
+def _formula(rows):
     """A scorer that is a plain formula, so that SQL can follow it."""
-    return rows.withColumn(
-        "prediction",
-        (F.col("n_events") * 2 + F.col("value_max") / (F.lit(10.0) + step) - F.col("n_purchase")),
-    )
+    of = lambda step: F.col("n_events") * 2 + F.col("value_max") / (F.lit(10.0) + step) - F.col("n_purchase")
+    return rows, {s: of(s) for s in STEPS}
 
 
 STEPWISE = """SELECT k.t, k.g, a.p AS ss_m_1, b.p AS ss_m_3 FROM (SELECT t, g FROM full_panel WHERE t BETWEEN 15 AND 19) k

@@ -174,6 +174,21 @@ def _(t):
     ).select("t", "g", "distance")
 
 
+@query(
+    "fishnet_with_users",
+    "SP2",
+    "parent:l row:l col:l west:d south:d users:l",
+    """SELECT (grow + 90) * 360 + gcol + 181 AS parent, grow + 90 AS row, gcol + 180 AS col, gcol AS west, grow AS south,
+        count(*) AS users FROM user_cells GROUP BY ALL""",
+    ["user_cells"],
+)
+def _(t):
+    # A user's cell on the grid of single degrees, east and north of (0, 0).
+    users = user_cells(t).select(((F.col("grow") + 90) * 360 + F.col("gcol") + 181).alias("parent"))
+    number = users.groupBy("parent").agg(F.count(F.lit(1)).alias("users"))
+    return SP.coarse_grid(t.spark).join(number, "parent")
+
+
 # --- events known to an area only -----------------------------------------
 
 AREA_WIDTH = 10
@@ -246,19 +261,26 @@ def _(t):
     return D.draw_cells(_vague(t), _exact(t), _area_cells(t))
 
 
-@query(
-    "imputed_dummies",
-    ("SP10", "U1"),
-    "draw:l cell:l month:l dummy_small:l dummy_large:l",
-    f"""{DRAWN},
+DUMMIES = f"""{DRAWN},
       placed AS (SELECT id, draw, cell FROM drawn UNION SELECT event_id, d.draw, g FROM user_events
         CROSS JOIN (SELECT unnest(range(1, 16)) AS draw) d WHERE event_type = 'error'),
       dated AS (SELECT p.draw, p.cell, e.kind, CAST(e.t + floor({UNIFORM.format("p.id || '|' || p.draw || '|' || e.kind || '|1'")} * 3) AS BIGINT) AS month
         FROM placed p JOIN (SELECT event_id, t, CASE WHEN value < 30 THEN 1 ELSE 2 END AS kind FROM user_events) e ON e.event_id = p.id)
-      SELECT draw, cell, month, max((kind = 1)::INT) AS dummy_small, max((kind = 2)::INT) AS dummy_large FROM dated GROUP BY 1, 2, 3""",
+      SELECT draw, cell, month, max((kind = 1)::INT) AS dummy_small, max((kind = 2)::INT) AS dummy_large FROM dated GROUP BY 1, 2, 3"""
+
+
+@query(
+    "imputed_dummies",
+    ("SP10", "U1"),
+    "draw:l cell:l month:l dummy_small:l dummy_large:l",
+    DUMMIES,
     ["users", "user_events"],
 )
 def _(t):
+    return _dummies(t)
+
+
+def _dummies(t):
     exact = _exact(t)
     placed = D.assemble_draws(D.draw_cells(_vague(t), exact, _area_cells(t)), exact)
     events = user_events(t).select(
@@ -268,3 +290,16 @@ def _(t):
         (F.col("t") + 2).alias("month_end"),
     )
     return D.imputed_dummies(placed, events, {"small": 1, "large": 2})
+
+
+@query(
+    "imputed_dummies_on_skeleton",
+    "SP10",
+    "t:l g:l dummy_small:l dummy_large:l",
+    f"""WITH flags AS ({DUMMIES})
+       SELECT f.t, f.g, coalesce(dummy_small, 0) AS dummy_small, coalesce(dummy_large, 0) AS dummy_large
+       FROM full_panel f LEFT JOIN flags ON flags.draw = 3 AND flags.cell = f.g AND flags.month = f.t""",
+    ["users", "user_events", "full_panel"],
+)
+def _(t):
+    return D.dummies_on_skeleton(full_panel(t).select("t", "g"), _dummies(t), 3, "g", "t")

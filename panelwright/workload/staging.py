@@ -128,6 +128,66 @@ def _(t):
     return read.withColumn("corners", F.size("vertices"))
 
 
+def _nation_features(t):
+    """Nations as GeoJSON features, unit squares on a five-wide grid."""
+    c, r = F.col("n_nationkey") % 5, F.floor(F.col("n_nationkey") / 5)
+    ring = F.array(*[F.array((c + i).cast("double"), (r + j).cast("double")) for i, j in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))])
+    shape = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
+    return t.nation.select(F.struct(F.struct("n_nationkey").alias("properties"), shape.alias("geometry")).alias("f"))
+
+
+@query(
+    "polygons_of_one_document",
+    "IO10",
+    "n_nationkey:l x:d y:d",
+    "SELECT n_nationkey, n_nationkey % 5 + 0.5e0 AS x, n_nationkey // 5 + 0.5e0 AS y FROM nation",
+)
+def _(t):
+    # The form of a real file: all features in one document.
+    folder = scratch_folder(t.spark, "collection")
+    whole = _nation_features(t).agg(F.collect_list("f").alias("features"))
+    whole.select(F.to_json(F.struct("features")).alias("value")).write.text(folder)
+    return FS.read_polygons(t.spark, folder, "n_nationkey")
+
+
+@query(
+    "cells_of_one_document",
+    "IO11",
+    "gid:l year:l orders:d",
+    "SELECT g AS gid, 1980 + (t - 1) // 12 AS year, sum(n_orders) AS orders FROM nation_month GROUP BY 1, 2",
+    ["nation_month"],
+)
+def _(t):
+    # One document with the cells of all years for each group.
+    folder = scratch_folder(t.spark, "cells")
+    year = (F.lit(1980) + F.floor((F.col("t") - 1) / 12)).cast("int").alias("year")
+    cells = nation_month(t).groupBy(F.col("g").alias("gid"), year).agg(F.sum("n_orders").cast("double").alias("value"))
+    documents = cells.groupBy("gid").agg(F.collect_list(F.struct("gid", "year", "value")).alias("cells"))
+    json = documents.select(F.to_json(F.struct("cells")).alias("value"), "gid")
+    json.write.partitionBy("gid").text(folder)
+    long = FS.read_cells(t.spark, f"{folder}/*", "orders")
+    return FS.cells_side_by_side(long, ["gid", "year"], ["orders"])
+
+
+@query(
+    "yearly_measures_tidied",
+    ("PL4", "P3", "P4"),
+    "g:l year:l v2_total:d2 v2_orders:d",
+    """SELECT g, 1980 + (t - 1) // 12 AS year, sum(total) AS v2_total, sum(n_orders) AS v2_orders FROM nation_month GROUP BY 1, 2""",
+    ["nation_month"],
+)
+def _(t):
+    year = (F.lit(1980) + F.floor((F.col("t") - 1) / 12)).alias("Year")
+    raw = nation_month(t).groupBy(F.col("g").alias("G"), year).agg(
+        F.sum("total").alias("V2.Total"),
+        F.stddev("total").alias("V2.Total_sd"),
+        F.sum("n_orders").alias("V2.Orders"),
+        F.max("n_orders").alias("V2.Orders_codehigh"),
+        F.first("g").alias("Project"),
+    )
+    return ST.yearly_measures(raw, ["project"])
+
+
 @query(
     "cells_read_side_by_side",
     "IO11",

@@ -65,6 +65,45 @@ def test_salted_join_equals_the_plain_one(spark, how):
     )
 
 
+def largest_share(df, exchange="_salt"):
+    """Rows of the largest partition over the mean, as the rows lie."""
+    sizes = [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) * 8 / sum(sizes)
+
+
+def test_salts_by_fair_shares(spark):
+    """Eight partitions: one key with half of the rows and one just above a fair share."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        key = F.when(F.col("id") % 2 == 0, 0).when(F.col("id") % 7 == 1, 1).otherwise(F.col("id"))
+        left = spark.range(40_000).select(key.alias("k"), "id")
+        right = left.select("k").distinct().withColumn("w", F.col("k") * 2)
+        joined = J.salted_join(left, right, ["k"])
+        assert joined.count() == 40_000 and joined.filter("w <> 2 * k").count() == 0
+        assert largest_share(joined) < 3
+        missing = left.withColumn("k", F.when(F.col("id") % 3 > 0, F.col("k")))
+        kept = J.salted_join(missing, right, ["k"], "left")
+        assert kept.count() == 40_000 and largest_share(kept) < 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ranges_of_a_group_with_most_scores(spark):
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 3 + 1).otherwise(0).alias("k"),
+        (F.lit(0.5) + F.col("id") * 1e-9).alias("x"),
+        F.lit(1.0).alias("n"),
+    )
+    from panelwright.lineage import _made
+
+    out = cumulate_down(rows, ["k"], "x", ["n"])
+    sizes = [r[1] for r in spark.read.parquet(_made[-1]).groupBy("_bucket").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+    assert out.groupBy("k").agg(F.max("cum_n").alias("a"), F.count("*").alias("b")).filter("a <> b").count() == 0
+
+
 def test_balance_last_t(spark, panel):
     df = spark.createDataFrame(
         [(1, 1, 1.0), (3, 1, 3.0), (1, 2, 5.0), (3, 3, 7.0)], "t long, g long, v double"

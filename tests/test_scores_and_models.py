@@ -134,10 +134,10 @@ def test_probability_calibration_checks(spark):
     assert out.agg(F.avg("c")).first()[0] == pytest.approx(0.4)
 
 
-def test_separated_outcomes_end(spark):
+def test_separated_outcomes_are_an_error(spark):
     df = spark.createDataFrame([(0.1, 0), (0.2, 0), (0.8, 1), (0.9, 1)], "p double, y int")
-    out = C.calibrate_prob(df, "p", df, "p", "y", "c").collect()
-    assert all((r.c > 0.5) == (r.y == 1) for r in out)
+    with pytest.raises(ValueError, match="separated"):
+        C.calibrate_prob(df, "p", df, "p", "y", "c")
 
 
 def test_combined_steps(spark, read):
@@ -316,6 +316,39 @@ def test_logit_without_a_fit(spark):
     assert fit([(1, 0.5), (0, 0.5), (1, 0.5), (1, 0.5)]) == (pytest.approx(math.log(3)), 0.0)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ten_steps_in_one_scan_and_fits_without_exchange(spark, data, tmp_path):
+    data.select("t", "g", "b_a", "p_a", "c_a").write.parquet(str(tmp_path / "d"))
+    saved = spark.read.parquet(str(tmp_path / "d"))
+    model = make(estimator=LogisticRegression(), name="s", steps=list(range(1, 11)), periods=[B]).fit(saved)
+    plan = plan_of(model.predict(saved, period=B).select("t", "g", *model.cols_ss.values()))
+    assert plan.count("Scan parquet") == 1 and "Join" not in plan
+    used = saved.repartition("g").sortWithinPartitions("g", "t").persist()
+    used.count()
+    frame = plan_of(model.training_frame(used, B, 3)).split("InMemoryTableScan")[0]
+    assert "Exchange" not in frame and "Sort" not in frame
+    used.unpersist()
+
+
+def test_logits_of_many_pairs_share_their_rounds(spark):
+    rng = random.Random(9)
+    rows = [[int(rng.random() < 1 / (1 + math.exp(-x)))] + [x * (k + 1) + rng.gauss(0, 1) for k in range(6)] for x in (rng.gauss(0, 1) for _ in range(800))]
+    df = spark.createDataFrame(rows, "y int, " + ", ".join(f"x{k} double" for k in range(6)))
+
+    def jobs(pairs):
+        spark.sparkContext.setJobGroup(f"g{len(pairs)}", "")
+        got = C.fit_logits(df, pairs)
+        return got, len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"g{len(pairs)}"))
+
+    one, jobs_one = jobs({"x0": ("y", "x0")})
+    six, jobs_six = jobs({f"x{k}": ("y", f"x{k}") for k in range(6)})
+    spark.sparkContext.setJobGroup("", "")
+    assert six["x0"] == pytest.approx(one["x0"]) and jobs_six <= jobs_one + 6
+
+
 def test_cross_level(spark):
     high = spark.createDataFrame([(1, 1, 0.2), (1, 1, 0.6), (1, 2, 0.0)], "t long, area long, p double")
     low = spark.createDataFrame([(1, 1, 0.4), (1, 2, 0.3)], "t long, area long, q double")
