@@ -1,7 +1,7 @@
 """Queries for step-ahead models, runs and ensembles."""
 
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from panelwright.lineage import scratch_folder
@@ -285,78 +285,44 @@ def _(t):
 @query(
     "values_permuted",
     "MO10",
-    "repeat:l n_events:l n:l",
-    """SELECT r AS repeat, n_events, count(*) AS n FROM full_panel CROSS JOIN (SELECT unnest([0, 1]) AS r) GROUP BY 1, 2""",
+    "t:l g:l repeat:l n_events:d",
+    """SELECT p.t, p.g, v.repeat, v.n_events FROM
+        (SELECT t, g, row_number() OVER (ORDER BY md5(t || '|' || g || '|1')) AS place FROM full_panel) p
+       JOIN (SELECT repeat, n_events, row_number() OVER (PARTITION BY repeat ORDER BY md5(t || '|' || g || '|n_events|' || repeat || '|1')) AS place
+         FROM full_panel CROSS JOIN (SELECT unnest([0, 1]) AS repeat)) v ON v.place = p.place""",
     ["full_panel"],
 )
 def _(t):
-    # A permutation keeps the distribution of the feature in every repeat.
     rows = full_panel(t).select("t", "g", "n_events")
-    shuffled = FC.permuted(rows, PANEL, ["n_events"], 2, seed=1)
-    return shuffled.groupBy("repeat", "n_events").agg(F.count(F.lit(1)).alias("n"))
+    return FC.permuted(rows, PANEL, ["n_events"], 2, seed=1)
 
 
 @query(
-    "model_saved_and_loaded",
-    "MO7",
-    "t:l g:l same:l",
-    "SELECT t, g, 1 AS same FROM full_panel WHERE t BETWEEN 15 AND 24",
+    "forest_of_one_split",
+    ("MO2", "MO3"),
+    "t:l g:l ss_stump_2:d",
+    """WITH train AS MATERIALIZED (SELECT n_error AS y, x FROM (SELECT n_error, lag(n_events, 2) OVER (PARTITION BY g ORDER BY t) AS x
+          FROM full_panel WHERE t <= 14) WHERE x IS NOT NULL),
+        cuts AS (SELECT (x + lead(x) OVER (ORDER BY x)) / 2e0 AS cut FROM (SELECT DISTINCT x FROM train)),
+        best AS (SELECT cut, avg(y) FILTER (x <= cut) AS low, avg(y) FILTER (x > cut) AS high FROM train, cuts WHERE cut IS NOT NULL
+          GROUP BY cut ORDER BY var_pop(y) FILTER (x <= cut) * count(*) FILTER (x <= cut) + var_pop(y) FILTER (x > cut) * count(*) FILTER (x > cut), cut LIMIT 1)
+       SELECT k.t, k.g, CASE WHEN f.n_events <= cut THEN low ELSE high END AS ss_stump_2
+       FROM full_panel k JOIN full_panel f ON f.g = k.g AND f.t = k.t - 2, best WHERE k.t BETWEEN 15 AND 19""",
     ["full_panel"],
 )
 def _(t):
-    model = _simple_linear(t)
-    folder = scratch_folder(t.spark, "model")
-    model.save(t.spark, folder)
-    again = StepModel.load(t.spark, folder)
-    rows = full_panel(t)
-    both = model.predict(rows).join(
-        again.predict(rows).withColumnRenamed("sc_ols", "again"), PANEL.keys
-    )
-    return both.select("t", "g", F.col("sc_ols").eqNullSafe(F.col("again")).cast("int").alias("same"))
-
-
-RUN_SQL = """WITH periods AS (SELECT * FROM (VALUES ('A', 9, 10, 14), ('B', 14, 15, 19), ('C', 19, 20, 24)) v(period, train_end, first, last)),
-    long AS (SELECT t, g, n_error, m, CASE m WHEN 'p' THEN n_events ELSE n_purchase END AS x
-      FROM full_panel CROSS JOIN (SELECT unnest(['p', 'q']) AS m)),
-    lagged AS (SELECT *, lag(x, 2) OVER (PARTITION BY m, g ORDER BY t) AS x2 FROM long),
-    coefs AS (SELECT m, period, regr_slope(n_error, x2) AS b, regr_intercept(n_error, x2) AS a
-      FROM lagged JOIN periods ON t <= train_end GROUP BY 1, 2),
-    raw AS (SELECT l.t, l.g, l.m, l.n_error, p.period, p.first, a + b * l.x2 AS pred FROM lagged l
-      JOIN periods p ON l.t BETWEEN p.first AND p.last JOIN coefs c ON c.m = l.m AND c.period = p.period),
-    fits AS (SELECT m, CASE period WHEN 'A' THEN 'B' WHEN 'B' THEN 'C' END AS test, avg(n_error) AS ma, avg(pred) AS mp,
-      stddev_samp(n_error) / stddev_samp(pred) AS r FROM raw WHERE period <> 'C' GROUP BY m, period),
-    done AS (SELECT raw.*, ma + (pred - mp) * r AS cal FROM raw LEFT JOIN fits ON fits.m = raw.m AND fits.test = raw.period),
-    wide AS (SELECT t, g, period, first, max(pred) FILTER (m = 'p') AS ss_p_2, max(cal) FILTER (m = 'p') AS ss_p_2_calibrated,
-      max(pred) FILTER (m = 'q') AS ss_q_2, max(cal) FILTER (m = 'q') AS ss_q_2_calibrated, avg(cal) AS ss_mix_2 FROM done GROUP BY 1, 2, 3, 4)
-  SELECT *, first_value(ss_mix_2) OVER (PARTITION BY g, period ORDER BY (t = first + 1) DESC) AS sc_mix FROM wide"""
-
-
-@query(
-    "prediction_run",
-    ("MO11", "EN5", "EN1", "J12"),
-    "t:l g:l ss_p_2:d ss_p_2_calibrated:d ss_q_2:d ss_q_2_calibrated:d ss_mix_2:d sc_mix:d",
-    RUN_SQL,
-    ["full_panel"],
-)
-def _(t):
-    rows = full_panel(t)
-
-    def model(name, feature):
-        return StepModel(
-            name=name,
-            col_outcome="n_error",
-            cols_features=[feature],
-            steps=[2],
-            outcome_type="real",
-            periods=[PERIOD_A, PERIOD_B, PERIOD_C],
-            estimator=LinearRegression(regParam=0.0, solver="normal"),
-            panel=PANEL,
-        ).fit(rows)
-
-    models = [model("p", "n_events"), model("q", "n_purchase")]
-    predictions = predict_models(models, rows, PERIODS)
-    mix = Ensemble("mix", models, "average", "real", "n_error", [PERIOD_B, PERIOD_C], PANEL)
-    return predict_ensembles([mix], predictions, rows, PERIODS)
+    # One tree of one split on a feature of few values: SQL can search the best cut.
+    model = StepModel(
+        name="stump",
+        col_outcome="n_error",
+        cols_features=["n_events"],
+        steps=[2],
+        outcome_type="real",
+        periods=[PERIOD_B],
+        estimator=RandomForestRegressor(numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", maxBins=256),
+        panel=PANEL,
+    ).fit(full_panel(t))
+    return model.predict(full_panel(t), period=PERIOD_B)
 
 
 # --- ensembles -------------------------------------------------------------
@@ -374,29 +340,41 @@ def _(t):
     return EN.average(rows, ["p_a", "p_b", "p_c"], "mixed")
 
 
-def em_sql(rounds: int) -> str:
-    parts = ["w0 AS (SELECT 1 / 3e0 AS a, 1 / 3e0 AS b, 1 / 3e0 AS c)"]
-    for i in range(rounds):
-        share = lambda m: f"avg(0.01e0 / 3 + 0.99e0 * {m} * g{m} / (a * ga + b * gb + c * gc)) AS {m}"
-        parts.append(f"w{i + 1} AS (SELECT {share('a')}, {share('b')}, {share('c')} FROM hits, w{i})")
-    return ",\n".join(parts)
+CLIPPED = "least(greatest({0}, 1e-10), 1 - 1e-10)"
+
+
+def em_sql(hits: str) -> str:
+    """EM from equal weights over likelihoods ga, gb, gc until the gain is
+    small; the weights are those of the row that is done."""
+    share = lambda m: f"avg(0.01e0 / 3 + 0.99e0 * {m} * g{m} / (a * ga + b * gb + c * gc)) AS {m}"
+    return f"""SELECT a, b, c FROM (WITH RECURSIVE hits AS MATERIALIZED ({hits}), em AS (
+        SELECT 0 AS i, 1 / 3e0 AS a, 1 / 3e0 AS b, 1 / 3e0 AS c, NULL::DOUBLE AS likely, FALSE AS done
+        UNION ALL SELECT i + 1, {share('a')}, {share('b')}, {share('c')}, sum(ln(a * ga + b * gb + c * gc)) AS likely,
+          coalesce(abs(sum(ln(a * ga + b * gb + c * gc)) - min(em.likely)) < 0.001e0, FALSE) AS done
+        FROM em, hits WHERE NOT done GROUP BY i, em.a, em.b, em.c)
+      SELECT * FROM em WHERE done)"""
+
+
+def hits_sql(ps, source: str) -> str:
+    of = lambda p: f"CASE WHEN y = 1 THEN {CLIPPED.format(p)} ELSE 1 - {CLIPPED.format(p)} END"
+    return "SELECT " + ", ".join(f"{of(p)} AS g{m}" for m, p in zip("abc", ps)) + f" FROM {source}"
+
+
+CALIB = "(SELECT * FROM outcome_frame WHERE t BETWEEN 15 AND 19)"
 
 
 @query(
     "ensemble_weights_by_em",
     "EN2",
     "model:s weight:d",
-    f"""WITH clipped AS (SELECT y, least(greatest(p_a, 1e-10), 1 - 1e-10) AS p_a, least(greatest(p_b, 1e-10), 1 - 1e-10) AS p_b,
-          least(greatest(p_c, 1e-10), 1 - 1e-10) AS p_c FROM outcome_frame WHERE t BETWEEN 15 AND 19),
-        hits AS (SELECT CASE WHEN y = 1 THEN p_a ELSE 1 - p_a END AS ga, CASE WHEN y = 1 THEN p_b ELSE 1 - p_b END AS gb,
-          CASE WHEN y = 1 THEN p_c ELSE 1 - p_c END AS gc FROM clipped), {em_sql(6)}
-       SELECT 'p_a' AS model, a AS weight FROM w6 UNION ALL SELECT 'p_b', b FROM w6 UNION ALL SELECT 'p_c', c FROM w6""",
+    f"""WITH w AS ({em_sql(hits_sql(["p_a", "p_b", "p_c"], CALIB))})
+       SELECT 'p_a' AS model, a AS weight FROM w UNION ALL SELECT 'p_b', b FROM w UNION ALL SELECT 'p_c', c FROM w""",
     ["outcome_frame"],
 )
 def _(t):
     calib = outcome_frame(t).filter(PERIOD_B.in_predict(F.col("t")))
     cols = ["p_a", "p_b", "p_c"]
-    weights, _rounds, _like = EN.fit_weights(calib, cols, "y", tolerance=0.0, max_iter=6)
+    weights, _rounds, _like = EN.fit_weights(calib, cols, "y")
     return t.spark.createDataFrame(list(zip(cols, weights)), "model string, weight double")
 
 
@@ -419,7 +397,26 @@ def _(t):
     return rows.select("t", "g", fit.adjusted(0).alias("adjusted"))
 
 
-@query("ensemble_ebma", "EN2", "t:l g:l mixed:d")
+def shrunk_sql(p: str) -> str:
+    return SHRUNK.replace("(p / (1 - p))", f"({CLIPPED.format(p)} / (1 - {CLIPPED.format(p)}))")
+
+
+def ebma_sql() -> str:
+    """A logit per model, EM over what they correct, and the mixture."""
+    names = ["p_a", "p_b", "p_c"]
+    fits = ", ".join(
+        f"""f{p} AS MATERIALIZED (WITH calib AS (SELECT y, {shrunk_sql(p)} AS x FROM {CALIB}),
+          {newton_sql('calib', 12)} SELECT a, b FROM b12)"""
+        for p in names
+    )
+    fixed = ", ".join(f"1 / (1 + exp(-(f{p}.a + f{p}.b * {shrunk_sql(p)}))) AS {p}" for p in names)
+    adjusted = f"SELECT t, g, y, {fixed} FROM outcome_frame, fp_a, fp_b, fp_c"
+    calib = "(SELECT * FROM adjusted WHERE t BETWEEN 15 AND 19)"
+    return f"""WITH {fits}, adjusted AS MATERIALIZED ({adjusted}), w AS MATERIALIZED ({em_sql(hits_sql(names, calib))})
+        SELECT t, g, w.a * p_a + w.b * p_b + w.c * p_c AS mixed FROM adjusted, w WHERE t BETWEEN 20 AND 24"""
+
+
+@query("ensemble_ebma", "EN2", "t:l g:l mixed:d", ebma_sql(), ["outcome_frame"])
 def _(t):
     rows = outcome_frame(t)
     calib = rows.filter(PERIOD_B.in_predict(F.col("t")))

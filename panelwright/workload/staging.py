@@ -90,17 +90,22 @@ def _(t):
 @query(
     "columns_split",
     "IO9",
-    "part:l t:l g:l cells:l",
-    """SELECT p AS part, t, g, 2 AS cells FROM full_panel CROSS JOIN (SELECT unnest([0, 1]) AS p)
-       UNION ALL SELECT 2, t, g, 1 FROM full_panel""",
+    "part:l t:l g:l name:s value:d",
+    " UNION ALL ".join(
+        f"SELECT {i // 2} AS part, t, g, '{c}' AS name, CAST({c} AS DOUBLE) AS value FROM full_panel"
+        for i, c in enumerate(["n_events", "n_error", "n_purchase", "value_sum", "value_max"])
+    ),
     ["full_panel"],
 )
 def _(t):
-    parts = DB.split_columns(full_panel(t), PANEL.keys, 3)
-    frames = [
-        p.select(F.lit(i).alias("part"), "t", "g", F.lit(len(PANEL.values(p))).alias("cells"))
-        for i, p in enumerate(parts)
-    ]
+    # Written and read part by part; all values are compared.
+    frames = []
+    for i, p in enumerate(DB.split_columns(full_panel(t), PANEL.keys, 3)):
+        folder = scratch_folder(t.spark, f"part-{i}")
+        FS.write_parquet(p, folder)
+        cells = [F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in PANEL.values(p)]
+        back = t.spark.read.parquet(folder)
+        frames.append(back.select(F.lit(i).alias("part"), "t", "g", F.explode(F.array(*cells)).alias("c")).select("part", "t", "g", "c.*"))
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
