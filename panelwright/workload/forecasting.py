@@ -276,10 +276,26 @@ def _(t):
     )
 
 
-@query("permutation_importance", "MO10", "feature:s sample:s importance:d")
+@query(
+    "permutation_importance",
+    "MO10",
+    "feature:s sample:s importance:d",
+    f"""WITH fit AS (SELECT a, b FROM ({OLS}) WHERE period = 'B'),
+        shifted AS (SELECT t, g, n_error AS y, lag(n_events, 2) OVER (PARTITION BY g ORDER BY t) AS x FROM full_panel),
+        rows AS MATERIALIZED (SELECT *, CASE WHEN t <= 14 THEN 'train' ELSE 'test' END AS sample FROM shifted WHERE x IS NOT NULL AND t <= 19),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY md5(t || '|' || g || '|1')) AS place FROM rows),
+        vals AS (SELECT sample, repeat, x, row_number() OVER (PARTITION BY sample, repeat
+            ORDER BY md5(t || '|' || g || '|n_events|' || repeat || '|1')) AS place
+          FROM rows CROSS JOIN (SELECT unnest(range(10)) AS repeat)),
+        scored AS (SELECT p.sample, v.repeat, 1 - sum(pow(y - (a + b * v.x), 2)) / (var_pop(y) * count(*)) AS r2
+          FROM placed p JOIN vals v ON v.sample = p.sample AND v.place = p.place, fit GROUP BY 1, 2),
+        base AS (SELECT sample, 1 - sum(pow(y - (a + b * x), 2)) / (var_pop(y) * count(*)) AS r2 FROM rows, fit GROUP BY 1)
+       SELECT 'n_events' AS feature, base.sample, min(base.r2) - avg(scored.r2) AS importance
+       FROM base JOIN scored ON scored.sample = base.sample GROUP BY 2""",
+    ["full_panel"],
+)
 def _(t):
-    model = _linear(t, periods=(PERIOD_B,))
-    return model.permutation_importance(full_panel(t), PERIOD_B, 1)
+    return _simple_linear(t).permutation_importance(full_panel(t), PERIOD_B, 2)
 
 
 @query(
@@ -311,18 +327,40 @@ def _(t):
     ["full_panel"],
 )
 def _(t):
-    # One tree of one split on a feature of few values: SQL can search the best cut.
-    model = StepModel(
+    return _stump(t, ["n_events"]).predict(full_panel(t), period=PERIOD_B)
+
+
+def _stump(t, features):
+    """One tree of one split on features of few values: SQL can search the cut."""
+    return StepModel(
         name="stump",
         col_outcome="n_error",
-        cols_features=["n_events"],
+        cols_features=features,
         steps=[2],
         outcome_type="real",
         periods=[PERIOD_B],
         estimator=RandomForestRegressor(numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", maxBins=256),
         panel=PANEL,
     ).fit(full_panel(t))
-    return model.predict(full_panel(t), period=PERIOD_B)
+
+
+@query(
+    "importances_of_one_split",
+    "MO8",
+    "period:s step:l feature:s importance:d",
+    """WITH train AS (SELECT n_error AS y, lag(n_events, 2) OVER w AS n_events, lag(n_purchase, 2) OVER w AS n_purchase
+          FROM full_panel WHERE t <= 14 WINDOW w AS (PARTITION BY g ORDER BY t)),
+        long AS MATERIALIZED (SELECT y, name, x FROM (FROM train UNPIVOT (x FOR name IN (n_events, n_purchase)))),
+        cuts AS (SELECT name, (x + lead(x) OVER (PARTITION BY name ORDER BY x)) / 2e0 AS cut FROM (SELECT DISTINCT name, x FROM long)),
+        errors AS (SELECT l.name, cut, var_pop(y) FILTER (x <= cut) * count(*) FILTER (x <= cut) + var_pop(y) FILTER (x > cut) * count(*) FILTER (x > cut) AS e
+          FROM long l JOIN cuts c ON c.name = l.name WHERE cut IS NOT NULL GROUP BY 1, 2),
+        best AS (SELECT name FROM errors ORDER BY e, name, cut LIMIT 1)
+       SELECT 'B' AS period, 2 AS step, n.name AS feature, (n.name = best.name)::INT AS importance
+       FROM (SELECT unnest(['n_events', 'n_purchase']) AS name) n, best""",
+    ["full_panel"],
+)
+def _(t):
+    return _stump(t, ["n_events", "n_purchase"]).feature_importances(t.spark)
 
 
 # --- ensembles -------------------------------------------------------------
