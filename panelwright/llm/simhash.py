@@ -148,11 +148,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reached = roots.join(nodes, roots.node == nodes.fp).select("node", "root", "least")
     joint = reached.groupBy("root").agg(F.min("least").alias("joint"))
     of_node = reached.join(joint, "root").select(F.col("node").alias("fp"), "joint")
-    classes = nodes.join(of_node, "fp", "left").select(
-        "fp", F.coalesce("joint", "least").alias("component_id")
+    classes = cut(
+        nodes.join(of_node, "fp", "left").select("fp", F.coalesce("joint", "least").alias("component_id"))
     )
-    # A fingerprint that very many documents share is one row of `classes`; its
-    # documents are dealt out by adaptive skew join.
+    # A fingerprint that very many documents share is one row of `classes`,
+    # which is written, so that two plain tables are shuffled and adaptive skew
+    # join can deal its documents out.
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
