@@ -91,13 +91,16 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         F.col("digest").alias("text_sha256"),
     )
     possible = flagged.where("possible")
-    # Partial aggregates make a hot group one row per task before the shuffle;
-    # the join below deals a hot group out over tasks (adaptive skew join).
-    best = possible.groupBy("digest").agg(
-        F.min(
-            F.struct((-F.col("size")).alias("rank"), F.col("doc_id").isNull().alias("none"), "doc_id")
-        ).alias("best"),
-        F.count("*").alias("group_size"),
+    # Partial aggregates make a hot group one row per task before the shuffle.
+    # The result is written, so that the join below shuffles two plain tables
+    # and can deal a hot group out over tasks (adaptive skew join).
+    best = cut(
+        possible.groupBy("digest").agg(
+            F.min(
+                F.struct((-F.col("size")).alias("rank"), F.col("doc_id").isNull().alias("none"), "doc_id")
+            ).alias("best"),
+            F.count("*").alias("group_size"),
+        )
     )
     grouped = possible.join(best, "digest").select(
         "doc_id",
