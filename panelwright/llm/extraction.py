@@ -27,7 +27,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm.base import corpus_query, stored, table
+from panelwright.lineage import stored
+from panelwright.llm.base import corpus_query, table
 from panelwright.llm.html import Token, tokens
 
 LEAST_CLASS = 2  # tokens of a class
@@ -116,7 +117,9 @@ def templates(pages: DataFrame) -> DataFrame:
     of_host = of_token.where("token = 0").select(
         "host", F.col("pages").alias("host_pages"), F.col("vector").alias("host_vector")
     )
-    known = of_token.where("token <> 0").join(of_host, "host")
+    # Text on too few pages for any host that learns texts need not be joined.
+    frequent = ~F.col("is_text") | (F.col("pages") >= LEAST_PAGES * LEAST_SUPPORT)
+    known = of_token.where("token <> 0").where(frequent).join(of_host, "host")
     known = known.where(F.col("pages") >= F.col("host_pages") * LEAST_SUPPORT).where(
         ~F.col("is_text") | (F.col("host_pages") >= LEAST_PAGES)
     )
