@@ -10,8 +10,6 @@ from typing import Any
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.lineage import scratch_folder
-
 CORPUS: dict[str, "CorpusQuery"] = {}
 
 # Characters that one numpy pass works on at most; a longer text is one pass.
@@ -40,14 +38,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame once to the shared scratch folder and read it again: it is
-    computed once, and lost executors cost nothing of it."""
-    folder = scratch_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def passes(texts: Sequence[str], limit: int = PASS_CHARS) -> Iterator[slice]:
     """Cut a batch into runs of rows of at most `limit` characters, or one row."""
     start = size = 0

@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.lineage import cut
+from panelwright.lineage import Rounds
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of `edges` (a, b: long); root is the smallest
     node reachable. Alternating large-star and small-star rounds: each is one
     aggregate for the smallest neighbour and one join, so a node with very many
-    neighbours is never one list. Self-loops and repeated edges are allowed."""
-    pairs = cut(
+    neighbours is never one list. A round is written, and the one before it is
+    removed. Self-loops and repeated edges are allowed."""
+    kept = Rounds(edges.sparkSession, "components")
+    pairs = kept.put(
         edges.where("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
     state = _state(pairs)
     while True:
-        pairs = cut(_small_star(_large_star(pairs)))
+        pairs = kept.put(_small_star(_large_star(pairs)))
         after = _state(pairs)
         if after == state:
             break

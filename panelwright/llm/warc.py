@@ -19,8 +19,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.lineage import scratch_folder
-from panelwright.llm.base import corpus_query, stored, table
+from panelwright.lineage import scratch_folder, stored
+from panelwright.llm.base import corpus_query, table
 
 LEAST_REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 32 << 20  # an archive is closed once it has this many bytes
