@@ -22,6 +22,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
+def check_unique(tables: Sequence[tuple[DataFrame, Sequence[str]]]) -> None:
+    """Raise if a table has a key twice; one job for all tables."""
+    found = None
+    for i, (table, keys) in enumerate(tables):
+        twice = duplicate_keys(table, keys).select(F.lit(i).alias("table")).limit(1)
+        found = twice if found is None else found.unionByName(twice)
+    bad = [] if found is None else sorted(r[0] for r in found.collect())
+    if bad:
+        raise ValueError(f"joining on {list(tables[bad[0]][1])} would change the row count")
+
+
 def left_join_keeping_rows(
     skeleton: DataFrame,
     table: DataFrame,
@@ -39,8 +50,8 @@ def left_join_keeping_rows(
     on = shared_keys(skeleton, keys)
     if cols is not None:
         table = table.select(*keys, *[c for c in cols if c in table.columns])
-    if check and not duplicate_keys(table, keys).isEmpty():
-        raise ValueError(f"joining on {on} would change the row count")
+    if check:
+        check_unique([(table, on)])
     return skeleton.join(table, on, "left")
 
 
@@ -50,15 +61,21 @@ def join_tables(
     cols: Sequence[str] | None = None,
     check: bool = False,
 ) -> DataFrame:
-    """Left-join (table, keys) pairs of mixed resolution, in order."""
-    out = skeleton
+    """Left-join (table, keys) pairs of mixed resolution, in order. `check`
+    looks at the keys of all tables in one job."""
+    joins = []
     for table, keys in tables:
         wanted = cols
         if cols is not None:
             wanted = [c for c in cols if c in table.columns and c not in keys]
             if not wanted:
                 continue
-        out = left_join_keeping_rows(out, table, keys, wanted, check)
+        joins.append((table, keys, wanted))
+    if check:
+        check_unique([(table, shared_keys(skeleton, keys)) for table, keys, _ in joins])
+    out = skeleton
+    for table, keys, wanted in joins:
+        out = left_join_keeping_rows(out, table, keys, wanted)
     return out
 
 

@@ -308,7 +308,7 @@ def resample(
     if fewer:
         share = F.when(F.col("_negative"), shares[True]).otherwise(shares[False])
         rows = marked.filter(F.col("_negative").isin(fewer))
-        parts.append(take_share(rows, share, keys, seed, by=["_negative"], groups=2))
+        parts.append(take_share(rows, share, keys, seed, by=["_negative"]))
     for negative, share in shares.items():
         if share > 1:
             rows = marked.filter(F.col("_negative") == negative)

@@ -39,10 +39,6 @@ def uniform(*parts: ColumnLike | int) -> Column:
     return F.conv(head, 16, 10).cast("double") / F.lit(float(16**UNIFORM_DIGITS))
 
 
-# Groups up to which the bucket table, 16^4 rows for each, is broadcast.
-BROADCAST_GROUPS = 4
-
-
 def _bucket_starts(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows of earlier buckets and of the group; one row per group and bucket."""
     sizes = df.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
@@ -62,14 +58,13 @@ def with_rank(
     ties: Sequence[str],
     out: str = "_rank",
     by: Sequence[str] = (),
-    groups: int | None = None,
     keep: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Number all rows 1..N in the order of a hex digest, per group of `by`.
 
     The digest spreads rows evenly over the buckets, so no bucket is hot even
     if one group has most rows. The bucket table has at most 16^4 rows per
-    group; it is broadcast when `groups` bounds the number of groups. `keep`
+    group; whether it is broadcast is left to Spark. `keep`
     gets the size of the group and says how many of its rows are wanted: whole
     buckets beyond that are dropped before anything is sorted.
     """
@@ -77,8 +72,6 @@ def with_rank(
         "_bucket", F.substring("_digest", 1, BUCKET_DIGITS)
     )
     starts = _bucket_starts(df, by)
-    if not by or (groups is not None and groups <= BROADCAST_GROUPS):
-        starts = F.broadcast(starts)
     ranked = df.join(starts, [*by, "_bucket"])
     if keep is not None:
         ranked = ranked.withColumn("_keep", keep(F.col("_total"))).filter("_start < _keep")
@@ -97,7 +90,6 @@ def take_share(
     keys: Sequence[str],
     seed: int,
     by: Sequence[str] = (),
-    groups: int | None = None,
 ) -> DataFrame:
     """A reproducible sample of exactly floor(share * n) rows of each group."""
     kept = with_rank(
@@ -105,7 +97,6 @@ def take_share(
         digest(*keys, seed),
         keys,
         by=by,
-        groups=groups,
         keep=lambda total: F.floor(share * total),
     )
     return kept.select(*df.columns)

@@ -13,14 +13,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.lineage import cut
+from panelwright.lineage import cut, stored
 from panelwright.panel import Panel
 
 INFINITY = float("inf")
 
-# Rows a bucket table may have to be broadcast, some ten megabytes.
-BROADCAST_ROWS = 100_000
-
 
 # --- neighbourhoods --------------------------------------------------------
 
@@ -218,19 +215,16 @@ def nearest_distance(
     that can still hold one of its k nearest points: those no farther than the
     distance within which k points are certain. That leaves a handful of
     buckets per query at every level whatever the number of points, and the
-    last level is the points themselves, so the answer is exact. A level has
-    at most as many buckets as its grid has squares, and no more than there
-    are places with points; it is broadcast when that bound is small. Larger
-    levels are joined on their many distinct bucket numbers. Points are
-    combined by place and written once, as every level is built from them.
+    last level is the points themselves, so the answer is exact. Points are
+    combined by place and written once, as every level is built from them; so
+    Spark knows their size, and broadcasts levels while they are small. Larger
+    ones are joined on their many distinct bucket numbers.
     """
     # A missing coordinate is no place: such points count for no query, and
     # such queries have no distance.
     queries, points = queries.dropna(subset=list(dims)), points.dropna(subset=list(dims))
-    points = cut(points.groupBy(*slices, *dims).agg(F.count(F.lit(1)).alias("_n")))
+    points = stored(points.groupBy(*slices, *dims).agg(F.count(F.lit(1)).alias("_n")), "points")
     extent = points.agg(
-        F.count(F.lit(1)).alias("points"),
-        F.count_distinct(*slices).alias("slices") if slices else F.lit(1).alias("slices"),
         *[F.min(d).alias(f"lo_{d}") for d in dims],
         *[F.max(d).alias(f"hi_{d}") for d in dims],
     ).first()
@@ -264,10 +258,6 @@ def nearest_distance(
     per_query = Window.partitionBy(*keys)
 
     for depth, table in enumerate(tables):
-        squares = extent["slices"] * fan ** (len(dims) * min(depth, levels))
-        bound = extent["points"] if depth > levels else min(squares, extent["points"])
-        if bound <= BROADCAST_ROWS:
-            table = F.broadcast(table)
         joined = found.join(table, [*slices, *ups])
         nearest, farthest = F.lit(0.0), F.lit(0.0)
         for d in dims:

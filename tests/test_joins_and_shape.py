@@ -166,7 +166,7 @@ def test_a_row_on_the_threshold_in_any_column_is_negative(spark):
 
 def test_rank_is_a_numbering_per_group(spark):
     df = spark.range(5000).select("id", (F.col("id") % 3 == 0).alias("k"))
-    ranked = with_rank(df, digest("id", 7), ["id"], by=["k"], groups=2)
+    ranked = with_rank(df, digest("id", 7), ["id"], by=["k"])
     got = ranked.groupBy("k").agg(F.min("_rank"), F.max("_rank"), F.count_distinct("_rank"), F.count("*"))
     for _k, low, high, distinct, n in got.collect():
         assert (low, high, distinct) == (1, n, n)
