@@ -1,7 +1,5 @@
 """Queries for files, stagers, rasters and pages."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from panelwright.functions.scalars import grid_id, month_id_of
@@ -64,7 +62,9 @@ def _(t):
     ["nation_month"],
 )
 def _(t):
-    name = f"panel_{uuid.uuid4().hex}"
+    # One name, so that the catalog keeps one entry however often this runs.
+    name = "panelwright_saved_panel"
+    t.spark.sql(f"DROP TABLE IF EXISTS {name}")
     folder = scratch_folder(t.spark, name)
     DB.save_table(nation_month(t), name, folder, PANEL.group, PANEL.time, buckets=8)
     rows = DB.load_table(t.spark, name, ["n_orders"], PANEL.keys)

@@ -6,6 +6,8 @@ from panelwright.functions import windows as W
 from panelwright.panel import Panel, drop_nan
 from panelwright.plans.transforms import Transform, apply_transforms
 
+# Accepted onsets, and times when one is possible, of events in
+# time order, with a window of three.
 EVENTS = {
     "g1": [0, 0, 0, 0, 1, 1, 1, 0, 0, 0],
     "g2": [0, 1, 0, 1, 0, 0, 1, 0, 0, 0],
