@@ -33,8 +33,8 @@ from panelwright.llm.html import Token, tokens
 
 LEAST_CLASS = 2  # tokens of a class
 LEAST_SUPPORT = 0.5  # share of the host's pages with a class
-# Pages of a host from which on a text block that stands on every page is
-# taken for template text; with fewer pages equal texts may be mere copies.
+# Different pages of a host from which on a text block that stands on every one
+# is taken for template text. Copies of a page count once.
 LEAST_PAGES = 10
 
 # Elements and words of class, id or role of what is not main text.
@@ -74,8 +74,8 @@ def _page_stats(found: list[Token]) -> dict[int, list]:
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """One row per page and distinct token of it, see STATS; token 0 stands for
-    the page itself."""
+    """One row per different page of a host and distinct token of it, see STATS;
+    token 0 stands for the page itself. Pages with equal html are one page."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.split()[0] for c in STATS.split(", ")]
@@ -92,9 +92,9 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
     html = F.coalesce("html", F.lit(""))
     rows = pages.select(
-        host_of(F.col("url")).alias("host"), F.xxhash64("page_id", "url", html).alias("page"), html.alias("html")
+        host_of(F.col("url")).alias("host"), F.xxhash64(html).alias("page"), html.alias("html")
     )
-    return rows.mapInPandas(run, STATS)
+    return rows.mapInPandas(run, STATS).distinct()
 
 
 def templates(pages: DataFrame) -> DataFrame:

@@ -147,6 +147,17 @@ def test_template_text_goes(spark):
     assert extract(pages_of(spark, [])).collect() == []
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    # Copies with an odd and an even number, and pages without a host.
+    rows = [(i, f"http://mirror.example.com/{i}", page("Same", "<p>same text</p>")) for i in range(12)]
+    rows += [(100 + i, f"http://two.example.com/{i}", page("Two", f"<p>text {i % 2}</p>")) for i in range(25)]
+    rows += [(200 + i, None, page("Lost", "<p>no host</p>")) for i in range(11)]
+    texts = {r["page_id"]: r["text"] for r in extract(pages_of(spark, rows)).collect()}
+    assert {texts[i] for i in range(12)} == {"Same\n\nsame text"}
+    assert all(texts[100 + i] == f"Two\n\ntext {i % 2}" for i in range(25))
+    assert {texts[200 + i] for i in range(11)} == {"Lost\n\nno host"}
+
+
 def test_query_by_brute_force(spark):
     from panelwright.llm import CORPUS
 
