@@ -7,7 +7,12 @@ edit, so edit distance becomes Hamming distance between the walks. Each table
 samples a few places of the walk; a window and an item that agree on all of
 them meet, and the exact edit distance decides.
 
-Windows are as long as the item and start at every word of every document.
+The longer an item, the rarer do two of its passages at the threshold agree on
+sampled places. Items of more than PART words are therefore cut into parts. The
+edits of a passage add up over its parts, so some part is at least as similar as
+the whole; where a part meets, the whole item is aligned with the text around.
+
+Windows are as long as the part and start at every word of every document.
 Before the walk, a window must hold as many word pairs of the benchmark as a
 passage of the threshold's similarity needs (`least_shared`); the count loses
 no match and spares most windows the walk.
@@ -30,6 +35,7 @@ from panelwright.llm.words import words_of
 SIMILARITY = 0.8  # of words: 1 - edit distance / length of the longer side
 # Independent walks, and tables of PLACES sampled places on each.
 WALKS, TABLES, PLACES = 6, 16, 3
+PART = 64  # words of an item's part at most
 SEED = 7
 # Words of the benchmark that are held at a time; a larger benchmark is applied
 # in parts, one pass over the documents each.
@@ -37,6 +43,7 @@ PART_WORDS = 1_000_000
 PASS_CHARS = 4 << 20
 WINDOWS_AT_ONCE, PAIRS_AT_ONCE = 1 << 15, 1 << 12
 PAD = np.uint64(0)
+COSTS = 10_000  # units of an edit in `_aligned`
 
 
 class Benchmark:
@@ -51,26 +58,37 @@ class Benchmark:
         self.ids = [items[i][0] for i in kept]
         self.words = [found.hashes[bounds[i] - found.sizes[i] : bounds[i]] for i in kept]
         self.sizes = found.sizes[kept]
+        # Parts of about equal size: their items and where they begin in them.
+        number = -(-self.sizes // PART)
+        self.owner = np.repeat(np.arange(len(kept)), number)
+        nth = ranges(np.zeros(len(kept), np.int64), number)
+        size, cut = self.sizes[self.owner], number[self.owner]
+        self.offset = nth * size // cut
+        self.part_sizes = (nth + 1) * size // cut - self.offset
+        self.in_parts = cut > 1
         rng = np.random.default_rng(SEED)
         self.salts = rng.integers(1, 1 << 62, WALKS, dtype=np.uint64) | np.uint64(1)
         # A walk passes an item in about two steps a word; windows are keyed by
         # places that depend on their length.
-        self.lengths, kind = np.unique(self.sizes, return_inverse=True)
+        self.lengths, kind = np.unique(self.part_sizes, return_inverse=True)
         self.places = np.stack(
             [
                 [np.sort(rng.choice(max(2 * n, PLACES), PLACES, replace=False)) for _ in range(WALKS * TABLES)]
                 for n in self.lengths.tolist()
             ]
         ).reshape(len(self.lengths), WALKS, TABLES, PLACES) if len(kept) else None
-        # Which lengths have an item with a certain pair of neighbouring words.
-        pairs = [_neighbours(w) for w in self.words]
+        # Which lengths have a part with a certain pair of neighbouring words.
+        pairs = [
+            _neighbours(self.words[i][a : a + n])
+            for i, a, n in zip(self.owner.tolist(), self.offset.tolist(), self.part_sizes.tolist())
+        ]
         owner = np.repeat(kind, [len(p) for p in pairs]).astype(np.uint64)
         held = np.unique(np.stack([np.concatenate([*pairs, np.zeros(0, np.uint64)]), owner], 1), axis=0)
         known, self.first_kind, self.n_kinds = np.unique(held[:, 0], return_index=True, return_counts=True)
         self.kinds = held[:, 1].astype(np.int64)
         self.neighbours = KeyTable(known, np.arange(len(known)))
         data = np.concatenate([*self.words, np.zeros(1, np.uint64)])
-        starts = np.cumsum(self.sizes) - self.sizes
+        starts = (np.cumsum(self.sizes) - self.sizes)[self.owner] + self.offset
         self.tables = [
             _grouped(key) for walk in range(WALKS if len(kept) else 0) for key in self.keys(data, starts, kind, walk).T
         ]
@@ -96,7 +114,7 @@ class Benchmark:
 
 
 def _grouped(keys: np.ndarray):
-    """(table of distinct keys, first item of each, number, items by key)."""
+    """(table of distinct keys, first part of each, number, parts by key)."""
     order = np.argsort(keys, kind="stable")
     distinct, first, number = np.unique(keys[order], return_index=True, return_counts=True)
     return KeyTable(distinct, np.arange(len(distinct))), first, number, order
@@ -142,7 +160,8 @@ def matches(bench: Benchmark, texts: Sequence[str]) -> list[tuple[int, int, floa
     order = np.argsort(kind_of, kind="stable")
     held, kind_of = np.repeat(held, number)[order], kind_of[order]
     sums, back = _prefixes(data)
-    windows, kinds = [], []
+    windows, kinds, twins = [], [], {}
+    long_kinds = np.unique(bench.part_sizes[bench.in_parts])
     for kind, length in enumerate(bench.lengths.tolist()):
         need = least_shared(length, bench.similarity)
         # Pairs begin in the words of the longest passage but its last.
@@ -155,21 +174,34 @@ def matches(bench: Benchmark, texts: Sequence[str]) -> list[tuple[int, int, floa
         stop = np.minimum(starts + span + 1, ends[row[starts]])
         content = (sums[stop] - sums[starts]) * back[starts] + (stop - starts).astype(np.uint64)
         alike = np.stack([row[starts].astype(np.uint64), content], 1)
-        starts = starts[np.unique(alike, axis=0, return_index=True)[1]]
+        _, one, group = np.unique(alike, axis=0, return_index=True, return_inverse=True)
+        if length in long_kinds:
+            # What stands around them decides for long items: all of them count.
+            like = starts[one][group.ravel()]
+            twins[length] = np.sort(like), starts[np.argsort(like, kind="stable")]
+        starts = starts[one]
         windows.append(starts)
         kinds.append(np.full(len(starts), kind))
-    item, start = _candidates(bench, data, np.concatenate(windows), np.concatenate(kinds)).T
+    part, start = _candidates(bench, data, np.concatenate(windows), np.concatenate(kinds)).T
     best: dict[tuple[int, int], tuple] = {}
+
+    def keep(item: int, start: int, likeness: float, size: int) -> None:
+        key = (int(row[start]), item)
+        score = (-likeness, start - int(ends[key[0]] - found.sizes[key[0]]), size)
+        if key not in best or score < best[key]:
+            best[key] = score
+
+    cut = bench.in_parts[part]
+    item, begin = bench.owner[part[~cut]], start[~cut]
     for i in range(0, len(item), PAIRS_AT_ONCE):
-        part = slice(i, i + PAIRS_AT_ONCE)
-        likeness, size = _verified(bench, data, ends[row[start[part]]], item[part], start[part])
+        at = slice(i, i + PAIRS_AT_ONCE)
+        likeness, size = _verified(bench, data, ends[row[begin[at]]], item[at], begin[at])
         for k in np.flatnonzero(likeness >= bench.similarity - 1e-9).tolist():
-            s = int(start[part][k])
-            key = (int(row[s]), int(item[part][k]))
-            first = s - int(ends[key[0]] - found.sizes[key[0]])
-            score = (-float(likeness[k]), first, int(size[k]))
-            if key not in best or score < best[key]:
-                best[key] = score
+            keep(int(item[at][k]), int(begin[at][k]), float(likeness[k]), int(size[k]))
+    for whole, low, high in _surroundings(bench, part[cut], start[cut], twins, ends - found.sizes, ends, row):
+        likeness, first, size = _aligned(bench.words[whole], data[low:high], bench.similarity)
+        if likeness >= bench.similarity - 1e-9:
+            keep(whole, low + first, likeness, size)
     return [(r, i, -s[0], s[1], s[2]) for (r, i), s in sorted(best.items())]
 
 
@@ -186,7 +218,7 @@ def _dense(held, need: int, span: int, row, first) -> np.ndarray:
 
 
 def _candidates(bench: Benchmark, data, starts, kinds) -> np.ndarray:
-    """Distinct pairs (item, start) that meet in some table, by item length. A
+    """Distinct pairs (part, start) that meet in some table, by part length. A
     walk may pass the end of the window's text; the exact check does not."""
     out = [np.zeros((0, 2), np.int64)]
     for i in range(0, len(starts), WINDOWS_AT_ONCE):
@@ -198,11 +230,67 @@ def _candidates(bench: Benchmark, data, starts, kinds) -> np.ndarray:
                 known, first, number, members = bench.tables[walk * TABLES + t]
                 at = known.find(keys[:, t])
                 hit = np.flatnonzero(at >= 0)
-                item = members[ranges(first[at[hit]], number[at[hit]])]
-                found.append(np.stack([item, np.repeat(part[hit], number[at[hit]])], 1))
+                part_of = members[ranges(first[at[hit]], number[at[hit]])]
+                found.append(np.stack([part_of, np.repeat(part[hit], number[at[hit]])], 1))
         out.append(np.unique(np.concatenate(found), axis=0))
     pairs = np.concatenate(out)
-    return pairs[np.argsort(bench.sizes[pairs[:, 0]], kind="stable")]
+    return pairs[np.argsort(bench.part_sizes[pairs[:, 0]], kind="stable")]
+
+
+def _surroundings(bench: Benchmark, part, start, twins, first, ends, row) -> Iterator[tuple[int, int, int]]:
+    """(item, first place, place behind the last) of the stretches of text in
+    which a passage of the whole item lies if the part begins at the start or at
+    a window that reads alike; stretches that overlap are one."""
+    found = []
+    for p, s in zip(part.tolist(), start.tolist()):
+        item, offset = int(bench.owner[p]), int(bench.offset[p])
+        longest = floor(int(bench.sizes[item]) / bench.similarity + 1e-9)
+        slack = longest - int(bench.sizes[item])  # edits of a passage at most
+        like, places = twins[int(bench.part_sizes[p])]
+        at = places[slice(np.searchsorted(like, s), np.searchsorted(like, s, "right"))]
+        low = np.maximum(at - offset - slack, first[row[at]])
+        high = np.minimum(at - offset + slack + longest, ends[row[at]])
+        found.append(np.stack([np.full(len(at), item), low, high], 1))
+    if not found:
+        return
+    places = np.unique(np.concatenate(found), axis=0).tolist()
+    item, low, high = places[0]
+    for i, a, b in places[1:]:
+        if i == item and a < high:
+            high = max(high, b)
+        else:
+            yield item, low, high
+            item, low, high = i, a, b
+    yield item, low, high
+
+
+def _aligned(item: np.ndarray, text: np.ndarray, similarity: float) -> tuple[float, int, int]:
+    """Similarity, first word and words of a passage of the text that reaches
+    the similarity, if one does, over all begins and ends. Two tables, a row per
+    word of the item: the fewest edits e of a passage that ends at a place, and
+    the least e - (1 - s) m of one of m words. A passage of n words or less
+    reaches s if the first is at most (1 - s) n, a longer one if the second is
+    at most 0. Costs carry their passage's begin in the low bits; of equal ones
+    the longer passage is taken."""
+    bits = int(len(text) + 1).bit_length()
+    gain = np.array([[0], [ceil((1 - similarity) * COSTS - 1e-6)]], np.int64)
+    one = np.int64(COSTS << bits)
+    places = np.arange(len(text) + 1, dtype=np.int64)
+    along = places * (one - (gain << bits))
+    line = np.broadcast_to(places, (2, len(places)))
+    for word in item:
+        step = line + one
+        moved = line[:, :-1] + np.where(text != word, one, 0) - (gain << bits)
+        step[:, 1:] = np.minimum(step[:, 1:], moved)
+        # Insertions: the running minimum along the row.
+        line = np.minimum.accumulate(step - along, axis=1) + along
+    first = line & ((1 << bits) - 1)
+    size = places - first
+    edits = ((line >> bits) + gain * size) / COSTS
+    likeness = 1.0 - edits / np.maximum(size, len(item))
+    order = np.lexsort((size.ravel(), first.ravel(), -likeness.ravel()))
+    at = order[0]
+    return float(likeness.flat[at]), int(first.flat[at]), int(size.flat[at])
 
 
 def _verified(bench: Benchmark, data, stop, item, start) -> tuple[np.ndarray, np.ndarray]:

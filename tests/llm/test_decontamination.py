@@ -77,6 +77,47 @@ def test_recall_at_the_threshold():
     assert found >= 0.95 * len(items)
 
 
+def test_recall_of_long_items():
+    rng = random.Random(6)
+    for size, number in ((100, 60), (200, 40), (400, 20), (1000, 8)):
+        items = [[f"w{rng.randrange(3000)}" for _ in range(size)] for _ in range(number)]
+        bench = Benchmark([(i, " ".join(w)) for i, w in enumerate(items)])
+        found = 0
+        for i, item in enumerate(items):
+            # The item's first words alone before it, and another document.
+            text = item[:70] + words(rng, 300) + edited(rng, item, size // 5) + words(rng, 40)
+            got = matches(bench, [" ".join(words(rng, 50)), " ".join(text)])
+            found += (1, i) in {(r, bench.ids[k]) for r, k, _, _, _ in got}
+            for _, k, likeness, first, n in got:
+                passage = text[first : first + n]
+                want = 1 - distance(items[k], passage) / max(size, n) if size < 400 else likeness
+                assert abs(likeness - want) < 1e-9 and likeness >= 0.8 - 1e-9
+        assert found >= 0.95 * number, (size, found)
+
+
+def test_long_items_by_brute_force():
+    from panelwright.llm.decontamination import _aligned
+
+    rng = random.Random(7)
+    for _ in range(60):
+        item = [rng.choice("abcdef") for _ in range(rng.randrange(3, 14))]
+        text = words(rng, 3) + edited(rng, item, rng.randrange(5)) + words(rng, 3)
+        found = words_of([" ".join(item), " ".join(text)]).hashes
+        likeness, first, n = _aligned(found[: len(item)], found[len(item) :], 0.8)
+        assert abs(likeness - (1 - distance(item, text[first : first + n]) / max(len(item), n))) < 1e-9
+        assert (likeness >= 0.8 - 1e-9) == (best_similarity(item, text) >= 0.8 - 1e-9)
+
+
+def test_long_item_below_the_threshold():
+    rng = random.Random(8)
+    item = [f"w{i}" for i in range(150)]
+    bench = Benchmark([(1, " ".join(item))])
+    # A part alone is no passage; the whole item later in the text is.
+    assert matches(bench, [" ".join(item[:100])]) == []
+    text = item[:80] + words(rng, 500) + item + words(rng, 10)
+    assert matches(bench, [" ".join(text)]) == [(0, 0, 1.0, 580, 150)]
+
+
 def test_least_shared_loses_nothing():
     rng = random.Random(3)
     for _ in range(300):
