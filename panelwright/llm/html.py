@@ -33,6 +33,14 @@ _TAG = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.DOTALL,
 )
+# Drawings and formulas nest; what looks like one in a comment or script is none.
+_FOREIGN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style)\b[^>]*>.*?</(?P=raw)\s*>"
+    r"|<(?P<close>/?)(?P<name>svg|math)(?=[\s/>])(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    re.DOTALL | re.I,
+)
+# A slash at the end of a tag, but not of an attribute's value without quotes.
+_SELF_CLOSED = re.compile(r"(?:\A|[\s\"'/]|[\s\"'][^\s\"'=]*)/\s*\Z")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _LETTERS = re.compile(r"[A-Za-z]+")
 
@@ -53,6 +61,23 @@ def label(name: str, rest: str) -> str:
     return ".".join([name, *(w.lower() for w in words)])
 
 
+def _foreign_ends(html: str, at: int) -> dict[int, int]:
+    """Where each svg and math element ends, by the end of its opening tag. One
+    that is self-closed or never closed has no entry: it is empty."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {"svg": [], "math": []}
+    for m in _FOREIGN.finditer(html, at):
+        if not m["name"]:
+            continue
+        inside = opened[m["name"].lower()]
+        if not m["close"]:
+            if not _SELF_CLOSED.search(m["rest"]):
+                inside.append(m.end())
+        elif inside:
+            ends[inside.pop()] = m.end()
+    return ends
+
+
 def tokens(html: str) -> list[Token]:
     """The tags and text blocks of a page in order. Inline elements do not part
     blocks; comments, declarations and the content of raw elements are left
@@ -83,6 +108,7 @@ def tokens(html: str) -> list[Token]:
                 return
 
     at, size = 0, len(html)
+    foreign: dict[int, int] | None = None
     while at < size:
         m = _TAG.search(html, at)
         between = html[at : m.start() if m else size]
@@ -94,6 +120,11 @@ def tokens(html: str) -> list[Token]:
         if not m["name"]:
             continue
         name = m["name"].lower()
+        if not m["close"] and name in ("svg", "math"):
+            if foreign is None:
+                foreign = _foreign_ends(html, m.start())
+            at = foreign.get(at, at)
+            continue
         if not m["close"] and name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
             at = end.end() if end else size

@@ -123,6 +123,19 @@ def test_tokens_close_what_is_open():
     assert kinds.count("open") == kinds.count("close")
 
 
+def test_drawings_and_formulas():
+    def text(html):
+        return main_text(f"<article>{html}</article>", Template(None))
+
+    assert text("<p>a</p><svg class='x'/><p>b</p>") == "a\n\nb"
+    assert text('<p>a <svg href="#i" /> b</p><math/><p>c</p><svg><text>no</text></svg><p>d</p>') == "a b\n\nc\n\nd"
+    assert text("<svg><svg><text>in</text></svg><svg/><text>out</text></svg><p>e</p>") == "e"
+    assert text("<SVG width=5/><text>in</text></SVG><p>f</p>") == "f"
+    assert text("<p>g</p><svg><p>h</p>") == "g\n\nh"
+    assert text("<script>x('<svg>')</script><!-- </svg> --><p>i</p><svg hidden/><p>j</p>") == "i\n\nj"
+    assert text("<svg><!-- </svg> <text> --><text>no</text></svg><p>k</p>") == "k"
+
+
 def test_template_text_goes(spark):
     rows = []
     for i in range(30):
