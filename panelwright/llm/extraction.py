@@ -8,8 +8,9 @@ page is the frame of the host's template; the other valid classes are nested
 into its slots, the places between two of its tokens, as parts that repeat or
 may be missing. Text that belongs to a class is boilerplate; what is left are
 the contents of the slots. Those inside the article stay, and those of menus,
-footers, adverts and the like go; where no article is marked, the slot with the
-most text names the element that holds it.
+footers, adverts and the like go. Where no article is marked, the slot with the
+most text names the element directly in the body that holds the main text, and
+all slots in it stay, as do headings, paragraphs and sections beside it.
 
 Occurrence vectors are never gathered: a token's vector is summed up as the
 exclusive or of a hash of (page, count) over its pages, so a host with a third
@@ -193,17 +194,47 @@ def _main_root(path: str) -> str:
     return ""
 
 
+def _top(path: str) -> str:
+    """The element around a block that stands directly in the body; nothing for
+    the body's own text."""
+    elements = path.split("/")[1:]
+    while elements and elements[0].split(".")[0] in ("html", "body"):
+        del elements[0]
+    return elements[0] if elements else ""
+
+
+def _heaviest(blocks: list[tuple[Token, int, str]], framed: bool) -> tuple[int, str]:
+    """The slot with the most text and the path of its element. Without a frame
+    every element that holds text is a slot."""
+    mass: Counter = Counter()
+    for token, slot, around in blocks:
+        mass[(slot, around) if framed else (0, token.path.rpartition("/")[0])] += len(token.text)
+    return max(mass, key=lambda s: (mass[s], -s[0], s[1]))
+
+
+def _unmarked(blocks: list[tuple[Token, int, str]], framed: bool) -> list[tuple[Token, int, str]]:
+    """The main blocks of a page without an article: all but those in a div of
+    another kind that stands in the body behind the heaviest slot's element."""
+    number, holder = _heaviest(blocks, framed)
+    top = _top(holder)
+    if not top:
+        return blocks
+    out, behind = [], False
+    for block in blocks:
+        token, slot, around = block
+        mine = _top(token.path)
+        behind |= (slot, around) == (number, holder) if framed else token.path.startswith(f"{holder}/")
+        if mine == top or not behind or mine.split(".")[0] != "div":
+            out.append(block)
+    return out
+
+
 def main_text(html: str, template: Template) -> str:
     """The blocks of the main slots, joined by an empty line."""
     blocks = [b for b in template.slots(tokens(html)) if not is_aside(b[0].path)]
     inside = [b for b in blocks if _main_root(b[0].path)]
     if not inside and blocks:
-        mass: Counter = Counter()
-        for token, slot, around in blocks:
-            # Without a frame every element that holds text is a slot.
-            mass[(slot, around) if template.frame else (0, token.path.rpartition("/")[0])] += len(token.text)
-        holder = max(mass, key=lambda s: (mass[s], -s[0], s[1]))[1]
-        inside = [b for b in blocks if f"{b[0].path}/".startswith(f"{holder}/")]
+        inside = _unmarked(blocks, bool(template.frame))
     return "\n\n".join(b[0].text for b in inside)
 
 

@@ -160,6 +160,24 @@ def test_template_text_goes(spark):
     assert extract(pages_of(spark, [])).collect() == []
 
 
+def test_all_slots_of_a_page_without_article(spark):
+    def body(i):
+        return f"<h1>Head {i}</h1><div class=lead>lead {i}</div><div class=text><p>long text of the page {i}</p></div><div class=end>end {i}</div>"
+
+    def whole(i):
+        return f"Head {i}\n\nlead {i}\n\nlong text of the page {i}\n\nend {i}"
+
+    rows = [(i, "http://body.example.com/", f"<html><body><div class=body>{body(i)}</div><div class=menu>m {i}</div></body></html>") for i in range(12)]
+    rows += [(100 + i, "http://flat.example.com/", f"<html><body><h1>Head {i}</h1><div class=lead>lead {i}</div><div class=text>long text of the page {i}</div><p>end {i}</p></body></html>") for i in range(12)]
+    parts = [f"<section id={n}><h2>{n}</h2><p>{n} {'word ' * k}</p></section>" for n, k in (("a", 3), ("b", 9), ("c", 1))]
+    rows += [(200, "http://one.example.com/", f"<html><body>{''.join(parts)}</body></html>")]
+    rows += [(201, "http://other.example.com/", f"<html><body><div id=page>{''.join(parts)}</div><footer>f</footer></body></html>")]
+    texts = {r["page_id"]: r["text"] for r in extract(pages_of(spark, rows)).collect()}
+    assert all(texts[i] == texts[100 + i] == whole(i) for i in range(12))
+    want = "\n\n".join(["a", "a word word word", "b", "b" + " word" * 9, "c", "c word"])
+    assert texts[200] == texts[201] == want
+
+
 def test_copies_of_a_page_are_no_template(spark):
     # Copies with an odd and an even number, and pages without a host.
     rows = [(i, f"http://mirror.example.com/{i}", page("Same", "<p>same text</p>")) for i in range(12)]
