@@ -49,6 +49,13 @@ ASIDE_WORDS = frozenset(
     "recommended newsletter subscribe subscription login signup search form widget pagination pager copyright "
     "hidden contentinfo complementary".split()
 )
+# What may stand beside such a word in a name with hyphens. Other names, such as
+# comments-open or header-fixed, tell of a state and not of what the element is.
+ASIDE_PARTS = frozenset(
+    "area bar block bottom box btn button buttons container content footer global group holder icons inner item items "
+    "left link links list main nav outer page panel post posts primary right secondary section site slot social sub "
+    "thread top unit wrap wrapper".split()
+)
 MAIN, MAIN_WORDS = frozenset(["article", "main"]), frozenset(["main", "article"])
 
 STATS = "host string, token long, is_text boolean, n long, place double, page long"
@@ -170,14 +177,29 @@ def _elements(path: str) -> list[list[str]]:
     return [e.split(".") for e in path.split("/")[1:]]
 
 
-def is_aside(path: str) -> bool:
+def _is_aside_name(name: str) -> bool:
+    """Whether a class, id or role is a word of ASIDE_WORDS, or made of such and
+    of ASIDE_PARTS."""
+    if name in ASIDE_WORDS:
+        return True
+    runs = name.split("-")
+    return not ASIDE_WORDS.isdisjoint(runs) and all(r in ASIDE_WORDS or r in ASIDE_PARTS for r in runs)
+
+
+def is_aside(path: str, wrapped: str = "") -> bool:
     """Whether some element around a block is not main text. A header inside
-    an article is the article's own."""
-    in_article = False
-    for name, *words in _elements(path):
-        if name in ASIDE and not (name == "header" and in_article):
+    an article is the article's own. The names of main and of an article that
+    is in no other tell nothing of it. `wrapped` is the path of an element: the
+    forms and names around it are wrappers of the page."""
+    in_article, at = False, ""
+    for element in path.split("/")[1:]:
+        name, *words = element.split(".")
+        at += "/" + element
+        wraps = bool(wrapped) and f"{wrapped}/".startswith(f"{at}/")
+        if name in ASIDE and not (name == "header" and in_article) and not (name == "form" and wraps):
             return True
-        if name not in ("html", "body") and not ASIDE_WORDS.isdisjoint(words):
+        own = name in ("html", "body", "main") or name == "article" and not in_article
+        if not own and not wraps and any(map(_is_aside_name, words)):
             return True
         in_article |= name in MAIN
     return False
@@ -189,7 +211,7 @@ def _main_root(path: str) -> str:
     for element in path.split("/")[1:]:
         at += "/" + element
         name, *words = element.split(".")
-        if name in MAIN or not MAIN_WORDS.isdisjoint(words):
+        if name in MAIN or not MAIN_WORDS.isdisjoint("-".join(words).split("-")):
             return at
     return ""
 
@@ -229,12 +251,45 @@ def _unmarked(blocks: list[tuple[Token, int, str]], framed: bool) -> list[tuple[
     return out
 
 
+def _wrapped(blocks: list[tuple[Token, int, str]], clear: list[tuple[Token, int, str]], framed: bool) -> str:
+    """The element whose forms and names around are wrappers of the page, if
+    no main or article is clear of them: a main or article with more text than
+    what is clear, else the heaviest slot if it is in a form or nothing is clear."""
+    roots: Counter = Counter()
+    for token, _, _ in blocks:
+        root = _main_root(token.path)
+        name, *words = root.rpartition("/")[2].split(".")
+        named_aside = name != "main" and any(map(_is_aside_name, words))
+        if root and not named_aside and not is_aside(token.path, root):
+            roots[root] += len(token.text)
+    if roots:
+        root, size = max(roots.items(), key=lambda r: (r[1], r[0]))
+        if size > sum(len(b[0].text) for b in clear):
+            return root
+    # With nothing clear names may wrap as well; else only forms may.
+    loose = [b for b in blocks if not is_aside(b[0].path, b[0].path)]
+    if clear:
+        loose = [b for b in loose if not is_aside(_formless(b[0].path))]
+    return _heaviest(loose, framed)[1] if loose else ""
+
+
+def _formless(path: str) -> str:
+    """The path without its forms."""
+    return "/".join(e for e in path.split("/") if e != "form" and not e.startswith("form."))
+
+
 def main_text(html: str, template: Template) -> str:
     """The blocks of the main slots, joined by an empty line."""
-    blocks = [b for b in template.slots(tokens(html)) if not is_aside(b[0].path)]
+    slots, framed = template.slots(tokens(html)), bool(template.frame)
+    blocks = [b for b in slots if not is_aside(b[0].path)]
     inside = [b for b in blocks if _main_root(b[0].path)]
+    if not inside and len(blocks) < len(slots):
+        wrapped = _wrapped(slots, blocks, framed)
+        if wrapped:
+            blocks = [b for b in slots if not is_aside(b[0].path, wrapped)]
+            inside = [b for b in blocks if _main_root(b[0].path)]
     if not inside and blocks:
-        inside = _unmarked(blocks, bool(template.frame))
+        inside = _unmarked(blocks, framed)
     return "\n\n".join(b[0].text for b in inside)
 
 

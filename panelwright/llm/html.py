@@ -47,18 +47,20 @@ _LETTERS = re.compile(r"[A-Za-z]+")
 
 class Token(NamedTuple):
     kind: str  # "open", "close" or "text"
-    path: str  # the elements that are open, each as name.word.word
+    path: str  # the elements that are open, each as name.class-name.id
     text: str  # of a block: decoded, with single spaces
 
 
 def label(name: str, rest: str) -> str:
-    """An element's name and the words of its class, id and role."""
+    """An element's name and the names in its class, id and role, each as its
+    runs of letters with hyphens, so that numbered names are alike."""
     if not rest or "=" not in rest and "hidden" not in rest.lower():
         return name
     words = []
     for key, *values in _ATTRIBUTE.findall(rest):
-        words += ["hidden"] if key.lower() == "hidden" else _LETTERS.findall(" ".join(values))
-    return ".".join([name, *(w.lower() for w in words)])
+        given = ["hidden"] if key.lower() == "hidden" else " ".join(values).split()
+        words += ["-".join(_LETTERS.findall(w)).lower() for w in given]
+    return ".".join([name, *filter(None, words)])
 
 
 def _foreign_ends(html: str, at: int) -> dict[int, int]:

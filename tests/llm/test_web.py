@@ -118,6 +118,31 @@ def test_aside_words():
     assert not is_aside("/body/article/header/h1") and is_aside("/body/header/h1")
 
 
+def test_names_of_wrappers():
+    def text(html):
+        return main_text(f"<html><body>{html}</body></html>", Template(None))
+
+    article = "<article><p>main text</p></article>"
+    assert text("<article class='post comments-open'><p>a</p></article>") == "a"
+    assert text("<main class='with-sidebar'><p>a</p></main><div class=sidebar><p>b</p></div>") == "a"
+    assert text("<main class='sidebar'><p>a</p></main>") == "a" and text("<article class=hidden><p>a</p></article>") == "a"
+    assert text(f"<div class='page header-fixed'>{article}<div class='site-header'>x</div></div>") == "main text"
+    assert text(f"<p>skip</p><div class='page sidebar'>{article}<div class=related><article>t</article></div></div>") == "main text"
+    # A page in one form, with and without an article; forms that hold no main text.
+    asp = "<form id=aspnetForm><div class=menu>m</div>{}<div class=footer-links>f</div></form><p>c</p>"
+    assert text(asp.format(article)) == "main text"
+    assert text(asp.format("<div class=x><h1>h</h1><p>long main text</p></div>")) == "h\n\nlong main text\n\nc"
+    assert text("<form><p>mail</p></form><p>long main text</p>") == "long main text"
+    assert text("<div class=widget><h1>h</h1><p>all of the page</p></div>") == "h\n\nall of the page"
+    assert text("<div class='intro'>i</div><div id='main-content'><p>a</p></div><div class=x>the longest text</div>") == "a"
+    assert text("<div class='page sidebar'><p>skip</p><div id='main-content'><p>text</p></div></div>") == "text"
+    # Articles that are comments or teasers stay out.
+    assert text("<div><p>the long main text</p></div><div class=related><article><p>teaser</p></article></div>") == "the long main text"
+    assert text("<article><p>a</p><article class=comment><p>b</p></article></article>") == "a"
+    assert is_aside("/html/body/div.cookie-bar/p") and is_aside("/body/ul.related-posts/li")
+    assert [t.path for t in tokens("<div class='a-1 b_2 9' id=x.y>")][0] == "/div.a.b.x-y"
+
+
 def test_tokens_close_what_is_open():
     kinds = [t.kind for t in tokens("<div><p>a<div>b</div><li>c<li>d")]
     assert kinds.count("open") == kinds.count("close")
