@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from panelwright.llm.base import corpus_query, passes, shared, table
 from panelwright.llm.hashing import MIX, KeyTable, ranges
-from panelwright.llm.words import words_of
+from panelwright.llm.words import apart, words_of
 
 SIMILARITY = 0.8  # of words: 1 - edit distance / length of the longer side
 # Independent walks, and tables of PLACES sampled places on each.
@@ -51,7 +51,7 @@ class Benchmark:
     most PART_WORDS words, then broadcast."""
 
     def __init__(self, items: Sequence[tuple[int, str]], similarity: float = SIMILARITY) -> None:
-        found = words_of([text or "" for _, text in items])
+        found = words_of([apart(text or "") for _, text in items])
         bounds = np.cumsum(found.sizes)
         kept = np.flatnonzero(found.sizes > 0)
         self.similarity = similarity
@@ -146,7 +146,7 @@ def least_shared(size: int, similarity: float) -> int:
 def matches(bench: Benchmark, texts: Sequence[str]) -> list[tuple[int, int, float, int, int]]:
     """(row, item place, similarity, first word, words) of the best passage of
     every item in every text that reaches the similarity."""
-    found = words_of(texts)
+    found = words_of([apart(t) for t in texts])
     data = found.hashes
     if not len(data) or not len(bench.ids):
         return []
@@ -322,9 +322,10 @@ def _verified(bench: Benchmark, data, stop, item, start) -> tuple[np.ndarray, np
 
 
 def _parts(benchmark: DataFrame) -> int:
-    """Parts that hold PART_WORDS at most on average, by the benchmark's size."""
-    letters = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
-    return max(1, ceil(letters / 2 / PART_WORDS))
+    """Parts that hold PART_WORDS at most on average, by the benchmark's bytes,
+    of which a word and what parts it from the next take two at least."""
+    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, ceil(size / 2 / PART_WORDS))
 
 
 def _part(benchmark: DataFrame, part: int, parts: int) -> list[tuple[int, str]]:
@@ -343,7 +344,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     """One row per document and item that it holds: doc_id, item_id,
     similarity, first_word, n_words of the best passage.
 
-    Words are compared in lower case without punctuation. Items and texts that
+    Words are compared in lower case without punctuation; in scripts without
+    spaces every letter is a word. Items and texts that
     are null or have no word match nothing; repeated documents give repeated
     rows; ties go to the passage that begins first. Other columns are not read.
     """

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Sequence
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -19,6 +22,38 @@ for _c in b"0123456789abcdefghijklmnopqrstuvwxyz":
     WORD_BYTE[_c] = True
 
 
+# Letters of scripts that put no space between words.
+_UNSPACED = (
+    "\u0e01-\u0e4e\u0e81-\u0ece\u0f40-\u0fbc\u1000-\u1049\u1050-\u109d\u1780-\u17d3\u3005-\u3007\u3021-\u3029"
+    "\u3041-\u309a\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf"
+    "\u4e00-\u9fff\ua000-\ua48c\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+
+
+_UNSPACED_LETTER = re.compile(f"[{_UNSPACED}]")
+INVISIBLE = frozenset("\u00ad\u2060\ufeff")  # soft hyphen, word joiner, byte order mark
+
+
+@lru_cache(1 << 16)
+def _spaced(char: str) -> str:
+    if char.isascii():
+        return char
+    if char in INVISIBLE:
+        return ""
+    if _UNSPACED_LETTER.match(char):
+        return f" {char} "
+    return " " if unicodedata.category(char)[0] in "ZPS" or char in "\x85\u200b" else char
+
+
+def apart(text: str) -> str:
+    """The text with a space for every non-ASCII space, punctuation mark or
+    symbol, and spaces around letters of scripts that have none between words."""
+    if text.isascii():
+        return text
+    changed = {ord(c): _spaced(c) for c in set(text) if _spaced(c) != c}
+    return text.translate(changed) if changed else text
+
+
 class Words(NamedTuple):
     hashes: np.ndarray  # uint64 of every word, text after text
     prefixes: np.ndarray  # the same of the word's first bytes

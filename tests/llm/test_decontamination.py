@@ -146,6 +146,23 @@ def bench_table(spark, rows):
     return spark.createDataFrame(rows, "item_id long, text string")
 
 
+def test_unicode_punctuation_and_scripts_without_spaces():
+    from panelwright.llm.words import apart
+
+    assert apart("a\u00a0b\u2014c \u00abd\u00bb").split() == ["a", "b", "c", "d"] and apart("éa\u00adb x\u0301") == "éab x\u0301"
+    item = "we found the answer to it’s last riddle"
+    bench = Benchmark([(1, item), (2, "今日は天気がいいです"), (3, "สวัสดีครับทุกคน")])
+    texts = [
+        "before—“we found the answer to it's last riddle”—after",
+        "we\u00a0found\u3000the answer to it’s last riddle…",
+        "彼は「今日は天気がいいです。」と言った",
+        "เขาพูดว่าสวัสดีครับทุกคนแล้ว",
+        "明日は雨です",
+    ]
+    got = [(r, bench.ids[i], s) for r, i, s, _, _ in matches(bench, texts)]
+    assert got == [(0, 1, 1.0), (1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0)]
+
+
 def test_documents(spark, documents):
     item = "alpha beta gamma delta epsilon zeta eta theta"
     bench = bench_table(spark, [(1, item), (2, None), (3, ""), (1, item), (4, "..."), (9, "single")])
