@@ -148,11 +148,13 @@ def _nation_features(t):
     "SELECT n_nationkey, n_nationkey % 5 + 0.5e0 AS x, n_nationkey // 5 + 0.5e0 AS y FROM nation",
 )
 def _(t):
-    # The form of a real file: all features in one document.
+    # The form of real files: a document for each group of at most ten nations.
     folder = scratch_folder(t.spark, "collection")
-    whole = _nation_features(t).agg(F.collect_list("f").alias("features"))
-    whole.select(F.to_json(F.struct("features")).alias("value")).write.text(folder)
-    return FS.read_polygons(t.spark, folder, "n_nationkey")
+    part = F.floor(F.col("f.properties.n_nationkey") / 10).alias("part")
+    whole = _nation_features(t).groupBy(part).agg(F.collect_list("f").alias("features"))
+    json = whole.select(F.to_json(F.struct("features")).alias("value"), "part")
+    json.write.partitionBy("part").text(folder)
+    return FS.read_polygons(t.spark, f"{folder}/*", "n_nationkey")
 
 
 @query(

@@ -60,3 +60,9 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["t", "users", "with_error", "memory"] and df.count() == 30
+
+
+def test_polygon_documents_are_bounded(spark):
+    files = QUERIES["polygons_of_one_document"](spark, FOLDER).inputFiles()
+    # At most ten of the 25 nations in a document.
+    assert len(files) >= 3
