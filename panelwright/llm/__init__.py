@@ -11,8 +11,11 @@ from panelwright.llm import (  # noqa: F401
     decontamination,
     exact,
     extraction,
+    filter_audit,
+    parity_join,
     quality,
     simhash,
+    token_alignment,
     token_counts,
     toxicity,
     warc,
