@@ -186,7 +186,7 @@ def filter_audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     r"""
     WITH t AS (
       SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
-             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
       FROM documents),
     d AS (
       SELECT doc_id, part,
