@@ -25,7 +25,7 @@ from tokenizers import Tokenizer
 
 from panelwright.lineage import cut, stored
 from panelwright.llm.base import corpus_query, shared, table
-from panelwright.llm.hashing import ranges
+from panelwright.llm.hashing import coded, ranges
 from panelwright.llm.shingles import batches
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -33,9 +33,9 @@ SPACE = "▁"
 # Both tokenizers part a text before a space that follows no white space: byte
 # patterns begin a new pre-token there, and no piece goes on over it (checked).
 UNIT = re.compile(r"(?<=\S)(?= )")
-# Different units whose tokens are remembered at most, characters of texts per
-# pass, and rows of counts that are broadcast at most (some 40 bytes each).
-REMEMBERED, RUN_CHARS, BROADCAST_ROWS = 400_000, 2 << 20, 1 << 20
+# Characters of texts per pass, units that are encoded at a time, and rows of
+# counts that are broadcast at most (some 40 bytes each).
+RUN_CHARS, PART, BROADCAST_ROWS = 2 << 20, 4096, 1 << 20
 
 
 def gallop(longer: np.ndarray, shorter: np.ndarray, block: int = 32) -> np.ndarray:
@@ -125,11 +125,14 @@ class Sides:
         self.of_a = [b""] * (max(vocabulary.values()) + 1)
         for piece, i in vocabulary.items():
             self.of_a[i] = bytes(table_[c] for c in piece)
+        self.space = self.pieces.piece_to_id(SPACE)
         self.of_b = [self._piece_bytes(i) for i in range(self.pieces.get_piece_size())]
         # No piece but runs of spaces may hold a space behind another character.
         crosses = any(SPACE in p.lstrip(SPACE) for p in map(self.pieces.id_to_piece, range(len(self.of_b))))
         self.units = None if crosses else UNIT
-        self.known: dict[str, tuple] = {}
+        self.sizes_a, self.sizes_b = (np.array(list(map(len, of)), np.int64) for of in (self.of_a, self.of_b))
+        # Decimal ids with the sign behind them, see `groups_text`.
+        self.written = [f"{i}{sign}" for i in range(max(len(self.of_a), len(self.of_b))) for sign in ",|;"]
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.pieces.id_to_piece(i)
@@ -139,49 +142,69 @@ class Sides:
             return b""
         return piece.replace(SPACE, " ").encode()
 
-    def tokens(self, texts: list[str]) -> list[tuple]:
+    def tokens(self, texts: list[str]) -> list[tuple | None]:
         """(ids of A, ends of A, ids of B, ends of B) of every text with a space
-        before it; None for a text whose bytes either of them does not give back."""
-        split = [self.units.split(f" {t}") if self.units else [f" {t}"] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = list({u for units in split for u in units if u not in self.known})
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            a = [e.ids for e in self.bytes_tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        before it; None for a text whose bytes either of them does not give back.
+        Units that are alike are encoded once per call."""
+        units, codes, per_text = coded(texts, lambda t: self.units.split(f" {t}") if self.units else [f" {t}"])
+        lists_a, lists_b = [], []
+        for start in range(0, len(units), PART):
+            part = units[start : start + PART]
+            lists_a += [e.ids for e in self.bytes_tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             # The model puts a space before each unit, which it has already, but
             # none before nothing: a last space is a unit of its own.
-            b = self.pieces.encode([u[1:] for u in part], num_threads=1)
-            b = [ids or [self.pieces.piece_to_id(SPACE)] for ids in b]
-            for unit, ids_a, ids_b in zip(part, a, b):
-                self.known[unit] = self._unit(unit.encode(), ids_a, ids_b)
-        return [self._text([self.known[u] for u in units]) for units in split]
-
-    def _unit(self, data: bytes, ids_a: list[int], ids_b: list[int]) -> tuple | None:
-        of_a, of_b = [self.of_a[i] for i in ids_a], [self.of_b[i] for i in ids_b]
-        if b"".join(of_a) != data or b"".join(of_b) != data or not all(of_a) or not all(of_b):
-            return None
-        return ids_a, [len(x) for x in of_a], ids_b, [len(x) for x in of_b]
+            found = self.pieces.encode([u[1:] for u in part], num_threads=1)
+            lists_b += [ids or [self.space] for ids in found]
+        data = [u.encode() for u in units]
+        good = self._kept(data, lists_a, self.of_a) & self._kept(data, lists_b, self.of_b)
+        flat_a, size_a, bytes_a = self._laid_out(lists_a, codes, self.sizes_a)
+        flat_b, size_b, bytes_b = self._laid_out(lists_b, codes, self.sizes_b)
+        # Where the units and the tokens of every text begin.
+        edge = np.concatenate(([0], np.cumsum(per_text)))
+        kept = np.concatenate(([0], np.cumsum(~good[codes])))[edge]
+        a, b = size_a[edge], size_b[edge]
+        out: list = []
+        for i in range(len(texts)):
+            if kept[i] != kept[i + 1]:
+                out.append(None)
+                continue
+            of_a, of_b = slice(a[i], a[i + 1]), slice(b[i], b[i + 1])
+            out.append((flat_a[of_a], np.cumsum(bytes_a[of_a]), flat_b[of_b], np.cumsum(bytes_b[of_b])))
+        return out
 
     @staticmethod
-    def _text(units: list) -> tuple | None:
-        if None in units:
-            return None
-        flat = [[x for u in units for x in u[k]] for k in range(4)]
-        ids_a, sizes_a, ids_b, sizes_b = (np.array(f, np.int64) for f in flat)
-        return ids_a, np.cumsum(sizes_a), ids_b, np.cumsum(sizes_b)
+    def _kept(data: list[bytes], lists: list[list[int]], pieces: list[bytes]) -> np.ndarray:
+        """Whether the tokens of every unit give its bytes back, none empty."""
+        ids = [i for one in lists for i in one]
+        if b"".join([pieces[i] for i in ids]) == b"".join(data):
+            # All bytes in a row are the same; so are those of every unit if the
+            # ends of units agree and no token is empty.
+            sizes = np.concatenate(([0], np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))[ids])))
+            ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+            if (np.diff(sizes) > 0).all() and (sizes[ends] == np.cumsum(list(map(len, data)))).all():
+                return np.ones(len(data), bool)
+        same = (b"".join([pieces[i] for i in ids]) == d and all([pieces[i] for i in ids]) for d, ids in zip(data, lists))
+        return np.fromiter(same, bool, len(data))
+
+    @staticmethod
+    def _laid_out(lists: list[list[int]], codes: np.ndarray, bytes_of: np.ndarray):
+        """(ids, ids up to every unit, bytes of each id) of all texts in a row."""
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter((i for one in lists for i in one), np.int64, int(sizes.sum()))
+        flat = ids[ranges((np.cumsum(sizes) - sizes)[codes], sizes[codes])]
+        return flat, np.concatenate(([0], np.cumsum(sizes[codes]))), bytes_of[flat]
 
 
-def groups_text(aligned: Alignment, ids_a: np.ndarray, ids_b: np.ndarray) -> bytes:
+def groups_text(aligned: Alignment, ids_a: np.ndarray, ids_b: np.ndarray, written: list[str]) -> bytes:
     """`a1,a2|b1;a3|b2,b3`: the ids of every group."""
-    group = np.concatenate((aligned.group_of_a, aligned.group_of_b))
     side = np.repeat([0, 1], [len(ids_a), len(ids_b)])
-    order = np.argsort(group * 2 + side, kind="stable")
-    ids, group, side = np.concatenate((ids_a, ids_b))[order], group[order], side[order]
-    last = np.append((group[1:] != group[:-1]) | (side[1:] != side[:-1]), True)
-    signs = [",", "|", ";"]
-    mark = np.where(last, side + 1, 0).tolist()
-    return "".join([f"{i}{signs[m]}" for i, m in zip(ids.tolist(), mark)])[:-1].encode()
+    group = np.concatenate((aligned.group_of_a, aligned.group_of_b)) * 2 + side
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    last = np.append(group[1:] != group[:-1], True)
+    signs = np.where(last, side[order] + 1, 0)
+    texts = (np.concatenate((ids_a, ids_b))[order] * 3 + signs).tolist()
+    return "".join([written[i] for i in texts])[:-1].encode()
 
 
 NOTHING = (0, 0, 0, 0, "", [], [])
@@ -209,18 +232,18 @@ def alignments(spark: SparkSession, text: Column, byte_path: str, piece_path: st
             # A frame per pass, so that the links of no whole batch are held.
             for run in batches(rows, RUN_CHARS):
                 found = sides.tokens(rows[run])
-                out = [_row(t) if text and t else NOTHING for text, t in zip(rows[run], found)]
+                out = [_row(t, sides.written) if text and t else NOTHING for text, t in zip(rows[run], found)]
                 yield pd.DataFrame(out, columns=[c.split()[0] for c in ALIGNED.split(", ")])
 
     return of(text)
 
 
-def _row(tokens: tuple) -> tuple:
+def _row(tokens: tuple, written: list[str]) -> tuple:
     ids_a, ends_a, ids_b, ends_b = tokens
     aligned = align(ends_a, ends_b)
     at_a, at_b = aligned.links()
     pairs, times = np.unique(pair_of(ids_a[at_a], ids_b[at_b]), return_counts=True)
-    digest = sha256(groups_text(aligned, ids_a, ids_b)).hexdigest()
+    digest = sha256(groups_text(aligned, ids_a, ids_b, written)).hexdigest()
     return len(ids_a), len(ids_b), aligned.n_groups, len(at_a), digest, pairs, times
 
 
