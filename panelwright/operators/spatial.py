@@ -134,6 +134,92 @@ def spatial_lag(
     return spatial_sum(df, panel, pairs, {col: out})
 
 
+def _box_sums(points: DataFrame, time: str, cols: Sequence[str], radii: Sequence[int]) -> DataFrame:
+    """(time, _row, _col, {col}_{radius}): sums over the square of each radius
+    around every place of the grid, by running sums over the columns of a row and
+    then over the rows of a column. The difference of two running sums is the sum
+    between them, so a square costs four look-ups whatever its radius."""
+    low_r, high_r, low_c, high_c = points.agg(F.min("_row"), F.max("_row"), F.min("_col"), F.max("_col")).first()
+    if low_r is None:
+        low_r, high_r, low_c, high_c = 0, 0, 0, 0
+    # Every place of the grid, so that rows of a window are steps on the grid.
+    grid = (
+        points.select(time)
+        .distinct()
+        .select(time, F.explode(F.sequence(F.lit(low_r), F.lit(high_r))).alias("_row"))
+        .select(time, "_row", F.explode(F.sequence(F.lit(low_c), F.lit(high_c))).alias("_col"))
+    )
+    # Laid out by line, for the sums per place and the first window alike.
+    placed = (
+        points.select(time, "_row", "_col", *cols)
+        .unionByName(grid, allowMissingColumns=True)
+        .repartition(time, "_row")
+        .groupBy(time, "_row", "_col")
+        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols])
+    )
+    lines = Window.partitionBy(time, "_row").orderBy("_col")
+    across = _sliding(placed, lines, {f"{c}_{r}": (c, r) for c in cols for r in radii}, [time, "_row", "_col"])
+    columns = Window.partitionBy(time, "_col").orderBy("_row")
+    return _sliding(across, columns, {f"{c}_{r}": (f"{c}_{r}", r) for c in cols for r in radii}, [time, "_row", "_col"])
+
+
+def _sliding(df: DataFrame, line: Window, sums: Mapping[str, tuple[str, int]], keys: Sequence[str]) -> DataFrame:
+    """The keys, and for each name the sum of a column from `radius` rows before
+    to `radius` rows behind on the line."""
+    upto = {c: F.sum(c).over(line.rowsBetween(Window.unboundedPreceding, 0)) for c, _ in sums.values()}
+    whole = {c: F.sum(c).over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) for c in upto}
+    run = df.select(*keys, *[v.alias(f"_upto_{c}") for c, v in upto.items()], *[v.alias(f"_all_{c}") for c, v in whole.items()])
+
+    def between(c: str, radius: int) -> Column:
+        end = F.coalesce(F.lead(f"_upto_{c}", radius).over(line), F.col(f"_all_{c}"))
+        return end - F.coalesce(F.lag(f"_upto_{c}", radius + 1).over(line), F.lit(0))
+
+    return run.select(*keys, *[between(c, r).alias(name) for name, (c, r) in sums.items()])
+
+
+def grid_spatial_sum(
+    df: DataFrame, panel: Panel, cells: DataFrame, cols: Mapping[str, str], first: int = 1, last: int = 1,
+    row: str = "row", col: str = "col",
+) -> DataFrame:
+    """`spatial_sum` over the rings `first` to `last` of a regular grid.
+
+    `cells` has (group, row, col), one row per cell. A ring is the square of
+    radius `last` without that of radius `first` - 1, taken from summed-area
+    tables, so what is shuffled does not depend on the order. A ring cell without
+    a row or value at that time makes the sum missing, which a second table of
+    counts tells; a cell without ring cells, or not on the grid, gets 0. On a
+    grid with holes a ring goes by distance, where `neighbours_of_order` goes by
+    steps. The grid is laid out whole for every time, holes too; fractions are
+    differences of running sums, right to some 1e-12 of their size.
+    """
+    if not 1 <= first <= last:
+        raise ValueError("orders run from 1 and must not decrease")
+    g, t = panel.group, panel.time
+    places = cells.select(F.col(g), F.col(row).cast("long").alias("_row"), F.col(col).cast("long").alias("_col"))
+    radii = (first - 1, last)
+    ring = lambda c: F.col(f"{c}_{last}") - F.col(f"{c}_{first - 1}")
+    near = _box_sums(places.withColumns({"_once": F.lit(0), "_cell": F.lit(1)}), "_once", ["_cell"], radii)
+    places = places.join(near.select("_row", "_col", ring("_cell").alias("_degree")), ["_row", "_col"])
+    names = {c: (f"_sum{i}", f"_seen{i}") for i, c in enumerate(cols)}
+    points = df.join(places, g).select(
+        F.col(t),
+        "_row",
+        "_col",
+        *[F.col(c).alias(total) for c, (total, _) in names.items()],
+        *[F.col(c).isNotNull().cast("long").alias(seen) for c, (_, seen) in names.items()],
+    )
+    summed = _box_sums(points, t, [n for pair in names.values() for n in pair], radii)
+    summed = summed.select(t, "_row", "_col", *[ring(n).alias(n) for pair in names.values() for n in pair])
+    joined = df.join(places, g, "left").join(summed, [t, "_row", "_col"], "left")
+
+    def result(c: str) -> Column:
+        total, seen = names[c]
+        none = F.coalesce("_degree", F.lit(0)) == 0
+        return F.when(none, F.lit(0)).when(F.col(seen) == F.col("_degree"), F.col(total))
+
+    return joined.select(*df.columns, *[result(c).alias(out) for c, out in cols.items()])
+
+
 # --- grids -----------------------------------------------------------------
 
 

@@ -9,12 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from panelwright.lineage import stored
 from panelwright.operators.reshape import tidy_name
-from panelwright.panel import drop_nan
+from panelwright.panel import Panel, drop_nan
 
 BATCH_ROWS = 10_000
+# Files of a time bucket at most.
+FILES_PER_BUCKET = 16
 
 
 def save_table(
@@ -157,3 +161,58 @@ def write_split(
     """Write a wide frame to several tables, for databases with a column limit."""
     for fqtable, part in zip(fqtables, split_columns(df, keys, len(fqtables))):
         write_table(part, url, fqtable, properties)
+
+
+# --- panels stored by time bucket ---------------------------------------------
+
+BUCKET = "_bucket"
+
+
+def _bucketed(df: DataFrame, panel: Panel, span: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.floor(F.col(panel.time) / span).cast("long"))
+
+
+def save_by_time(df: DataFrame, path: str, panel: Panel, span: int = 12) -> None:
+    """Write a panel to a folder per `span` times, to be updated bucket by bucket.
+
+    Rows of a bucket are spread by group, so that no bucket is one task."""
+    rows = _bucketed(df, panel, span)
+    rows = rows.repartition(BUCKET, F.pmod(F.xxhash64(panel.group), F.lit(FILES_PER_BUCKET)))
+    rows.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+
+def load_by_time(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(BUCKET)
+
+
+def upsert_by_time(source: DataFrame, path: str, panel: Panel, span: int = 12) -> list[int]:
+    """Upsert by panel key into a panel of `save_by_time`; gives the buckets.
+
+    A value of the source overwrites, a missing one does not; keys and columns
+    that the stored panel lacks are added. Only the folders of times that the
+    source has are read and written again, all others keep their files: columns
+    new to the panel are then missing there. Buckets are few, one per `span`
+    times of the source. The new rows are written aside first, so that a run that
+    fails before the last write leaves the panel as it was. Repeated keys in the
+    source are an error.
+    """
+    spark = source.sparkSession
+    keys = list(panel.keys)
+    if not source.groupBy(*keys).count().where("count > 1").isEmpty():
+        raise ValueError("the source has a key twice")
+    touched = sorted(r[0] for r in _bucketed(source, panel, span).select(BUCKET).distinct().collect())
+    stored_rows = spark.read.option("mergeSchema", True).parquet(path)
+    old = stored_rows.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    new = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in source.columns if c not in keys])
+    joined = old.join(new, keys, "full")
+    values = [c for c in [*old.columns, *source.columns] if c not in keys]
+
+    def value(c: str) -> Column:
+        found = [F.col(n) for n in (f"_new_{c}", c) if n in joined.columns]
+        return F.coalesce(*found).alias(c)
+
+    merged = joined.select(*keys, *[value(c) for c in dict.fromkeys(values)])
+    rows = stored(_bucketed(merged, panel, span), "upsert")
+    rows = rows.repartition(BUCKET, F.pmod(F.xxhash64(panel.group), F.lit(FILES_PER_BUCKET)))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+    return touched

@@ -77,6 +77,32 @@ def _(t):
     return SP.spatial_lag(full_panel(t), PANEL, user_adjacency(t), "n_events", 1, 2)
 
 
+def _ring_sql(first: int, last: int) -> str:
+    return f"""SELECT f.t, f.g, coalesce(sum(b.n_events), 0) AS near_events,
+        CASE WHEN count(a.n) = count(b.value_sum) THEN coalesce(sum(b.value_sum), 0) END AS near_value
+       FROM full_panel f
+       LEFT JOIN (SELECT a.g, b.g AS n FROM user_cells a JOIN user_cells b
+         ON greatest(abs(a.gcol - b.gcol), abs(a.grow - b.grow)) BETWEEN {first} AND {last}) a ON a.g = f.g
+       LEFT JOIN full_panel b ON b.g = a.n AND b.t = f.t GROUP BY 1, 2"""
+
+
+def _rings_on_grid(first: int, last: int):
+    @query(
+        f"spatial_lag_on_grid_{first}_{last}",
+        ("SP3", "SP5"),
+        "t:l g:l near_events:l near_value:d",
+        _ring_sql(first, last),
+        ["full_panel", "user_cells"],
+    )
+    def _(t):
+        wanted = {"n_events": "near_events", "value_sum": "near_value"}
+        return SP.grid_spatial_sum(full_panel(t), PANEL, user_cells(t), wanted, first, last, "grow", "gcol")
+
+
+for _first, _last in ((1, 1), (1, 2), (3, 5)):
+    _rings_on_grid(_first, _last)
+
+
 def _cells_with_flag(t):
     """The panel with centroids, of which some cells have none, and a 0/1 flag
     that is 1 in a few cells a day."""

@@ -72,6 +72,28 @@ def _(t):
     return rows.withColumn("before", tlag("n_orders", PANEL))
 
 
+@query(
+    "saved_panel_upserted",
+    ("J12", "IO3", "IO4"),
+    "t:l g:l n_orders:l total:d2 urgent:l",
+    """WITH last AS (SELECT max(t) AS t FROM nation_month)
+       SELECT n.t, n.g, CASE WHEN n.t > last.t - 2 AND n.g % 3 <> 0 THEN n_orders + 1000 ELSE n_orders END AS n_orders,
+         total, CASE WHEN n.t > last.t - 2 THEN n_urgent END AS urgent
+       FROM nation_month n, last""",
+    ["nation_month"],
+)
+def _(t):
+    folder = scratch_folder(t.spark, "panel-by-time")
+    panel = nation_month(t)
+    last = panel.agg(F.max("t")).first()[0]
+    new = panel.where(F.col("t") > last - 2)
+    DB.save_by_time(panel.where(~((F.col("t") == last) & (F.col("g") == 1))).select("t", "g", "n_orders", "total"), folder, PANEL, span=1)
+    changed = F.when(F.col("g") % 3 != 0, F.col("n_orders") + 1000)
+    again = new.select("t", "g", changed.alias("n_orders"), "total", F.col("n_urgent").alias("urgent"))
+    DB.upsert_by_time(again, folder, PANEL, span=1)
+    return t.spark.read.option("mergeSchema", True).parquet(folder)
+
+
 @query(
     "sql_over_frames",
     "IO7",
