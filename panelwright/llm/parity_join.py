@@ -20,8 +20,8 @@ by fine sketches of the sets that have met another one:
    that passages which very many sets share are not joined on.
 3. Sets that meet are compared as stars, never as all pairs: of each key some
    sets are hubs, members of other classes are compared with them by their exact
-   sets, links are contracted to classes, and the hubs leave the key. Rounds end
-   when all keys hold one class each. Links left out lie within a class.
+   sets, the first links are contracted to classes, and the hubs leave the key;
+   rounds take more hubs each and end when all keys hold one class each. Links left out lie within a class.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ GROWTH = 1.6
 # few more, so that small sets have words to spare.
 WORDS_PER_MEMBER, SPARE_WORDS = 0.4, 6
 # Hubs of a key grow by this factor from round to round, up to the bound.
-MORE_HUBS, MOST_HUBS = 4, 1024
+MORE_HUBS, MOST_HUBS = 16, 4096
 # Rows that are broadcast at most (some 16 bytes each); characters of texts, and
 # members of sets, whose keys are handed on at a time.
 BROADCAST_ROWS, RUN_CHARS, RUN_MEMBERS = 1 << 20, 4 << 20, 1 << 20
@@ -275,7 +275,7 @@ def _classes(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) for the sets that have links to other sets."""
     spark = met.sparkSession
     live_rounds, link_rounds = Rounds(spark, "meeting"), Rounds(spark, "links")
-    links, roots, hubs_of_key, round_ = None, None, 1, 0
+    links, roots, fresh, hubs_of_key, round_ = None, None, False, 1, 0
     live = met.withColumn("root", F.col("node"))
     while True:
         # Keys of one class are done, and a set that is not `small` has only
@@ -291,7 +291,8 @@ def _classes(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .drop("least")
         )
         if live.isEmpty():
-            return roots
+            # Links found since the last contraction join classes as well.
+            return stored(connected_components(links), "roots") if fresh else roots
         # Hubs: the set with the fewest lone bits in each of a few parts of a key.
         part = F.pmod(F.xxhash64("node", F.lit(round_)), F.lit(hubs_of_key))
         about = ("lone", "node", "root", "n", "small")
@@ -315,11 +316,14 @@ def _classes(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         links = link_rounds.put(found)
         gone = hubs.select("key", F.col("hub_node").alias("node"))
         live = live.join(gone, ["key", "node"], "left_anti").drop("root")
-        if not links.isEmpty():
-            roots = stored(connected_components(links), "roots")
-            live = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        else:
+        fresh = not links.isEmpty()
+        if fresh and round_ == 0:
+            # One class for dense groups; later links are few.
+            roots, fresh = stored(connected_components(links), "roots"), False
+        if roots is None:
             live = live.withColumn("root", F.col("node"))
+        else:
+            live = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         hubs_of_key, round_ = min(MOST_HUBS, hubs_of_key * MORE_HUBS), round_ + 1
 
 
