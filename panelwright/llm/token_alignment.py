@@ -35,7 +35,7 @@ SPACE = "▁"
 UNIT = re.compile(r"(?<=\S)(?= )")
 # Characters of texts per pass, units that are encoded at a time, and rows of
 # counts that are broadcast at most (some 40 bytes each).
-RUN_CHARS, PART, BROADCAST_ROWS = 2 << 20, 4096, 1 << 20
+RUN_CHARS, PART, BROADCAST_ROWS = 6 << 20, 4096, 1 << 20
 
 
 def gallop(longer: np.ndarray, shorter: np.ndarray, block: int = 32) -> np.ndarray:
