@@ -6,12 +6,14 @@ fingerprint, so the 64 bits are first cut into three blocks and one block is
 masked: over the masks, some mask leaves a difference of at most two bits and
 hides at most one (or hides all three, see `_links`). Half of two is one: each
 fingerprint emits 44 words a mask, 132 in all. Words that meet are grouped by
-the masked block in the same way, and linked as stars, never as all pairs.
+the masked block in the same way, where the parity of the block tells which of
+two sides flips, and linked as stars, never as all pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -68,12 +70,9 @@ def _signed(word: int) -> int:
     return word - (1 << 64) if word >> 63 else word
 
 
-def _flips(bits: range | list[int], radius: int = 1) -> Column:
-    """Literal array of all patterns of at most `radius` of the bits."""
-    bits = list(bits)
-    patterns = [0] + [1 << i for i in bits]
-    if radius == 2:
-        patterns += [1 << i | 1 << j for i in bits for j in bits if i < j]
+def _flips(bits: Iterable[int], sizes: tuple[int, ...]) -> Column:
+    """Literal array of all patterns of as many of the bits as `sizes` says."""
+    patterns = [sum(1 << i for i in some) for n in sizes for some in combinations(bits, n)]
     return F.array(*[F.lit(_signed(p)).cast("long") for p in patterns])
 
 
@@ -82,11 +81,14 @@ def _links(prints: DataFrame) -> DataFrame:
     three bits, directly or over other fingerprints within three bits.
 
     Per mask, fingerprints meet on (word, block): `word` is the open part with
-    at most one bit flipped, `block` the masked part likewise. Members whose
-    own block is the group's (centres) are within 2 + 0 bits of each other and
-    2 + 1 of the rest, so all link to the smallest centre. Three differing
-    bits inside one block meet on the unflipped open part, with at most one
-    flip on one side and two on the other.
+    at most one bit flipped, `block` the masked part. At most two differing bits
+    leave some mask that hides none of them, so their own blocks meet. Of three,
+    some mask hides one: the two blocks differ in parity, so it is enough that
+    the even one is flipped, a bit at a time. Or a mask hides all three: then
+    the open parts are equal, the even block flips two bits and the odd one one.
+
+    In a group the members that flip fewer bits (centres) are within two bits
+    of each other and within three of the rest, so all link to the smallest.
     """
     edges = []
     for low, high in BLOCKS:
@@ -95,11 +97,11 @@ def _links(prints: DataFrame) -> DataFrame:
         open_bits = [i for i in range(64) if not low <= i < high]
         words = prints.select(
             "fp",
-            F.explode(_flips(open_bits)).alias("flip"),
+            F.explode(_flips(open_bits, (0, 1))).alias("flip"),
         ).select("fp", F.col("fp").bitwiseAND(shown).bitwiseXOR(F.col("flip")).alias("word"))
-        edges.append(_star(_met(words, "word"), hidden, _flips(range(low, high)), 0))
+        edges.append(_star(_met(words, "word"), hidden, range(low, high), even=(0, 1), odd=(0,)))
         same = prints.select("fp", F.col("fp").bitwiseAND(shown).alias("word"))
-        edges.append(_star(_met(same, "word"), hidden, _flips(range(low, high), 2), 1))
+        edges.append(_star(_met(same, "word"), hidden, range(low, high), even=(2,), odd=(1,)))
     links = edges[0]
     for more in edges[1:]:
         links = links.unionByName(more)
@@ -117,12 +119,15 @@ def _met(rows: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _star(met: DataFrame, hidden: Column, flips: Column, centre: int) -> DataFrame:
-    """Link members that share (word, block) to the smallest centre: a member
-    whose own block differs in at most `centre` bits from the group's."""
-    near = F.bit_count("flip") <= centre
+def _star(met: DataFrame, hidden: Column, bits: range, even: tuple[int, ...], odd: tuple[int, ...]) -> DataFrame:
+    """Link members that share (word, block) to the smallest centre. A member
+    emits its own block with as many bits flipped as the block's parity allows;
+    centres are those that flip no more than an odd block does."""
+    own = F.col("fp").bitwiseAND(hidden)
+    flips = F.when(F.bit_count(own) % 2 == 0, _flips(bits, even)).otherwise(_flips(bits, odd))
+    near = F.bit_count("flip") <= max(odd)
     rows = met.select("word", "fp", F.explode(flips).alias("flip")).select(
-        "word", "fp", F.col("fp").bitwiseAND(hidden).bitwiseXOR(F.col("flip")).alias("block"), near.alias("near")
+        "word", "fp", own.bitwiseXOR(F.col("flip")).alias("block"), near.alias("near")
     )
     hub = F.min(F.when(F.col("near"), F.col("fp"))).over(Window.partitionBy("word", "block"))
     return (

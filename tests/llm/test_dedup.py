@@ -133,6 +133,28 @@ def test_links_of_fingerprints_by_brute_force(spark):
         assert {got.get(p, p) for p in members} == {min(members)}
 
 
+def test_links_of_a_dense_ball_and_of_three_bits_in_a_block(spark):
+    from panelwright.llm.simhash import BLOCKS, _links, _signed
+
+    rng = random.Random(4)
+    centre = rng.getrandbits(64)
+    # Odd and even distances, from the centre and from each other.
+    ball = {centre ^ sum(1 << b for b in rng.sample(range(64), rng.choice([1, 2, 2, 3, 4, 5]))) for _ in range(500)}
+    apart = []
+    for low, high in BLOCKS:
+        for _ in range(15):
+            p = rng.getrandbits(64)
+            apart += [p, p ^ sum(1 << b for b in rng.sample(range(low, high), 3))]
+    prints = [*ball, *apart]
+    edges = _links(spark.createDataFrame([(_signed(p),) for p in prints], "fp long"))
+    got = {r["node"]: r["root"] for r in connected_components(edges).collect()}
+    groups = {}
+    for p, root in components(prints).items():
+        groups.setdefault(root, set()).add(_signed(p))
+    for members in groups.values():
+        assert {got.get(p, p) for p in members} == {min(members)}
+
+
 def test_near_duplicates(documents):
     base = " ".join(f"word{i}" for i in range(400))
     near = base.replace("word200", "other")
