@@ -8,12 +8,12 @@ see `nearest_distance`.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.lineage import cut, stored
+from panelwright.lineage import cut, scratch_folder, stored
 from panelwright.panel import Panel
 
 INFINITY = float("inf")
@@ -239,43 +239,139 @@ def coarse_grid(spark, rows: int = 180, cols: int = 360, size: float = 1.0) -> D
 
 # --- nearest events --------------------------------------------------------
 
+# Buckets that every query looks at first, and places that a bucket may hold
+# before it is split further.
+FIRST_BUCKETS, LAST_PLACES = 32, 8
+
 
 def _tree(points: DataFrame, slices: Sequence[str], dims: Sequence[str], side: float, levels: int, fan: int, origin: Sequence[float]) -> list[DataFrame]:
     """Bucket tables from the root down; the last one holds single points.
 
     `points` has one row per place with its number `_n`. Every table has the
     bucket number of the level above in `_up_<dim>`, its own in `_at_<dim>`,
-    the bounds of its points and their number.
+    the bounds of its points, their number, and the coordinates of two of them:
+    `_early` and `_late`, the least and the largest by the last axis. A point
+    counts in a bucket of each level, so all levels come from one aggregate and
+    are written together, a folder per level. Of these the walk uses what the
+    points call for: it begins with the finest level of at most `FIRST_BUCKETS`
+    buckets in any slice, and the points follow on the first level whose buckets
+    hold at most `LAST_PLACES` places. Crowded spots keep the finer levels.
     """
     leaf_side = side / fan**levels
-    # A point is its own bucket on the last level, told apart by coordinates.
-    at = [
-        F.floor((F.col(d) - F.lit(o)) / leaf_side).cast("long").alias(f"_at_{d}")
-        for d, o in zip(dims, origin)
-    ]
+    place = F.struct(*[F.col(d).cast("double").alias(d) for d in reversed(dims)])
+    leaf = [F.floor((F.col(d) - F.lit(o)) / leaf_side).cast("long") for d, o in zip(dims, origin)]
     bounds = [F.col(d).alias(f"_{e}_{d}") for d in dims for e in ("lo", "hi")]
-    points_level = points.select(*slices, "_n", *at, *bounds)
-    tables = [points_level.select(
-        *slices, "_n", *[F.col(f"_at_{d}").alias(f"_up_{d}") for d in dims],
-        *[f"_{e}_{d}" for d in dims for e in ("lo", "hi")],
-    )]
-    current = points_level
-    for level in range(levels, -1, -1):
-        grouped = current.groupBy(*slices, *[f"_at_{d}" for d in dims]).agg(
+    shown = [place.alias("_early"), place.alias("_late")]
+    width = F.pow(F.lit(float(fan)), F.lit(levels) - F.col("_level"))
+    ancestors = points.select(
+        "*", *[at.alias(f"_leaf_{d}") for d, at in zip(dims, leaf)],
+        F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("_level"),
+    )
+    buckets = (
+        ancestors.select(
+            "_level", *slices, "_n", *shown, *bounds,
+            *[F.floor(F.col(f"_leaf_{d}") / width).cast("long").alias(f"_at_{d}") for d in dims],
+        )
+        .groupBy("_level", *slices, *[f"_at_{d}" for d in dims])
+        .agg(
             F.sum("_n").alias("_n"),
+            F.count(F.lit(1)).alias("_places"),
+            F.min("_early").alias("_early"),
+            F.max("_late").alias("_late"),
             *[F.min(f"_lo_{d}").alias(f"_lo_{d}") for d in dims],
             *[F.max(f"_hi_{d}").alias(f"_hi_{d}") for d in dims],
         )
-        up = [
-            F.floor(F.col(f"_at_{d}") / fan).cast("long").alias(f"_up_{d}") for d in dims
-        ]
-        tables.append(grouped.select("*", *up))
-        current = grouped.select(
-            *slices, "_n",
-            *[F.floor(F.col(f"_at_{d}") / fan).cast("long").alias(f"_at_{d}") for d in dims],
-            *[f"_{e}_{d}" for d in dims for e in ("lo", "hi")],
+    )
+    folder = scratch_folder(points.sparkSession, "buckets")
+    buckets.write.partitionBy("_level").parquet(folder)
+    read = points.sparkSession.read.schema(buckets.schema).parquet(folder)
+    sizes = (
+        read.groupBy("_level", *slices)
+        .agg(F.count(F.lit(1)).alias("buckets"), F.max("_places").alias("places"))
+        .groupBy("_level")
+        .agg(F.max("buckets"), F.max("places"))
+        .sort("_level")
+        .collect()
+    )
+    first = max([level for level, number, _ in sizes if number <= FIRST_BUCKETS], default=0)
+    last = min([level for level, _, places in sizes if places <= LAST_PLACES], default=levels)
+
+    def table(level: int) -> DataFrame:
+        up = [F.floor(F.col(f"_at_{d}") / fan) if level > first else F.lit(0) for d in dims]
+        rows = read.where(F.col("_level") == level).drop("_level", "_places")
+        return rows.select("*", *[u.cast("long").alias(f"_up_{d}") for d, u in zip(dims, up)])
+
+    # A point is its own bucket on the last level, told apart by coordinates.
+    above = fan ** (levels - max(first, last))
+    up = [F.floor(at / above).cast("long").alias(f"_up_{d}") for d, at in zip(dims, leaf)]
+    single = points.select(*slices, "_n", *shown, *up, *bounds)
+    return [table(level) for level in range(first, max(first, last) + 1)] + [single]
+
+
+def _squared(gaps: Iterable[Column]) -> Column:
+    return sum((g * g for g in gaps), F.lit(0.0))
+
+
+def _walk(
+    found: DataFrame, tables: Sequence[DataFrame], keys: Sequence[str], dims: Sequence[str],
+    slices: Sequence[str], k: int, causal: str | None,
+) -> Iterator[DataFrame]:
+    """The buckets that each query keeps, level by level; the last frame has the
+    places themselves, with `_near`, their squared distance, and `_n`.
+
+    A query's `_limit` is a squared distance within which k points are certain:
+    of a bucket, all its points are within the far corner of its bounds, and the
+    two that it shows are where they are. The latter is what keeps the limit
+    tight while buckets are still wide.
+    """
+    ups = [f"_up_{d}" for d in dims]
+    per_query = Window.partitionBy(*keys)
+    query = {d: F.col(f"_q_{d}") for d in dims}
+
+    for depth, table in enumerate(tables):
+        joined = found.join(table, [*slices, *ups])
+        gaps, spans = [], []
+        for d, q in query.items():
+            lo, hi = F.col(f"_lo_{d}"), F.col(f"_hi_{d}")
+            if d == causal:
+                gaps.append(F.greatest(q - hi, F.lit(0.0)))
+                spans.append(q - lo)
+            else:
+                gaps.append(F.greatest(lo - q, q - hi, F.lit(0.0)))
+                spans.append(F.greatest(F.abs(q - lo), F.abs(q - hi)))
+        early, late = (
+            _squared(q - F.col(f"{shown}.{d}") for d, q in query.items()) for shown in ("_early", "_late")
         )
-    return tables[::-1]
+        sure = F.col("_n")
+        if causal is not None:
+            q = query[causal]
+            joined = joined.filter(F.col(f"_lo_{causal}") <= q)
+            # Of a bucket that reaches past the query only the earliest point
+            # is sure to count, and it is `q - lo` away on this axis.
+            past = F.col(f"_hi_{causal}") <= q
+            sure, late = F.when(past, sure).otherwise(F.lit(1)), F.when(past, late)
+        joined = joined.withColumns(
+            {"_near": _squared(gaps), "_far": _squared(spans), "_seen": F.least(early, late), "_sure": sure}
+        ).filter(F.col("_near") <= F.col("_limit"))
+        if depth == len(tables) - 1:
+            yield joined.select(*keys, "_near", "_n")
+            return
+        carried = [c for c in found.columns if c not in (*ups, "_limit")]
+        downs = [F.col(f"_at_{d}").alias(f"_up_{d}") for d in dims]
+        # k points are certain within the far corner of a bucket that has as many,
+        # within the farthest corner of all, and among the k nearest shown.
+        over = lambda value: F.coalesce(value.over(per_query), F.lit(INFINITY))
+        limits = [over(F.min(F.when(F.col("_sure") >= k, F.least("_far", "_seen") if k == 1 else F.col("_far"))))]
+        if k > 1:
+            joined = joined.withColumn("_place", F.row_number().over(per_query.orderBy("_seen")))
+            limits.append(over(F.min(F.when(F.col("_place") >= k, F.col("_seen")))))
+            limits.append(F.when(F.sum("_sure").over(per_query) >= k, F.max("_far").over(per_query)))
+        bounded = joined.withColumn("_limit", F.least(*limits, "_limit"))
+        # Bounds are sums of squares in different order than the distances
+        # below them; a hair of slack keeps rounding from dropping a point.
+        bounded = bounded.withColumn("_limit", F.col("_limit") * (1 + 1e-12))
+        found = bounded.filter(F.col("_near") <= F.col("_limit")).select(*carried, *downs, "_limit")
+        yield found
 
 
 def nearest_distance(
@@ -327,70 +423,17 @@ def nearest_distance(
         levels, side = levels + 1, side * fan
     tables = _tree(points, slices, dims, side, levels, fan, origin)
 
-    def root_square(q: Column, start: float) -> Column:
-        """The query's square on the root level, moved into the only one."""
-        square = F.floor((q - F.lit(start)) / side).cast("long")
-        return F.greatest(F.least(square, F.lit(0)), F.lit(0))
-
-    ups = [f"_up_{d}" for d in dims]
     query_cols = [*keys, *[c for c in [*slices, *dims] if c not in keys]]
     found = queries.select(*query_cols, *[F.col(d).alias(f"_q_{d}") for d in dims])
     found = found.drop(*[d for d in dims if d not in keys])
     found = found.select(
         "*",
-        *[root_square(F.col(f"_q_{d}"), o).alias(f"_up_{d}") for d, o in zip(dims, origin)],
+        *[F.lit(0).cast("long").alias(f"_up_{d}") for d in dims],
         F.lit(INFINITY).alias("_limit"),
     )
+    for found in _walk(found, tables, keys, dims, slices, k, causal):
+        pass
     per_query = Window.partitionBy(*keys)
-
-    for depth, table in enumerate(tables):
-        joined = found.join(table, [*slices, *ups])
-        nearest, farthest = F.lit(0.0), F.lit(0.0)
-        for d in dims:
-            q, lo, hi = F.col(f"_q_{d}"), F.col(f"_lo_{d}"), F.col(f"_hi_{d}")
-            gap = F.greatest(lo - q, q - hi, F.lit(0.0))
-            span = F.greatest(F.abs(q - lo), F.abs(q - hi))
-            if d == causal:
-                gap, span = F.greatest(q - hi, F.lit(0.0)), q - lo
-            nearest, farthest = nearest + gap * gap, farthest + span * span
-        sure = F.col("_n")
-        if causal is not None:
-            q = F.col(f"_q_{causal}")
-            joined = joined.filter(F.col(f"_lo_{causal}") <= q)
-            # Of a bucket that reaches past the query only the earliest point
-            # is sure to count, and it is `q - lo` away on this axis.
-            sure = F.when(F.col(f"_hi_{causal}") <= q, sure).otherwise(F.lit(1))
-        joined = joined.withColumns(
-            {"_near": nearest, "_far": farthest, "_sure": sure}
-        ).filter(F.col("_near") <= F.col("_limit"))
-        carried = [c for c in found.columns if c not in (*ups, "_limit")]
-        downs = [F.col(f"_at_{d}").alias(f"_up_{d}") for d in dims]
-        if depth == 0:
-            # One bucket per query: nothing to leave out yet.
-            found = joined.select(*carried, *downs, "_limit")
-            continue
-        if depth == len(tables) - 1:
-            found = joined.select(*keys, "_near", "_n")
-            break
-        if k == 1:
-            limit = F.min("_far").over(per_query)
-            bounded = joined.withColumn("_limit", limit)
-        else:
-            ordered = per_query.orderBy("_far").rowsBetween(Window.unboundedPreceding, 0)
-            bounded = joined.withColumn("_cum", F.sum("_sure").over(ordered)).withColumn(
-                "_limit",
-                F.coalesce(
-                    F.min(F.when(F.col("_cum") >= k, F.col("_far"))).over(per_query),
-                    F.lit(INFINITY),
-                ),
-            )
-        # Bounds are sums of squares in different order than the distances
-        # below them; a hair of slack keeps rounding from dropping a point.
-        bounded = bounded.withColumn("_limit", F.col("_limit") * (1 + 1e-12))
-        found = bounded.filter(F.col("_near") <= F.col("_limit")).select(
-            *carried, *downs, "_limit"
-        )
-
     if k == 1:
         return found.groupBy(*keys).agg(F.sqrt(F.min("_near")).alias(out))
     ordered = per_query.orderBy("_near").rowsBetween(Window.unboundedPreceding, 0)

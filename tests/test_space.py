@@ -128,3 +128,30 @@ def test_draws_without_any_located_event(spark):
     drawn = D.draw_cells(vague, exact, cells, draws=40)
     assert drawn.count() == 40
     assert {r.cell for r in drawn.select("cell").distinct().collect()} == {7, 8}
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_few_events_in_a_long_time_keep_few_buckets(spark, monkeypatch, k):
+    rng = random.Random(k)
+    points = [(rng.randrange(15) + 0.5, rng.randrange(15) + 0.5, float(rng.randrange(400))) for _ in range(70)]
+    points += [(3.5, 3.5, float(z)) for z in range(0, 400, 9)] + [(9.0 + i / 100, 9.0, 350.0) for i in range(60)]
+    queries = [(i, rng.randrange(15) * 1.0, rng.randrange(15) * 1.0, rng.randrange(20, 400) * 1.0) for i in range(400)]
+    kept, walk = [], SP._walk
+
+    def counting(*args):
+        for found in walk(*args):
+            per_query = found.groupBy("i").count().agg({"count": "avg"}).first()[0]
+            kept.append(per_query)
+            yield found
+
+    monkeypatch.setattr(SP, "_walk", counting)
+    q = spark.createDataFrame(queries, "i int, x double, y double, z double")
+    p = spark.createDataFrame(points, "x double, y double, z double")
+    got = {r.i: r.distance for r in SP.nearest_distance(q, p, ["i"], ["x", "y", "z"], k=k, causal="z").collect()}
+    for i, *at in queries:
+        near = sorted(math.dist(at, e) for e in points if e[2] <= at[2])
+        if len(near) < k:
+            assert i not in got
+        else:
+            assert got[i] == pytest.approx(sum(near[:k]) / k, abs=1e-9)
+    assert max(kept) < 10
