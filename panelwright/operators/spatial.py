@@ -297,7 +297,8 @@ def _tree(points: DataFrame, slices: Sequence[str], dims: Sequence[str], side: f
     last = min([level for level, _, places in sizes if places <= LAST_PLACES], default=levels)
 
     def table(level: int) -> DataFrame:
-        up = [F.floor(F.col(f"_at_{d}") / fan) if level > first else F.lit(0) for d in dims]
+        # All buckets of the first level lie in the root, whose number is 0.
+        up = [F.floor(F.col(f"_at_{d}") / (fan if level > first else fan ** max(first, 1))) for d in dims]
         rows = read.where(F.col("_level") == level).drop("_level", "_places")
         return rows.select("*", *[u.cast("long").alias(f"_up_{d}") for d, u in zip(dims, up)])
 
@@ -423,12 +424,17 @@ def nearest_distance(
         levels, side = levels + 1, side * fan
     tables = _tree(points, slices, dims, side, levels, fan, origin)
 
+    def root_square(q: Column, start: float) -> Column:
+        """The query's square on the root level, moved into the only one."""
+        square = F.floor((q - F.lit(start)) / side).cast("long")
+        return F.greatest(F.least(square, F.lit(0)), F.lit(0))
+
     query_cols = [*keys, *[c for c in [*slices, *dims] if c not in keys]]
     found = queries.select(*query_cols, *[F.col(d).alias(f"_q_{d}") for d in dims])
     found = found.drop(*[d for d in dims if d not in keys])
     found = found.select(
         "*",
-        *[F.lit(0).cast("long").alias(f"_up_{d}") for d in dims],
+        *[root_square(F.col(f"_q_{d}"), o).alias(f"_up_{d}") for d, o in zip(dims, origin)],
         F.lit(INFINITY).alias("_limit"),
     )
     for found in _walk(found, tables, keys, dims, slices, k, causal):
