@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import warnings
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
@@ -35,6 +34,7 @@ from panelwright.operators.forecast import (
 )
 from panelwright.operators.reshape import union_all
 from panelwright.panel import Panel, Period, predict_ranges_disjoint, require_columns
+from panelwright.sources.versions import new_version, read_manifest, seal, versions
 
 PERMUTATION_REPEATS = 10
 
@@ -346,19 +346,27 @@ class StepModel:
             "tags": self.tags,
         }
 
-    def save(self, spark: SparkSession, path: str) -> None:
-        """Write every fitted estimator and the description under a folder of
-        any file system that Spark can write."""
+    def save(self, spark: SparkSession, path: str) -> str:
+        """Write every fitted estimator and the description as a new version
+        under a folder of any file system that Spark can write, and return the
+        folder of that version. The manifest comes last, so a version that was
+        not written to its end is never loaded."""
+        version = new_version(spark, path)
         for (period, step), pipeline in self.fitted.items():
-            pipeline.write().overwrite().save(f"{path}/fitted/{period}/{step}")
-        meta = self.describe() | {"fitted": [[p, s] for p, s in self.fitted]}
-        spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode(
-            "overwrite"
-        ).text(f"{path}/model")
+            pipeline.write().save(f"{version}/fitted/{period}/{step}")
+        seal(spark, version, self.describe() | {"fitted": [[p, s] for p, s in self.fitted]})
+        return version
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> "StepModel":
-        meta = json.loads(spark.read.text(f"{path}/model").first()[0])
+    def load(spark: SparkSession, path: str, version: str | None = None) -> "StepModel":
+        """The latest finished version under `path`, or the one in the folder
+        `version`; raises FileNotFoundError where there is none."""
+        if version is None:
+            finished = versions(spark, path)
+            if not finished:
+                raise FileNotFoundError(f"no finished version of a model under {path}")
+            version = finished[-1]
+        meta = read_manifest(spark, version)
         fitted = meta.pop("fitted")
         meta["periods"] = [Period(**p) for p in meta["periods"]]
         meta["panel"] = Panel(**meta["panel"])
@@ -366,7 +374,7 @@ class StepModel:
             meta["downsampling"] = Downsampling(**meta["downsampling"])
         model = StepModel(**meta)
         for period, step in fitted:
-            model.fitted[period, step] = PipelineModel.load(f"{path}/fitted/{period}/{step}")
+            model.fitted[period, step] = PipelineModel.load(f"{version}/fitted/{period}/{step}")
         return model
 
 

@@ -1,6 +1,7 @@
 import math
 import random
 import warnings
+from pathlib import Path
 
 import pytest
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -14,6 +15,7 @@ from panelwright.operators.forecast import Downsampling, combine_steps, permuted
 from panelwright.operators.model import Ensemble, StepModel
 from panelwright.panel import Panel, Period, predict_ranges_disjoint
 from panelwright.plans.runs import period_pairs, predict_ensembles, predict_models
+from panelwright.sources.versions import versions
 
 A = Period("A", 1, 10, 11, 20)
 B = Period("B", 1, 20, 21, 30)
@@ -218,6 +220,42 @@ def test_probabilities_end_to_end(spark, data, tmp_path):
     assert len(importances) == 4 and all(r.s == pytest.approx(1.0) for r in importances)
 
 
+def same_rows(a, b):
+    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_saved_versions_of_a_forest_and_a_logistic_model(spark, data, tmp_path):
+    store = str(tmp_path / "store")
+    forest = make(estimator=RandomForestClassifier(numTrees=5, seed=2), steps=[1, 3], tags=["trees"]).fit(data)
+    logit = make(estimator=LogisticRegression(), steps=[1, 3]).fit(data)
+    with pytest.raises(FileNotFoundError):
+        StepModel.load(spark, store)
+    first, second = forest.save(spark, store), logit.save(spark, store)
+    for model, version in ((forest, first), (logit, second), (logit, None)):
+        again = StepModel.load(spark, store, version)
+        assert again.describe() == model.describe() and list(again.fitted) == list(model.fitted)
+        assert same_rows(again.predict(data), model.predict(data))
+        assert same_rows(again.predict_calibrated(data, A, B), model.predict_calibrated(data, A, B))
+        learned = "feature_importances" if model is forest else "coefficients"
+        assert same_rows(getattr(again, learned)(spark), getattr(model, learned)(spark))
+
+
+def test_a_version_that_was_not_finished_is_not_loaded(spark, data, tmp_path):
+    store = str(tmp_path / "store")
+    model = make(estimator=LinearRegression(), outcome="r_a", kind="real", steps=[1], periods=[A]).fit(data)
+    whole, half = model.save(spark, store), model.save(spark, store)
+    (Path(half) / "manifest" / "_SUCCESS").unlink()
+    assert StepModel.load(spark, store).fitted.keys() == model.fitted.keys()
+    with pytest.raises(FileNotFoundError, match="no finished version"):
+        StepModel.load(spark, store, half)
+    assert versions(spark, store) == [whole]
+    # The next one follows the half-written one too, and is the latest.
+    assert versions(spark, store) + [model.save(spark, store)] == versions(spark, store)
+    (Path(whole) / "fitted" / "A").rename(Path(whole) / "fitted" / "gone")
+    with pytest.raises(Exception):
+        StepModel.load(spark, store, whole)
+
+
 def test_onset_and_delta_models(data):
     onset = make(estimator=LogisticRegression(), onset_outcome=True, onset_window=2, steps=[1]).fit(data)
     rows = onset.training_frame(data, B, 1)
