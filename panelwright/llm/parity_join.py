@@ -110,25 +110,32 @@ def _node(hashes: np.ndarray) -> int:
     return name - (1 << 64) if name >> 63 else name
 
 
-def _needs(hashes: np.ndarray, bands: Bands) -> list[int | None]:
-    """Words that partners share at least, in the set's own band and the one above."""
-    return ([bands.words(hashes, b)[1] for b in bands.of(len(hashes))] + [None, None])[:2]
-
-
 def summaries(text: Column, size: int, percent: int) -> Column:
-    """Struct: n, node (null for an empty set), need_own and need_above."""
+    """Struct: n, node (null for an empty set), and for the set's own band and
+    the one above the words of its coarse sketch (keys_own, keys_above) and how
+    many of them partners share at least (need_own, need_above); null where the
+    set is not joined in that band."""
 
-    @F.pandas_udf("n long, node long, need_own long, need_above long")
+    @F.pandas_udf(
+        "n long, node long, need_own long, need_above long, keys_own array<long>, keys_above array<long>"
+    )
     def of(runs: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         shingles, bands = shingler(size), Bands(percent)
         for texts in runs:
             rows = []
             for text in texts:
                 found = shingles(text)
-                rows.append((len(found), _node(found) if len(found) else None, *_needs(found, bands)))
+                words = [bands.words(found, b) for b in bands.of(len(found))]
+                keys, needs = [k.view(np.int64) for k, _ in words], [need for _, need in words]
+                node = _node(found) if len(found) else None
+                rows.append((len(found), node, *(needs + [None, None])[:2], *(keys + [None, None])[:2]))
             # Column by column: nulls among plain numbers would make them floats.
-            columns = zip(("n", "node", "need_own", "need_above"), zip(*rows))
-            yield pd.DataFrame({name: pd.array(values, "Int64") for name, values in columns})
+            n, node, own, above, keys_own, keys_above = zip(*rows) if rows else [()] * 6
+            numbers = zip(("n", "node", "need_own", "need_above"), (n, node, own, above))
+            frame = {name: pd.array(values, "Int64") for name, values in numbers}
+            for name, values in (("keys_own", keys_own), ("keys_above", keys_above)):
+                frame[name] = pd.Series(list(values), dtype=object)
+            yield pd.DataFrame(frame)
 
     return of(text)
 
@@ -142,22 +149,11 @@ def _units(keys: list, units: list, hashes: np.ndarray, node: int, bands: Bands,
         units.append(np.full(len(own), node + above, np.int64))
 
 
-def _coarse_keys(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(key, unit) of all texts."""
-
-    def of(runs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, bands = shingler(size), Bands(percent)
-        for frame in runs:
-            rows = frame["text"].tolist()
-            for run in batches(rows, RUN_CHARS):
-                keys, units = [], []
-                for text in rows[run]:
-                    found = shingles(text)
-                    _units(keys, units, found, _node(found) if len(found) else 0, bands, lambda h, b: bands.words(h, b)[0])
-                if keys:
-                    yield pd.DataFrame({"key": np.concatenate(keys), "unit": np.concatenate(units)})
-
-    return texts.mapInPandas(of, "key long, unit long")
+def _coarse_keys(rows: DataFrame) -> DataFrame:
+    """(key, unit) of all sets, out of their summaries."""
+    own = rows.select(F.explode("keys_own").alias("key"), F.col("node").alias("unit"))
+    above = rows.select(F.explode("keys_above").alias("key"), (F.col("node") + 1).alias("unit"))
+    return own.unionByName(above)
 
 
 def _fine_keys(sets: DataFrame, percent: int) -> DataFrame:
@@ -339,11 +335,14 @@ def similar_sets(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     join are not looked for. A very long text is split in pieces and takes some
     forty bytes a word in its task. Sets go by a name of 63 bits.
     """
-    rows = cut(
-        docs.select("doc_id", summaries(F.col("text"), size, percent).alias("s")).select("doc_id", "s.*")
-    )
+    # Texts are read once for all sketches; these are written by column, and what
+    # follows reads those it needs.
+    summed = docs.select("doc_id", summaries(F.col("text"), size, percent).alias("s"))
+    rows = stored(summed.select("doc_id", "s.*"), "summaries")
+    keys = _coarse_keys(rows)
+    rows = rows.drop("keys_own", "keys_above")
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    wanted = _by_words(_coarse_keys(docs.select("text"), size, percent), rows.drop("doc_id", "n"))
+    wanted = _by_words(keys, rows.drop("doc_id", "n"))
     sets = _needed_sets(docs, rows, wanted, size)
     met = _by_bits(_fine_keys(sets, percent), sets.select("node", F.size("members").alias("n")), percent)
     roots = _classes(met, sets, percent)
