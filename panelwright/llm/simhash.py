@@ -7,7 +7,8 @@ masked: over the masks, some mask leaves a difference of at most two bits and
 hides at most one (or hides all three, see `_links`). Half of two is one: each
 fingerprint emits 44 words a mask, 132 in all. Words that meet are grouped by
 the masked block in the same way, where the parity of the block tells which of
-two sides flips, and linked as stars, never as all pairs.
+two sides flips, and linked as stars, never as all pairs. Words whose members
+are already in one class are left out of that, so dense groups flip no blocks.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelwright.lineage import cut
+from panelwright.lineage import cut, stored
 from panelwright.llm.base import corpus_query, table
 from panelwright.llm.components import connected_components
 
@@ -89,36 +90,60 @@ def _links(prints: DataFrame) -> DataFrame:
 
     In a group the members that flip fewer bits (centres) are within two bits
     of each other and within three of the rest, so all link to the smallest.
+
+    Blocks are flipped only where that can join something: members of a word are
+    first linked to its smallest fingerprint if that is within three bits, and
+    words whose members are one class by then go.
     """
-    edges = []
-    for low, high in BLOCKS:
-        inside = sum(1 << i for i in range(low, high))
-        hidden, shown = F.lit(_signed(inside)), F.lit(_signed(~inside & (1 << 64) - 1))
-        open_bits = [i for i in range(64) if not low <= i < high]
-        words = prints.select(
-            "fp",
-            F.explode(_flips(open_bits, (0, 1))).alias("flip"),
-        ).select("fp", F.col("fp").bitwiseAND(shown).bitwiseXOR(F.col("flip")).alias("word"))
-        edges.append(_star(_met(words, "word"), hidden, range(low, high), even=(0, 1), odd=(0,)))
-        same = prints.select("fp", F.col("fp").bitwiseAND(shown).alias("word"))
-        edges.append(_star(_met(same, "word"), hidden, range(low, high), even=(2,), odd=(1,)))
-    links = edges[0]
-    for more in edges[1:]:
-        links = links.unionByName(more)
+    words, same = (stored(_met(_words(prints, sizes)), "words") for sizes in ((0, 1), (0,)))
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("least"))) <= RADIUS
+    first = words.unionByName(same).where((F.col("fp") != F.col("least")) & near)
+    first = cut(first.select(F.col("fp").alias("a"), F.col("least").alias("b")).distinct())
+    roots = stored(connected_components(first), "word-classes")
+    words, same = _apart(words, roots), _apart(same, roots)
+    links = first
+    for mask, (low, high) in enumerate(BLOCKS):
+        hidden, bits = F.lit(_signed(_block(low, high))), range(low, high)
+        for met, even, odd in ((words, (0, 1), (0,)), (same, (2,), (1,))):
+            links = links.unionByName(_star(met.where(F.col("mask") == mask), hidden, bits, even, odd))
     return links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS).distinct()
 
 
-def _met(rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose key has at least two fingerprints."""
-    group = Window.partitionBy(key)
+def _block(low: int, high: int) -> int:
+    return sum(1 << i for i in range(low, high))
+
+
+def _words(prints: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
+    """(mask, word, fp): per mask the open part with as many bits flipped."""
+    out = None
+    for mask, (low, high) in enumerate(BLOCKS):
+        shown = F.col("fp").bitwiseAND(F.lit(_signed(~_block(low, high) & (1 << 64) - 1)))
+        flips = _flips([i for i in range(64) if not low <= i < high], sizes)
+        rows = prints.select("fp", F.explode(flips).alias("flip"))
+        rows = rows.select(F.lit(mask).alias("mask"), shown.bitwiseXOR(F.col("flip")).alias("word"), "fp")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """The rows whose word has at least two fingerprints, with the smallest."""
+    group = Window.partitionBy("mask", "word")
     return (
         rows.withColumn("least", F.min("fp").over(group))
         .withColumn("most", F.max("fp").over(group))
         .where("least < most")
-        .drop("least", "most")
+        .drop("most")
     )
 
 
+def _apart(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """(mask, word, fp) of the words whose members are in two or more classes."""
+    group = Window.partitionBy("mask", "word")
+    classed = met.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    several = classed.withColumn("low", F.min("root").over(group)).withColumn("high", F.max("root").over(group))
+    return stored(several.where("low < high").select("mask", "word", "fp"), "words-apart")
+
+
 def _star(met: DataFrame, hidden: Column, bits: range, even: tuple[int, ...], odd: tuple[int, ...]) -> DataFrame:
     """Link members that share (word, block) to the smallest centre. A member
     emits its own block with as many bits flipped as the block's parity allows;
