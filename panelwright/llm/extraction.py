@@ -20,7 +20,8 @@ of all pages is one partial aggregate per task.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -30,12 +31,13 @@ from pyspark.sql import functions as F
 
 from panelwright.lineage import stored
 from panelwright.llm.base import corpus_query, table
-from panelwright.llm.html import Token, tokens
+from panelwright.llm.html import Element, Token, tokens
 
 LEAST_CLASS = 2  # tokens of a class
 LEAST_SUPPORT = 0.5  # share of the host's pages with a class
 # Different pages of a host from which on a text block that stands on every one
-# is taken for template text. Copies of a page count once.
+# is taken for template text, outside a marked article; inside, all text stays.
+# Copies of a page count once.
 LEAST_PAGES = 10
 
 # Elements and words of class, id or role of what is not main text.
@@ -68,7 +70,7 @@ def host_of(url: Column) -> Column:
 
 def token_key(token: Token) -> int:
     """A signed 64-bit hash of a token."""
-    raw = f"{token.kind}\n{token.path}\n{token.text}"
+    raw = f"{token.kind}\n{token.element.key}\n{token.text}"
     return int(np.uint64(xxhash.xxh64_intdigest(raw.encode("utf-8", "replace"))).view(np.int64))
 
 
@@ -155,26 +157,83 @@ class Template:
         self.frame = {t for c in classes if not c["inner"] for t in c["tokens"]}
         self.nested = {t for c in classes if c["inner"] for t in c["tokens"]}
 
-    def slots(self, found: list[Token]) -> list[tuple[Token, int, str]]:
-        """(text block, number of its slot, path of the slot's element) of the
-        blocks that belong to no class. A slot ends at a token of the frame;
-        nested classes part no slot, so a list that repeats is one content."""
-        out, slot, around = [], 0, [""]
+    def slots(self, found: list[Token]) -> list[Block]:
+        """The text blocks that belong to no class, and all that are in a marked
+        article. A slot ends at a token of the frame; nested classes part no
+        slot, so a list that repeats is one content."""
+        out, slot, around, places = [], 0, [found[0].element if found else None], {}
         for token in found:
-            key = token_key(token)
+            key, element = token_key(token), token.element
             if key in self.frame:
                 slot += 1
                 if token.kind == "open":
-                    around.append(token.path)
-                elif token.kind == "close" and token.path in around:
-                    del around[around.index(token.path) :]
-            elif token.kind == "text" and key not in self.nested:
-                out.append((token, slot, around[-1]))
+                    places[element.key] = len(around)
+                    around.append(element)
+                elif token.kind == "close" and places.get(element.key, len(around)) < len(around):
+                    del around[places.pop(element.key) :]
+            if token.kind == "text":
+                out.append(Block(token.text, element, slot, around[-1].key if len(around) > 1 else 0, key in self.frame or key in self.nested))
         return out
 
 
-def _elements(path: str) -> list[list[str]]:
-    return [e.split(".") for e in path.split("/")[1:]]
+class Block(NamedTuple):
+    text: str
+    element: Element
+    slot: int  # number of the slot
+    around: int  # key of the slot's element, 0 if there is none
+    known: bool  # whether it belongs to a class
+
+
+class Marks:
+    """What the elements of a page are, carried down from each to what it holds;
+    all lists go by the element's number."""
+
+    def __init__(self, found: list[Token]) -> None:
+        first = found[0].element if found else None
+        root = first.parent if first and found[0].kind == "open" else first
+        self.elements = [root, *(t.element for t in found if t.kind == "open")] if root else []
+        # The outermost article or main element around, and the element around
+        # that stands directly in the body.
+        self.main: list[Element | None] = []
+        self.top: list[str] = []
+        for e in self.elements:
+            main, top = (self.main[e.parent.number], self.top[e.parent.number]) if e.parent else (None, "")
+            if e.parent and main is None and (e.name in MAIN or not MAIN_WORDS.isdisjoint("-".join(e.words).split("-"))):
+                main = e
+            if e.parent and not top and e.name not in ("html", "body"):
+                top = e.label
+            self.main.append(main)
+            self.top.append(top)
+
+    def asides(self, wraps: Callable[[Element], bool] = lambda e: False, forms: bool = True) -> list[bool]:
+        """Whether an element is in what is not main text. A header inside an
+        article is the article's own. The names of main and of an article that
+        is in no other tell nothing of it. Forms and names of elements that wrap
+        the page tell nothing either; without `forms` no form does."""
+        out, in_article = [], []
+        for e in self.elements:
+            if not e.parent:
+                out.append(False)
+                in_article.append(False)
+                continue
+            aside, inside, name = out[e.parent.number], in_article[e.parent.number], e.name
+            if not aside and (forms or name != "form"):
+                wrap = wraps(e)
+                own = name in ("html", "body", "main") or name == "article" and not inside
+                aside = (
+                    name in ASIDE and not (name == "header" and inside) and not (name == "form" and wrap)
+                ) or (not own and not wrap and any(map(_is_aside_name, e.words)))
+            out.append(aside)
+            in_article.append(inside or name in MAIN)
+        return out
+
+    def wrapped_by(self, root: Element) -> list[bool]:
+        """`asides` of a page that the elements around `root` wrap."""
+        keys, at = set(), root
+        while at and at.parent:
+            keys.add(at.key)
+            at = at.parent
+        return self.asides(lambda e: e.key in keys)
 
 
 def _is_aside_name(name: str) -> bool:
@@ -186,111 +245,104 @@ def _is_aside_name(name: str) -> bool:
     return not ASIDE_WORDS.isdisjoint(runs) and all(r in ASIDE_WORDS or r in ASIDE_PARTS for r in runs)
 
 
-def is_aside(path: str, wrapped: str = "") -> bool:
-    """Whether some element around a block is not main text. A header inside
-    an article is the article's own. The names of main and of an article that
-    is in no other tell nothing of it. `wrapped` is the path of an element: the
-    forms and names around it are wrappers of the page."""
-    in_article, at = False, ""
-    for element in path.split("/")[1:]:
-        name, *words = element.split(".")
-        at += "/" + element
-        wraps = bool(wrapped) and f"{wrapped}/".startswith(f"{at}/")
-        if name in ASIDE and not (name == "header" and in_article) and not (name == "form" and wraps):
-            return True
-        own = name in ("html", "body", "main") or name == "article" and not in_article
-        if not own and not wraps and any(map(_is_aside_name, words)):
-            return True
-        in_article |= name in MAIN
-    return False
-
-
-def _main_root(path: str) -> str:
-    """The outermost article or main element around a block, or nothing."""
-    at = ""
-    for element in path.split("/")[1:]:
-        at += "/" + element
-        name, *words = element.split(".")
-        if name in MAIN or not MAIN_WORDS.isdisjoint("-".join(words).split("-")):
-            return at
-    return ""
-
-
-def _top(path: str) -> str:
-    """The element around a block that stands directly in the body; nothing for
-    the body's own text."""
-    elements = path.split("/")[1:]
-    while elements and elements[0].split(".")[0] in ("html", "body"):
-        del elements[0]
-    return elements[0] if elements else ""
-
-
-def _heaviest(blocks: list[tuple[Token, int, str]], framed: bool) -> tuple[int, str]:
-    """The slot with the most text and the path of its element. Without a frame
-    every element that holds text is a slot."""
+def is_aside(path: str) -> bool:
+    """`Marks.asides` for the last element of a path."""
+    found = [Element(None, "", 0)]
+    for i, name in enumerate(path.split("/")[1:]):
+        found.append(Element(found[-1], name, i + 1))
+    return Marks([Token("open", e, "") for e in found[1:]]).asides()[-1]
+
+
+def _heaviest(blocks: list[Block], framed: bool) -> tuple[int, int, Element]:
+    """The slot with the most text: its number, the key of its element and the
+    element of a block in it. Without a frame every element that holds the
+    elements of texts is a slot."""
     mass: Counter = Counter()
-    for token, slot, around in blocks:
-        mass[(slot, around) if framed else (0, token.path.rpartition("/")[0])] += len(token.text)
-    return max(mass, key=lambda s: (mass[s], -s[0], s[1]))
+    holder: dict = {}
+    for i, block in enumerate(blocks):
+        parent = block.element.parent
+        at = (block.slot, block.around) if framed else (0, parent.key if parent else 0)
+        mass[at] += len(block.text)
+        holder.setdefault(at, (i, block.element))
+    number, key = max(mass, key=lambda s: (mass[s], -s[0], holder[s][0]))
+    return number, key, holder[number, key][1]
+
 
+def _above(element: Element, key: int) -> Element:
+    """The element with a key that holds `element`, or else the outermost."""
+    while element.parent and element.key != key:
+        element = element.parent
+    return element
 
-def _unmarked(blocks: list[tuple[Token, int, str]], framed: bool) -> list[tuple[Token, int, str]]:
+
+def _unmarked(blocks: list[Block], framed: bool, marks: Marks) -> list[Block]:
     """The main blocks of a page without an article: all but those in a div of
     another kind that stands in the body behind the heaviest slot's element."""
-    number, holder = _heaviest(blocks, framed)
-    top = _top(holder)
+    number, key, inside = _heaviest(blocks, framed)
+    top = marks.top[_above(inside, key).number]
     if not top:
         return blocks
+    below: list[bool] = []
+    for e in marks.elements:
+        below.append(bool(e.parent) and (below[e.parent.number] or e.parent.key == key))
     out, behind = [], False
     for block in blocks:
-        token, slot, around = block
-        mine = _top(token.path)
-        behind |= (slot, around) == (number, holder) if framed else token.path.startswith(f"{holder}/")
+        mine = marks.top[block.element.number]
+        behind |= (block.slot, block.around) == (number, key) if framed else below[block.element.number]
         if mine == top or not behind or mine.split(".")[0] != "div":
             out.append(block)
     return out
 
 
-def _wrapped(blocks: list[tuple[Token, int, str]], clear: list[tuple[Token, int, str]], framed: bool) -> str:
+def _wrapped(blocks: list[Block], clear: list[Block], framed: bool, marks: Marks) -> Element | None:
     """The element whose forms and names around are wrappers of the page, if
     no main or article is clear of them: a main or article with more text than
     what is clear, else the heaviest slot if it is in a form or nothing is clear."""
+    # Forms and names at and above the article itself wrap it.
+    above = [main is None or main is e for e, main in zip(marks.elements, marks.main)]
+    within = marks.asides(lambda e: above[e.number])
     roots: Counter = Counter()
-    for token, _, _ in blocks:
-        root = _main_root(token.path)
-        name, *words = root.rpartition("/")[2].split(".")
-        named_aside = name != "main" and any(map(_is_aside_name, words))
-        if root and not named_aside and not is_aside(token.path, root):
-            roots[root] += len(token.text)
+    first: dict = {}
+    for block in blocks:
+        root = marks.main[block.element.number]
+        if root is None or within[block.element.number]:
+            continue
+        if root.name == "main" or not any(map(_is_aside_name, root.words)):
+            first.setdefault(root.key, root)
+            roots[root.key] += len(block.text)
     if roots:
-        root, size = max(roots.items(), key=lambda r: (r[1], r[0]))
-        if size > sum(len(b[0].text) for b in clear):
-            return root
+        key, size = max(roots.items(), key=lambda r: (r[1], first[r[0]].number))
+        if size > sum(len(b.text) for b in clear):
+            return first[key]
     # With nothing clear names may wrap as well; else only forms may.
-    loose = [b for b in blocks if not is_aside(b[0].path, b[0].path)]
+    hard = marks.asides(lambda e: True)
+    loose = [b for b in blocks if not hard[b.element.number]]
     if clear:
-        loose = [b for b in loose if not is_aside(_formless(b[0].path))]
-    return _heaviest(loose, framed)[1] if loose else ""
-
-
-def _formless(path: str) -> str:
-    """The path without its forms."""
-    return "/".join(e for e in path.split("/") if e != "form" and not e.startswith("form."))
+        formless = marks.asides(forms=False)
+        loose = [b for b in loose if not formless[b.element.number]]
+    if not loose:
+        return None
+    _, key, inside = _heaviest(loose, framed)
+    return _above(inside, key)
 
 
 def main_text(html: str, template: Template) -> str:
     """The blocks of the main slots, joined by an empty line."""
-    slots, framed = template.slots(tokens(html)), bool(template.frame)
-    blocks = [b for b in slots if not is_aside(b[0].path)]
-    inside = [b for b in blocks if _main_root(b[0].path)]
+    found, framed = tokens(html), bool(template.frame)
+    marks = Marks(found)
+    slots = [b for b in template.slots(found) if not b.known or marks.main[b.element.number]]
+    aside = marks.asides()
+    blocks = [b for b in slots if not aside[b.element.number]]
+    inside = [b for b in blocks if marks.main[b.element.number]]
     if not inside and len(blocks) < len(slots):
-        wrapped = _wrapped(slots, blocks, framed)
-        if wrapped:
-            blocks = [b for b in slots if not is_aside(b[0].path, wrapped)]
-            inside = [b for b in blocks if _main_root(b[0].path)]
+        wrapped = _wrapped(slots, blocks, framed, marks)
+        if wrapped is not None and wrapped.parent:
+            aside = marks.wrapped_by(wrapped)
+            blocks = [b for b in slots if not aside[b.element.number]]
+            inside = [b for b in blocks if marks.main[b.element.number]]
     if not inside and blocks:
-        inside = _unmarked(blocks, framed)
-    return "\n\n".join(b[0].text for b in inside)
+        inside = _unmarked(blocks, framed, marks)
+    return "\n\n".join(b.text for b in inside)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -298,7 +350,9 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Whole pages are read. A null html gives an empty text; pages without a host
     share one template; repeated rows each give a row; a host of few pages has
-    a template of tags only. An empty table gives an empty result."""
+    a template of tags only. An empty table gives an empty result. The work is
+    linear in a page, also where elements nest without end; a task holds a
+    page's tokens, some 300 bytes each."""
     known = stored(templates(pages), "templates")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

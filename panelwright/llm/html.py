@@ -6,6 +6,8 @@ import re
 from html import unescape
 from typing import NamedTuple
 
+import xxhash
+
 # Element names of HTML.
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -45,11 +47,44 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'(
 _LETTERS = re.compile(r"[A-Za-z]+")
 
 
+class Element:
+    """An open element. It knows what holds it and not its whole path, so that
+    badly closed pages, whose elements nest without end, cost a step an element."""
+
+    __slots__ = ("parent", "label", "number", "key")
+
+    def __init__(self, parent: Element | None, label: str, number: int) -> None:
+        self.parent, self.label, self.number = parent, label, number
+        # Elements of the same path have the same key.
+        self.key = xxhash.xxh64_intdigest(label.encode("utf-8", "replace"), parent.key) if parent else 0
+
+    @property
+    def name(self) -> str:
+        return self.label.partition(".")[0]
+
+    @property
+    def words(self) -> list[str]:
+        return self.label.split(".")[1:]
+
+    @property
+    def path(self) -> str:
+        labels, at = [], self
+        while at.parent:
+            labels.append(at.label)
+            at = at.parent
+        return "".join(f"/{x}" for x in reversed(labels))
+
+
 class Token(NamedTuple):
     kind: str  # "open", "close" or "text"
-    path: str  # the elements that are open, each as name.class-name.id
+    element: Element  # what is opened or closed, or holds the text
     text: str  # of a block: decoded, with single spaces
 
+    @property
+    def path(self) -> str:
+        """The elements that are open, each as name.class-name.id."""
+        return self.element.path
+
 
 def label(name: str, rest: str) -> str:
     """An element's name and the names in its class, id and role, each as its
@@ -80,34 +115,62 @@ def _foreign_ends(html: str, at: int) -> dict[int, int]:
     return ends
 
 
+# What an opening tag ends, one rule after the other; the last is for all others.
+_RULES = [*ENDS.values(), ({"p"}, PARAGRAPH_STOPS)]
+_RULE_OF = {name: i for i, name in enumerate(ENDS)}
+_IN_RULES = frozenset().union(*(kinds | stops for kinds, stops in _RULES))
+
+
+class _Open:
+    """The open elements, the deepest last."""
+
+    def __init__(self) -> None:
+        self.elements = [Element(None, "", 0)]
+        self.made = 1
+        self.places: dict[str, list[int]] = {}
+        # Per depth and rule the place of the element that an opening tag ends.
+        self.ends: list[tuple[int, ...]] = [(-1,) * len(_RULES)]
+
+    def make(self, label_: str) -> Element:
+        self.made += 1
+        return Element(self.elements[-1], label_, self.made - 1)
+
+    def push(self, element: Element, name: str) -> None:
+        place, ends = len(self.elements), self.ends[-1]
+        if name in _IN_RULES:
+            ends = tuple(
+                place if name in kinds else -1 if name in stops else end for (kinds, stops), end in zip(_RULES, ends)
+            )
+        self.elements.append(element)
+        self.ends.append(ends)
+        self.places.setdefault(name, []).append(place)
+
+    def pop(self) -> Element:
+        self.ends.pop()
+        element = self.elements.pop()
+        self.places[element.name].pop()
+        return element
+
+
 def tokens(html: str) -> list[Token]:
     """The tags and text blocks of a page in order. Inline elements do not part
     blocks; comments, declarations and the content of raw elements are left
-    out; elements that are not closed end with what holds them."""
+    out; elements that are not closed end with what holds them. The work is
+    linear in the page, however deep it nests."""
     out: list[Token] = []
-    names: list[str] = []
-    paths: list[str] = [""]
     parts: list[str] = []
+    open_ = _Open()
 
     def flush() -> None:
         if parts:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                out.append(Token("text", paths[-1], text))
-
-    def close(depth: int) -> None:
-        while len(names) > depth:
-            out.append(Token("close", paths.pop(), ""))
-            names.pop()
+                out.append(Token("text", open_.elements[-1], text))
 
-    def end_open(kinds: frozenset | set, stops: frozenset | set) -> None:
-        for i in range(len(names) - 1, -1, -1):
-            if names[i] in stops:
-                return
-            if names[i] in kinds:
-                close(i)
-                return
+    def close(place: int) -> None:
+        while len(open_.elements) > place:
+            out.append(Token("close", open_.pop(), ""))
 
     at, size = 0, len(html)
     foreign: dict[int, int] | None = None
@@ -137,18 +200,16 @@ def tokens(html: str) -> list[Token]:
             continue
         flush()
         if m["close"]:
-            if name in names:
-                close(len(names) - 1 - names[::-1].index(name))
+            if open_.places.get(name):
+                close(open_.places[name][-1])
             continue
-        if name in ENDS:
-            end_open(*ENDS[name])
-        else:
-            end_open({"p"}, PARAGRAPH_STOPS)
-        path = f"{paths[-1]}/{label(name, m['rest'])}"
-        out.append(Token("open", path, ""))
+        end_place = open_.ends[-1][_RULE_OF.get(name, -1)]
+        if end_place >= 0:
+            close(end_place)
+        element = open_.make(label(name, m["rest"]))
+        out.append(Token("open", element, ""))
         if name not in VOID:
-            names.append(name)
-            paths.append(path)
+            open_.push(element, name)
     flush()
-    close(0)
+    close(1)
     return out

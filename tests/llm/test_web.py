@@ -148,6 +148,15 @@ def test_tokens_close_what_is_open():
     assert kinds.count("open") == kinds.count("close")
 
 
+def test_elements_that_nest_without_end():
+    for tag in ("div", "x-a", "p", "li", "td", "article"):
+        for before in ("", "<p><div>", "<li><ul>"):
+            page_ = f"{before}{f'<{tag}>' * 100_000}deep text"
+            assert main_text(page_, Template(None)) == "deep text"
+    found = tokens("<div>a" * 50_000 + "</div>" * 50_000 + "<p>end")
+    assert len(found) == 150_003 and found[-2].text == "end"
+
+
 def test_drawings_and_formulas():
     def text(html):
         return main_text(f"<article>{html}</article>", Template(None))
@@ -177,7 +186,7 @@ def test_template_text_goes(spark):
     assert len(got) == len(rows) and all(r["n_chars"] == len(r["text"]) for r in got)
     texts = {r["page_id"]: r["text"] for r in got}
     for i in range(30):
-        assert texts[i] == "\n\n".join([f"Title {i}", f"story {i}", *[f"para {i}"] * (i % 4 + 1)])
+        assert texts[i] == "\n\n".join([f"Title {i}", "Subscribe now", f"story {i}", *[f"para {i}"] * (i % 4 + 1), "Written by staff"])
     assert {texts[100 + i] for i in range(3)} == {"Same\n\nsame text"}
     for i in range(12):
         assert texts[200 + i] == "\n\n".join(f"line {i} {k} of some length" for k in range(i % 5 + 1))
