@@ -7,6 +7,8 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,6 +119,13 @@ def forward_fill_then_zero(
 # --- chained equations -----------------------------------------------------
 
 
+def _gram(rows: DataFrame) -> np.ndarray:
+    """Sums of products of all pairs of columns."""
+    vectors = VectorAssembler(inputCols=rows.columns, outputCol="_row").transform(rows).select("_row")
+    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "_row"), numCols=len(rows.columns))
+    return matrix.computeGramianMatrix().toArray()
+
+
 def _linear(
     state: DataFrame,
     panel: Panel,
@@ -128,25 +137,17 @@ def _linear(
     """A Bayesian linear regression of a column on the others, as the column
     that fills its gaps.
 
-    The sums of products of all columns are one aggregate; nothing else reaches
-    the driver. With `draw` (seed, round, column) the coefficients are drawn
-    from their posterior and every row gets noise of the residual's size; both
-    depend on the draw and the row's key alone. Without it the coefficients are
-    those of least squares, of least norm where they are not unique.
+    The Gram matrix of all columns is summed up packed, one array per task and
+    not an expression per pair; nothing else reaches the driver. With `draw`
+    (seed, round, column) the coefficients are drawn from their posterior and
+    every row gets noise of the residual's size; both depend on the draw and the
+    row's key alone. Without it the coefficients are those of least squares, of
+    least norm where they are not unique.
     """
     names = [*others, col]
     x = {c: F.col(f"_x_{c}") - F.lit(centres[c]) for c in names}
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[: i + 1]]
-    known = state.filter(~F.col(f"_gap_{col}"))
-    got = known.agg(F.count(F.lit(1)), *[F.sum(x[a]) for a in names], *[F.sum(x[a] * x[b]) for a, b in pairs]).first()
-    n, sums, products = got[0], got[1 : 1 + len(names)], got[1 + len(names) :]
-    size = len(names) + 1
-    gram = np.zeros((size, size))
-    gram[0, 0] = n
-    gram[0, 1:] = gram[1:, 0] = sums
-    for (a, b), value in zip(pairs, products):
-        i, j = names.index(a) + 1, names.index(b) + 1
-        gram[i, j] = gram[j, i] = value
+    gram = _gram(state.filter(~F.col(f"_gap_{col}")).select(F.lit(1.0).alias("_one"), *[x[c].alias(c) for c in names]))
+    n = gram[0, 0]
     # Scaled, so that columns of different units weigh the same.
     unit = np.sqrt(np.where(np.diag(gram) > 0, np.diag(gram), 1.0))
     left = gram[:-1, :-1] / np.outer(unit[:-1], unit[:-1])

@@ -130,6 +130,53 @@ def _(t):
     return M.impute_chained(_holed(t), PANEL, draws=False)
 
 
+DAY_CLASSES = 31
+
+
+def wide_chained_sql(rounds: int) -> str:
+    """Regression on a column and the classes of days is one slope inside the
+    classes around each class's means."""
+    parts = [
+        f"holed AS MATERIALIZED ({HOLED})",
+        """x0 AS MATERIALIZED (SELECT t, g, s IS NULL AS no_s, m IS NULL AS no_m, coalesce(s, avg(s) OVER ()) AS s,
+          coalesce(m, avg(m) OVER ()) AS m FROM holed)""",
+    ]
+    for i in range(2 * rounds):
+        y, x = ("s", "m") if i % 2 == 0 else ("m", "s")
+        parts.append(
+            f"""c{i} AS MATERIALIZED (SELECT t % {DAY_CLASSES} AS c, avg({y}) AS yc, avg({x}) AS xc, regr_sxy({y}, {x}) AS sxy,
+              regr_sxx({y}, {x}) AS sxx FROM x{i} WHERE NOT no_{y} GROUP BY 1)"""
+        )
+        parts.append(
+            f"""x{i + 1} AS MATERIALIZED (SELECT t, g, no_s, no_m, {x}, CASE WHEN no_{y} THEN yc + b * ({x} - xc) ELSE {y} END AS {y}
+              FROM x{i} JOIN c{i} ON c = t % {DAY_CLASSES}, (SELECT sum(sxy) / sum(sxx) AS b FROM c{i}))"""
+        )
+    bound = lambda c: f"greatest(least({c}, (SELECT max({c}) FROM holed)), (SELECT min({c}) FROM holed)) AS {c}"
+    return "WITH " + ",\n".join(parts) + f" SELECT t, g, {bound('s')}, {bound('m')} FROM x{2 * rounds}"
+
+
+@query("chained_imputation_of_many_columns", "M5", "t:l g:l s:d m:d", wide_chained_sql(10), ["full_panel"])
+def _(t):
+    # Thirty columns without gaps, one for each class of days but the last.
+    day = F.col("t") % DAY_CLASSES
+    classes = [(day == k).cast("double").alias(f"day_{k}") for k in range(DAY_CLASSES - 1)]
+    return M.impute_chained(_holed(t).select("*", *classes), PANEL, draws=False).select("t", "g", "s", "m")
+
+
+@query(
+    "tree_imputation",
+    ("M5", "M6"),
+    "t:l g:l s:d",
+    f"""WITH holed AS ({HOLED})
+       SELECT t, g, coalesce(s, avg(s) OVER (PARTITION BY t % 7)) AS s FROM holed""",
+    ["full_panel"],
+)
+def _(t):
+    # A tree over a column of seven values has a leaf for each.
+    rows = _holed(t).select("t", "g", "s", (F.col("t") % 7).cast("double").alias("weekday"))
+    return M.impute_chained(rows, PANEL, max_iter=2, estimator="tree").select("t", "g", "s")
+
+
 @query(
     "imputations_differ",
     "M5",

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,6 +147,13 @@ def test_chained_imputation_invariants(spark, panel):
     assert tree.filter((F.col("b") < lo) | (F.col("b") > hi)).count() == 0
 
 
+def test_gram_of_many_columns(spark):
+    rng = np.random.default_rng(8)
+    values = rng.normal(size=(200, 40))
+    df = spark.createDataFrame(values.tolist(), [f"c{i}" for i in range(40)])
+    assert np.allclose(M._gram(df.repartition(5)), values.T @ values)
+
+
 def test_resample_sizes(spark):
     df = spark.range(1000).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
     down = M.resample(df, ["id"], ["y"], 0.5, 0.333)
