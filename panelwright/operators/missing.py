@@ -22,6 +22,8 @@ from panelwright.panel import Panel
 
 # How close to the threshold counts as being on it.
 CLOSE_ABSOLUTE, CLOSE_RELATIVE = 1e-8, 1e-5
+# Columns up to which their products are summed by an expression per pair.
+FEW_COLUMNS = 8
 
 
 def extrapolate(df: DataFrame, panel: Panel, cols: Sequence[str] | None = None) -> DataFrame:
@@ -120,7 +122,16 @@ def forward_fill_then_zero(
 
 
 def _gram(rows: DataFrame) -> np.ndarray:
-    """Sums of products of all pairs of columns."""
+    """Sums of products of all pairs of columns: one expression per pair while
+    they are few, a packed array per task beyond."""
+    names = rows.columns
+    if len(names) <= FEW_COLUMNS:
+        pairs = [(i, j) for i in range(len(names)) for j in range(i + 1)]
+        sums = rows.agg(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs]).first()
+        gram = np.zeros((len(names), len(names)))
+        for (i, j), value in zip(pairs, sums):
+            gram[i, j] = gram[j, i] = value
+        return gram
     vectors = VectorAssembler(inputCols=rows.columns, outputCol="_row").transform(rows).select("_row")
     matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "_row"), numCols=len(rows.columns))
     return matrix.computeGramianMatrix().toArray()

@@ -152,6 +152,8 @@ def test_gram_of_many_columns(spark):
     values = rng.normal(size=(200, 40))
     df = spark.createDataFrame(values.tolist(), [f"c{i}" for i in range(40)])
     assert np.allclose(M._gram(df.repartition(5)), values.T @ values)
+    few = df.select(df.columns[: M.FEW_COLUMNS])
+    assert np.allclose(M._gram(few), values.T[: M.FEW_COLUMNS] @ values[:, : M.FEW_COLUMNS])
 
 
 def test_resample_sizes(spark):
