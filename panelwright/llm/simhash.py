@@ -93,7 +93,9 @@ def _links(prints: DataFrame) -> DataFrame:
 
     Blocks are flipped only where that can join something: members of a word are
     first linked to its smallest fingerprint if that is within three bits, and
-    words whose members are one class by then go.
+    words whose members are one class by then go. Members of a word that link
+    have blocks that differ in one bit at most (a centre flips none), so they
+    agree in two of three parts of the block; who agrees with nobody goes too.
     """
     words, same = (stored(_met(_words(prints, sizes)), "words") for sizes in ((0, 1), (0,)))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("least"))) <= RADIUS
@@ -104,8 +106,9 @@ def _links(prints: DataFrame) -> DataFrame:
     links = first
     for mask, (low, high) in enumerate(BLOCKS):
         hidden, bits = F.lit(_signed(_block(low, high))), range(low, high)
-        for met, even, odd in ((words, (0, 1), (0,)), (same, (2,), (1,))):
-            links = links.unionByName(_star(met.where(F.col("mask") == mask), hidden, bits, even, odd))
+        of_words, of_same = (met.where(F.col("mask") == mask).select("word", "fp") for met in (words, same))
+        links = links.unionByName(_star(_close(of_words, low, high), hidden, bits, even=(0, 1), odd=(0,)))
+        links = links.unionByName(_star(of_same, hidden, bits, even=(2,), odd=(1,)))
     return links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS).distinct()
 
 
@@ -144,6 +147,26 @@ def _apart(met: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(several.where("low < high").select("mask", "word", "fp"), "words-apart")
 
 
+def _close(met: DataFrame, low: int, high: int) -> DataFrame:
+    """The rows (word, fp) that agree with another one of their word in all but
+    one of three parts of the block."""
+    edges = [low + (high - low) * k // 3 for k in range(4)]
+    keys = []
+    for part, (start, end) in enumerate(zip(edges, edges[1:])):
+        rest = F.lit(_signed(_block(low, high) & ~_block(start, end)))
+        keys.append(F.struct(F.lit(part).alias("part"), F.col("fp").bitwiseAND(rest).alias("rest")))
+    group = Window.partitionBy("word", "part", "rest")
+    return (
+        met.select("word", "fp", F.explode(F.array(*keys)).alias("key"))
+        .select("word", "fp", "key.*")
+        .withColumn("least", F.min("fp").over(group))
+        .withColumn("most", F.max("fp").over(group))
+        .where("least < most")
+        .select("word", "fp")
+        .distinct()
+    )
+
+
 def _star(met: DataFrame, hidden: Column, bits: range, even: tuple[int, ...], odd: tuple[int, ...]) -> DataFrame:
     """Link members that share (word, block) to the smallest centre. A member
     emits its own block with as many bits flipped as the block's parity allows;
