@@ -223,8 +223,12 @@ def grid_spatial_sum(
 # --- grids -----------------------------------------------------------------
 
 
-def coarse_grid(spark, rows: int = 180, cols: int = 360, size: float = 1.0) -> DataFrame:
-    """A fishnet of square cells from the south-west corner, id 1 first."""
+def coarse_grid(
+    spark, rows: int = 180, cols: int = 360, size: float = 1.0, south: float | None = None
+) -> DataFrame:
+    """A fishnet of square cells from the south-west corner, id 1 first. Its middle
+    is at 0 unless the southern edge is given, from where rows go north."""
+    south = -rows * size / 2 if south is None else south
     cells = spark.range(rows * cols)
     row = F.floor(F.col("id") / cols)
     col = F.col("id") % cols
@@ -233,7 +237,7 @@ def coarse_grid(spark, rows: int = 180, cols: int = 360, size: float = 1.0) -> D
         row.alias("row"),
         col.alias("col"),
         (col * size - cols * size / 2).alias("west"),
-        (row * size - rows * size / 2).alias("south"),
+        (row * size + south).alias("south"),
     )
 
 

@@ -1,5 +1,7 @@
 """Queries for neighbourhoods, distances and disaggregation."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from panelwright.operators import disaggregate as D
@@ -212,7 +214,10 @@ def _(t):
     # A user's cell on the grid of single degrees, east and north of (0, 0).
     users = user_cells(t).select(((F.col("grow") + 90) * 360 + F.col("gcol") + 181).alias("parent"))
     number = users.groupBy("parent").agg(F.count(F.lit(1)).alias("users"))
-    return SP.coarse_grid(t.spark).join(number, "parent")
+    # Many users need more rows than a globe has; they go on to the north.
+    last = number.agg(F.max("parent")).first()[0] or 0
+    grid = SP.coarse_grid(t.spark, rows=max(180, math.ceil(last / 360)), south=-90.0)
+    return number.join(grid, "parent", "left")
 
 
 # --- events known to an area only -----------------------------------------
