@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.functions.scalars import month_id_of
+from panelwright.functions.scalars import month_id_of, steady_sum
 from panelwright.operators.events import count_events
 from panelwright.operators.shape import skeleton_between
 from panelwright.operators.spatial import grid_neighbours
@@ -45,7 +45,7 @@ def user_day(tables: Tables) -> DataFrame:
             F.count(F.lit(1)).alias("n_events"),
             of("error").alias("n_error"),
             of("purchase").alias("n_purchase"),
-            F.sum("value").alias("value_sum"),
+            steady_sum("value").alias("value_sum"),
             F.max("value").alias("value_max"),
         )
     )

@@ -4,6 +4,7 @@ threshold, hot keys."""
 import datetime
 
 import __spark_entry__ as entry
+from panelwright.functions.scalars import steady_sum
 
 
 def events_in(folder, spark, rows):
@@ -22,3 +23,25 @@ def test_users_beyond_the_globe_keep_their_cell(spark, tmp_path):
     assert got == {
         (90, 180, 0.0, 0.0, 1), (179, 194, 14.0, 89.0, 1), (180, 180, 0.0, 90.0, 1), (6090, 180, 0.0, 6000.0, 1)
     }
+
+
+def test_a_sum_on_a_threshold_does_not_depend_on_the_order(spark, tmp_path):
+    # 40 in all, but 39.99999999999999 if they are added up in this order.
+    values = [10.12, 15.43, 0.33, 14.12]
+    rows = [(u, 0, "view", v) for u, order in enumerate((values, values[::-1])) for v in order]
+    folder = events_in(tmp_path, spark, rows)
+    got = entry.queries()["transform_indicators"](spark, folder).collect()
+    assert {(r.g, r.greq, r.inside) for r in got} == {(0, 1, 1), (1, 1, 1)}
+
+
+def test_steady_sum_of_other_values(spark):
+    rows = [
+        ("none", None), ("one", 2.5), ("one", None), ("fine", 1e-7), ("fine", 1.0), ("huge", 1e300), ("huge", 1.0),
+        ("inf", float("inf")), ("inf", 1.0), ("long", 9e10), ("nan", float("nan")), ("less", -0.1), ("less", -0.2),
+    ]
+    rows += [("long", 9e10)] * 12_000
+    got = dict(spark.createDataFrame(rows, "k string, v double").groupBy("k").agg(steady_sum("v")).collect())
+    assert got.pop("nan") != got.get("nan")
+    assert got == {
+        "none": None, "one": 2.5, "fine": 1.0000001, "huge": 1e300, "inf": float("inf"), "long": 9e10 * 12_001, "less": -0.3
+    }
