@@ -244,8 +244,10 @@ def coarse_grid(
 # --- nearest events --------------------------------------------------------
 
 # Buckets that every query looks at first, and places that a bucket may hold
-# before it is split further.
+# before it is split further; buckets of the first level, over all slices, that
+# every task may get; and queries of a task.
 FIRST_BUCKETS, LAST_PLACES = 32, 8
+SENT_BUCKETS, TASK_QUERIES = 100_000, 50_000
 
 
 def _tree(points: DataFrame, slices: Sequence[str], dims: Sequence[str], side: float, levels: int, fan: int, origin: Sequence[float]) -> list[DataFrame]:
@@ -293,12 +295,13 @@ def _tree(points: DataFrame, slices: Sequence[str], dims: Sequence[str], side: f
         read.groupBy("_level", *slices)
         .agg(F.count(F.lit(1)).alias("buckets"), F.max("_places").alias("places"))
         .groupBy("_level")
-        .agg(F.max("buckets"), F.max("places"))
+        .agg(F.max("buckets"), F.max("places"), F.sum("buckets"))
         .sort("_level")
         .collect()
     )
-    first = max([level for level, number, _ in sizes if number <= FIRST_BUCKETS], default=0)
-    last = min([level for level, _, places in sizes if places <= LAST_PLACES], default=levels)
+    first = max([level for level, number, _, _ in sizes if number <= FIRST_BUCKETS], default=0)
+    last = min([level for level, _, places, _ in sizes if places <= LAST_PLACES], default=levels)
+    few = sum(total for level, _, _, total in sizes if level == first) <= SENT_BUCKETS
 
     def table(level: int) -> DataFrame:
         # All buckets of the first level lie in the root, whose number is 0.
@@ -310,7 +313,9 @@ def _tree(points: DataFrame, slices: Sequence[str], dims: Sequence[str], side: f
     above = fan ** (levels - max(first, last))
     up = [F.floor(at / above).cast("long").alias(f"_up_{d}") for d, at in zip(dims, leaf)]
     single = points.select(*slices, "_n", *shown, *up, *bounds)
-    return [table(level) for level in range(first, max(first, last) + 1)] + [single]
+    # With few slices the first level has few keys, too few to deal queries out by.
+    begin = F.broadcast(table(first)) if few else table(first)
+    return [begin, *[table(level) for level in range(first + 1, max(first, last) + 1)], single]
 
 
 def _squared(gaps: Iterable[Column]) -> Column:
@@ -434,6 +439,13 @@ def nearest_distance(
         return F.greatest(F.least(square, F.lit(0)), F.lit(0))
 
     query_cols = [*keys, *[c for c in [*slices, *dims] if c not in keys]]
+    # A query is a small row that meets many buckets, so that tasks made by bytes
+    # would be few and large: they are made by the number of queries.
+    session = queries.sparkSession
+    tasks = max(
+        int(session.conf.get("spark.sql.shuffle.partitions")), math.ceil(queries.count() / TASK_QUERIES)
+    )
+    queries = queries.select(*query_cols).repartition(tasks, *keys)
     found = queries.select(*query_cols, *[F.col(d).alias(f"_q_{d}") for d in dims])
     found = found.drop(*[d for d in dims if d not in keys])
     found = found.select(

@@ -2,9 +2,11 @@
 threshold, hot keys."""
 
 import datetime
+import math
 
 import __spark_entry__ as entry
 from panelwright.functions.scalars import steady_sum
+from panelwright.operators import spatial as SP
 
 
 def events_in(folder, spark, rows):
@@ -45,3 +47,16 @@ def test_steady_sum_of_other_values(spark):
     assert got == {
         "none": None, "one": 2.5, "fine": 1.0000001, "huge": 1e300, "inf": float("inf"), "long": 9e10 * 12_001, "less": -0.3
     }
+
+
+def test_queries_are_dealt_out_by_their_number(spark, panel, monkeypatch):
+    # A day's cells in tasks of ten, however few bytes they are.
+    monkeypatch.setattr(SP, "TASK_QUERIES", 10)
+    rows = [(1, g, float(g % 20), float(g // 20), int(g % 50 == 7)) for g in range(400)]
+    df = spark.createDataFrame(rows, "t long, g long, x double, y double, e int")
+    out = SP.distance_to_event(df, panel, "e", "x", "y", k=3, cell=1.0)
+    assert "40), REPARTITION_BY_NUM" in out._jdf.queryExecution().toString()
+    places = [(x, y) for _, _, x, y, e in rows if e]
+    for r in out.collect():
+        x, y = r.g % 20, r.g // 20
+        assert abs(r.spdist - sum(sorted(math.dist((x, y), p) for p in places)[:3]) / 3) < 1e-9
