@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,10 @@ EBMA_SHRINKAGE = 3
 EBMA_CONST = 0.01
 EBMA_MAX_ITER = 10_000
 
+# Of the series that stands in for passes over the rows: largest degree, sums of a
+# pass at most, and what the series may leave out, as a part of the whole.
+EBMA_DEGREE, EBMA_SUMS, EBMA_SERIES_ERROR = 8, 64, 1e-11
+
 
 def average(df: DataFrame, cols: Sequence[str], out: str) -> DataFrame:
     """Unweighted mean of the constituents that are present."""
@@ -63,18 +69,79 @@ class Ebma:
         return df.withColumn(out, mixed)
 
 
-def em_round(likelihoods: Sequence[Column], weights: Sequence[float], const: float) -> list[Column]:
-    """Aggregates of one EM round over rows with a count `n`: the mean
-    responsibility of each model and the log-likelihood at the old weights."""
-    k = len(weights)
-    parts = [F.lit(w) * g for w, g in zip(weights, likelihoods)]
-    total = sum(parts[1:], parts[0])
-    n = F.col("n")
-    shares = [
-        F.sum(n * (F.lit(const / k) + F.lit(1 - const) * part / total)) / F.sum(n)
-        for part in parts
-    ]
-    return [*shares, F.sum(n * F.log(total))]
+def powers(size: int, most: int) -> list[tuple[int, ...]]:
+    """All exponents of `size` variables whose sum is `most` or less."""
+    if not size:
+        return [()]
+    return [(i, *rest) for i in range(most + 1) for rest in powers(size - 1, most - i)]
+
+
+def degree(models: int) -> int:
+    """Of the series that rounds are taken from: as far as EBMA_SUMS sums go."""
+    fits = [d for d in range(1, EBMA_DEGREE + 1) if math.comb(models - 1 + d, d) <= EBMA_SUMS]
+    return max(fits, default=1)
+
+
+def em_sums(rows: DataFrame, likelihoods: Sequence[str], weights: Sequence[float], most: int) -> DataFrame:
+    """One row of sums at some weights, over rows with a count `n`: the
+    log-likelihood, the largest relative excess of each model but the last over the
+    last one, and the sums of all products of these excesses up to degree `most`.
+    Powers are columns of their own, so that a sum is a short expression."""
+    g, size = [F.col(c) for c in likelihoods], len(likelihoods) - 1
+    total = sum((F.lit(w) * c for w, c in zip(weights, g)), F.lit(0.0))
+    rows = rows.select("n", *likelihoods, total.alias("total"))
+    rows = rows.select(
+        "n", F.log("total").alias("like"), *[((c - g[-1]) / F.col("total")).alias(f"e{m}_1") for m, c in enumerate(g[:-1])]
+    )
+    for i in range(2, most + 1):
+        rows = rows.select("*", *[(F.col(f"e{m}_{i - 1}") * F.col(f"e{m}_1")).alias(f"e{m}_{i}") for m in range(size)])
+
+    def product(exponents: Sequence[int]) -> Column:
+        return reduce(lambda a, b: a * b, [F.col(f"e{m}_{i}") for m, i in enumerate(exponents) if i], F.col("n"))
+
+    return rows.agg(
+        F.sum(F.col("n") * F.col("like")),
+        *[F.max(F.abs(f"e{m}_1")) for m in range(size)],
+        *[F.sum(product(exponents)) for exponents in powers(size, most)],
+    )
+
+
+class EmSeries:
+    """The log-likelihood near the weights `start` as a power series in the change
+    of the weights, from the sums of `em_sums`. A row's likelihood changes by the
+    factor 1 + u, where u is the change times the row's excesses; `holds` tells
+    whether |u| is so small for every row that what the series leaves out is below
+    a part in 10^11."""
+
+    def __init__(self, start: Sequence[float], sums: Sequence[float], most: int) -> None:
+        size = len(start) - 1
+        self.start, self.like, self.largest, self.most = start, sums[0], sums[1 : 1 + size], most
+        self.sums = dict(zip(powers(size, most), sums[1 + size :]))
+        self.rows = self.sums[(0,) * size]
+        self.radius = EBMA_SERIES_ERROR ** (1 / most)
+
+    def holds(self, weights: Sequence[float]) -> bool:
+        change = (abs(w - s) for w, s in zip(weights, self.start))
+        return sum(c * l for c, l in zip(change, self.largest)) <= self.radius
+
+    def at(self, weights: Sequence[float]) -> tuple[float, list[float]]:
+        """(log-likelihood, mean responsibility of each model)."""
+        change = [w - s for w, s in zip(weights, self.start)][:-1]
+        like, slopes = self.like, [0.0] * len(change)
+        for exponents, total in self.sums.items():
+            order = sum(exponents)
+            if not order:
+                continue
+            ways = math.factorial(order) / math.prod(map(math.factorial, exponents))
+            factor = (-1) ** (order + 1) / order * ways * total
+            like += factor * math.prod(c**i for c, i in zip(change, exponents))
+            for m, i in enumerate(exponents):
+                if i:
+                    lower = [j - (k == m) for k, j in enumerate(exponents)]
+                    slopes[m] += factor * i * math.prod(c**j for c, j in zip(change, lower))
+        # The responsibilities of a row sum to one.
+        last = self.rows - sum(w * slope for w, slope in zip(weights, slopes))
+        return like, [w * (slope + last) / self.rows for w, slope in zip(weights, [*slopes, 0.0])]
 
 
 def fit_weights(
@@ -87,22 +154,29 @@ def fit_weights(
 ) -> tuple[list[float], int, float]:
     """Mixture weights by EM from equal ones.
 
-    Rows with the same likelihoods are first combined into one with a count.
-    A round is one aggregate over these cached rows; the weights are all that
-    reaches the driver.
+    Rows with the same likelihoods are first combined into one with a count; rows
+    without a prediction do not count. One aggregate over these cached rows serves
+    as many rounds as its power series holds for, a round at least; the rounds and
+    where they stop are those of plain EM. The sums are all that reaches the driver.
     """
     y = F.col(actual).cast("double")
     hit = [
         F.when(y == 1, clip_unit(c)).otherwise(F.lit(1.0) - clip_unit(c)).alias(f"g{i}")
         for i, c in enumerate(cols)
     ]
-    rows = df.groupBy(*hit).agg(F.count(F.lit(1)).cast("double").alias("n")).persist()
+    rows = df.groupBy(*hit).agg(F.count(F.lit(1)).cast("double").alias("n")).dropna().persist()
+    most, size = degree(len(cols)), len(cols)
+    likelihoods = [f"g{i}" for i in range(size)]
     try:
-        weights = [1.0 / len(cols)] * len(cols)
-        before = None
+        weights, before, series = [1.0 / size] * size, None, None
         for rounds in range(1, max_iter + 1):
-            got = rows.agg(*em_round([F.col(f"g{i}") for i in range(len(cols))], weights, const)).first()
-            weights, like = list(got[:-1]), got[-1]
+            if series is None or not series.holds(weights):
+                sums = list(em_sums(rows, likelihoods, weights, most).first())
+                if sums[0] is None:
+                    raise ValueError("there are no rows to weigh models on")
+                series = EmSeries(weights, sums, most)
+            like, shares = series.at(weights)
+            weights = [const / size + (1 - const) * share for share in shares]
             if before is not None and abs(like - before) < tolerance:
                 break
             change, before = like - (before or 0.0), like

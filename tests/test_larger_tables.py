@@ -4,8 +4,11 @@ threshold, hot keys."""
 import datetime
 import math
 
+import numpy as np
+
 import __spark_entry__ as entry
 from panelwright.functions.scalars import steady_sum
+from panelwright.operators import ensemble as EN
 from panelwright.operators import spatial as SP
 
 
@@ -60,3 +63,24 @@ def test_queries_are_dealt_out_by_their_number(spark, panel, monkeypatch):
     for r in out.collect():
         x, y = r.g % 20, r.g // 20
         assert abs(r.spdist - sum(sorted(math.dist((x, y), p) for p in places)[:3]) / 3) < 1e-9
+
+
+def test_rounds_of_em_share_passes(spark, monkeypatch):
+    # The rounds, weights and likelihood of plain EM, from far fewer passes.
+    rng = np.random.default_rng(3)
+    y = (rng.random(400) < 0.4).astype(float)
+    p = np.clip(np.stack([0.3 * y + 0.2 + 0.3 * rng.random(400), rng.random(400), 0.4 + 0.1 * rng.random(400)]), 0.01, 0.99)
+    g, w, before = np.where(y == 1, p, 1 - p), np.ones(3) / 3, None
+    for rounds in range(1, 10_000):
+        parts = w[:, None] * g
+        like = np.log(parts.sum(0)).sum()
+        w = (EN.EBMA_CONST / 3 + (1 - EN.EBMA_CONST) * parts / parts.sum(0)).mean(1)
+        if before is not None and abs(like - before) < 1e-6:
+            break
+        before = like
+    passes, sums = [], EN.em_sums
+    monkeypatch.setattr(EN, "em_sums", lambda *a: passes.append(1) or sums(*a))
+    df = spark.createDataFrame([(*map(float, r),) for r in np.vstack([y, p]).T], "y double, a double, b double, c double")
+    weights, got, likely = EN.fit_weights(df, ["a", "b", "c"], "y", tolerance=1e-6)
+    assert got == rounds and len(passes) < rounds / 3
+    assert np.allclose(weights, w, atol=1e-9) and abs(likely - like) < 1e-7
