@@ -10,9 +10,11 @@ that each token overlaps, which are the links.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Callable, Iterator
 from hashlib import sha256
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -35,7 +37,11 @@ SPACE = "▁"
 UNIT = re.compile(r"(?<=\S)(?= )")
 # Characters of texts per pass, units that are encoded at a time, and rows of
 # counts that are broadcast at most (some 40 bytes each).
-RUN_CHARS, PART, BROADCAST_ROWS = 2 << 20, 4096, 1 << 20
+RUN_CHARS, PART, BROADCAST_ROWS = 2 << 20, 512, 1 << 20
+# Units that a task remembers at most (some 300 bytes each), and their characters.
+REMEMBERED, LONGEST_REMEMBERED = 1 << 17, 64
+# Behind an id: in a run of one side, at its end, at the end of a group, of a unit.
+SIGNS = ",|;\n"
 
 
 def gallop(longer: np.ndarray, shorter: np.ndarray, block: int = 32) -> np.ndarray:
@@ -131,8 +137,8 @@ class Sides:
         crosses = any(SPACE in p.lstrip(SPACE) for p in map(self.pieces.id_to_piece, range(len(self.of_b))))
         self.units = None if crosses else UNIT
         self.sizes_a, self.sizes_b = (np.array(list(map(len, of)), np.int64) for of in (self.of_a, self.of_b))
-        # Decimal ids with the sign behind them, see `groups_text`.
-        self.written = [f"{i}{sign}" for i in range(max(len(self.of_a), len(self.of_b))) for sign in ",|;"]
+        # Decimal ids with the sign behind them, see `groups_texts`.
+        self.written = [f"{i}{sign}" for i in range(max(len(self.of_a), len(self.of_b))) for sign in SIGNS]
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.pieces.id_to_piece(i)
@@ -142,69 +148,125 @@ class Sides:
             return b""
         return piece.replace(SPACE, " ").encode()
 
+    def split(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(the different units of the texts, each with a space before it, the
+        code of every unit, units per text)."""
+        return coded(texts, lambda t: self.units.split(f" {t}") if self.units else [f" {t}"])
+
+    def encoded(self, units: list[str]) -> "Units":
+        # Units that end in white space, as only last ones do, might join with
+        # what follows and are encoded singly; they go last.
+        single = np.array([self.units is None or u[-1].isspace() for u in units], bool)
+        order = np.argsort(single, kind="stable")
+        units = [units[i] for i in order.tolist()]
+        data = [u.encode() for u in units]
+        many = len(units) - int(single.sum())
+        a = self._side(units, data, many, self._ids_a, self.of_a, self.sizes_a)
+        b = self._side(units, data, many, self._ids_b, self.of_b, self.sizes_b)
+        found = Units(a[0], a[1], b[0], b[1], a[2] & b[2])
+        return found.taken(np.argsort(order, kind="stable")) if single.any() else found
+
+    def _ids_a(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.bytes_tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ids_b(self, texts: list[str]) -> list[list[int]]:
+        # The model puts a space before each text, which it has already, but
+        # none before nothing: a last space is a unit of its own.
+        return [ids or [self.space] for ids in self.pieces.encode([t[1:] for t in texts], num_threads=1)]
+
+    @staticmethod
+    def _side(units: list[str], data: list[bytes], many: int, ids_of: Callable, pieces: list[bytes], sizes: np.ndarray):
+        """(ids of all units in a row, tokens of every unit, whether these give
+        the unit's bytes back and none is empty). The first `many` units are
+        encoded as texts of PART units. Where the tokens of such a text do not
+        give it back or go over the end of a unit, its units are encoded singly."""
+        ids, counts, good = [], [], np.ones(len(units), bool)
+        edges = [*range(0, many, PART), *range(many, len(units), PART), len(units)]
+        for start, stop in zip(edges, edges[1:]):
+            part = data[start:stop]
+            if start < many:
+                (found,) = ids_of(["".join(units[start:stop])])
+                row = np.array(found, np.int64)
+                # Without an empty token, the unit's last one is where it ends.
+                ends, unit_ends = np.cumsum(sizes[row]), np.cumsum(list(map(len, part)))
+                last = np.minimum(np.searchsorted(ends, unit_ends), len(ends) - 1)
+                parted = (ends[last] == unit_ends).all() and sizes[row].all()
+                if parted and b"".join([pieces[i] for i in found]) == b"".join(part):
+                    ids.append(row)
+                    counts.append(np.diff(last, prepend=-1))
+                    continue
+            lists = ids_of(units[start:stop])
+            counts.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+            ids.append(np.fromiter(chain.from_iterable(lists), np.int64, int(counts[-1].sum())))
+            good[start:stop] = [
+                b"".join([pieces[i] for i in one]) == d and all([pieces[i] for i in one]) for d, one in zip(part, lists)
+            ]
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *ids]), np.concatenate([none, *counts]), good
+
     def tokens(self, texts: list[str]) -> list[tuple | None]:
         """(ids of A, ends of A, ids of B, ends of B) of every text with a space
-        before it; None for a text whose bytes either of them does not give back.
-        Units that are alike are encoded once per call."""
-        units, codes, per_text = coded(texts, lambda t: self.units.split(f" {t}") if self.units else [f" {t}"])
-        lists_a, lists_b = [], []
-        for start in range(0, len(units), PART):
-            part = units[start : start + PART]
-            lists_a += [e.ids for e in self.bytes_tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            # The model puts a space before each unit, which it has already, but
-            # none before nothing: a last space is a unit of its own.
-            found = self.pieces.encode([u[1:] for u in part], num_threads=1)
-            lists_b += [ids or [self.space] for ids in found]
-        data = [u.encode() for u in units]
-        good = self._kept(data, lists_a, self.of_a) & self._kept(data, lists_b, self.of_b)
-        flat_a, size_a, bytes_a = self._laid_out(lists_a, codes, self.sizes_a)
-        flat_b, size_b, bytes_b = self._laid_out(lists_b, codes, self.sizes_b)
-        # Where the units and the tokens of every text begin.
-        edge = np.concatenate(([0], np.cumsum(per_text)))
-        kept = np.concatenate(([0], np.cumsum(~good[codes])))[edge]
-        a, b = size_a[edge], size_b[edge]
+        before it; None for a text whose bytes either of them does not give back."""
+        different, codes, per_text = self.split(texts)
+        units, edge = self.encoded(different), edges(per_text)
+        kept = edges(~units.good[codes])[edge]
+        sides = []
+        for ids, counts, sizes in (
+            (units.ids_a, units.counts_a, self.sizes_a),
+            (units.ids_b, units.counts_b, self.sizes_b),
+        ):
+            sides.append((of_runs(ids, counts, codes), edges(counts[codes])[edge], sizes))
         out: list = []
         for i in range(len(texts)):
             if kept[i] != kept[i + 1]:
                 out.append(None)
                 continue
-            of_a, of_b = slice(a[i], a[i + 1]), slice(b[i], b[i + 1])
-            out.append((flat_a[of_a], np.cumsum(bytes_a[of_a]), flat_b[of_b], np.cumsum(bytes_b[of_b])))
+            own = [(ids[at[i] : at[i + 1]], sizes) for ids, at, sizes in sides]
+            out.append(tuple(x for ids, sizes in own for x in (ids, np.cumsum(sizes[ids]))))
         return out
 
-    @staticmethod
-    def _kept(data: list[bytes], lists: list[list[int]], pieces: list[bytes]) -> np.ndarray:
-        """Whether the tokens of every unit give its bytes back, none empty."""
-        ids = [i for one in lists for i in one]
-        if b"".join([pieces[i] for i in ids]) == b"".join(data):
-            # All bytes in a row are the same; so are those of every unit if the
-            # ends of units agree and no token is empty.
-            sizes = np.concatenate(([0], np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))[ids])))
-            ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
-            if (np.diff(sizes) > 0).all() and (sizes[ends] == np.cumsum(list(map(len, data)))).all():
-                return np.ones(len(data), bool)
-        same = (b"".join([pieces[i] for i in ids]) == d and all([pieces[i] for i in ids]) for d, ids in zip(data, lists))
-        return np.fromiter(same, bool, len(data))
 
-    @staticmethod
-    def _laid_out(lists: list[list[int]], codes: np.ndarray, bytes_of: np.ndarray):
-        """(ids, ids up to every unit, bytes of each id) of all texts in a row."""
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids = np.fromiter((i for one in lists for i in one), np.int64, int(sizes.sum()))
-        flat = ids[ranges((np.cumsum(sizes) - sizes)[codes], sizes[codes])]
-        return flat, np.concatenate(([0], np.cumsum(sizes[codes]))), bytes_of[flat]
+class Units(NamedTuple):
+    """Tokens of different units, those of one unit after those of another."""
+
+    ids_a: np.ndarray
+    counts_a: np.ndarray  # tokens of every unit
+    ids_b: np.ndarray
+    counts_b: np.ndarray
+    good: np.ndarray  # whether both give the unit's bytes back
+
+    def taken(self, rows: np.ndarray) -> "Units":
+        a, b = of_runs(self.ids_a, self.counts_a, rows), of_runs(self.ids_b, self.counts_b, rows)
+        return Units(a, self.counts_a[rows], b, self.counts_b[rows], self.good[rows])
+
+    def kept(self) -> "Units":
+        """Without the tokens of units that are not good."""
+        a, b = np.repeat(self.good, self.counts_a), np.repeat(self.good, self.counts_b)
+        return Units(self.ids_a[a], self.counts_a * self.good, self.ids_b[b], self.counts_b * self.good, self.good)
+
 
+def edges(sizes: np.ndarray) -> np.ndarray:
+    """Where each of some runs begins that lie in a row, and the end of the last."""
+    return np.concatenate(([0], np.cumsum(sizes)))
 
-def groups_text(aligned: Alignment, ids_a: np.ndarray, ids_b: np.ndarray, written: list[str]) -> bytes:
-    """`a1,a2|b1;a3|b2,b3`: the ids of every group."""
-    side = np.repeat([0, 1], [len(ids_a), len(ids_b)])
+
+def of_runs(flat: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The runs `rows` of those that lie in a row in `flat`."""
+    return flat[ranges(edges(sizes)[rows], sizes[rows])]
+
+
+def groups_texts(aligned: Alignment, units: Units, written: list[str]) -> list[str]:
+    """`a1,a2|b1;a3|b2,b3` of every unit: the ids of every group."""
+    side = np.repeat([0, 1], [len(units.ids_a), len(units.ids_b)])
     group = np.concatenate((aligned.group_of_a, aligned.group_of_b)) * 2 + side
     order = np.argsort(group, kind="stable")
     group = group[order]
-    last = np.append(group[1:] != group[:-1], True)
-    signs = np.where(last, side[order] + 1, 0)
-    texts = (np.concatenate((ids_a, ids_b))[order] * 3 + signs).tolist()
-    return "".join([written[i] for i in texts])[:-1].encode()
+    signs = np.where(np.append(group[1:] != group[:-1], True), side[order] + 1, 0)
+    sizes = units.counts_a + units.counts_b
+    signs[np.cumsum(sizes)[sizes > 0] - 1] = SIGNS.index("\n")
+    texts = (np.concatenate((units.ids_a, units.ids_b))[order] * len(SIGNS) + signs).tolist()
+    lines = iter("".join([written[i] for i in texts]).split("\n"))
+    return [next(lines) if n else "" for n in sizes.tolist()]
 
 
 NOTHING = (0, 0, 0, 0, "", [], [])
@@ -226,25 +288,89 @@ def alignments(spark: SparkSession, text: Column, byte_path: str, piece_path: st
 
     @F.pandas_udf(ALIGNED)
     def of(runs: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        sides = Sides(*files())
+        # Tasks share the cores already; threads of a tokenizer only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        aligner = Aligner(Sides(*files()))
         for texts in runs:
             rows = [t or "" for t in texts.tolist()]
             # A frame per pass, so that the links of no whole batch are held.
             for run in batches(rows, RUN_CHARS):
-                found = sides.tokens(rows[run])
-                out = [_row(t, sides.written) if text and t else NOTHING for text, t in zip(rows[run], found)]
-                yield pd.DataFrame(out, columns=[c.split()[0] for c in ALIGNED.split(", ")])
+                yield pd.DataFrame(aligner.rows(rows[run]), columns=[c.split()[0] for c in ALIGNED.split(", ")])
 
     return of(text)
 
 
-def _row(tokens: tuple, written: list[str]) -> tuple:
-    ids_a, ends_a, ids_b, ends_b = tokens
-    aligned = align(ends_a, ends_b)
+class Aligned(NamedTuple):
+    """Different units after their alignment."""
+
+    numbers: np.ndarray  # a row per unit: is not good, tokens of A, of B, groups, links
+    pairs: np.ndarray  # of the links, unit after unit
+    lines: list[str]  # groups of every unit
+
+    def and_(self, other: "Aligned") -> "Aligned":
+        return Aligned(*(np.concatenate(x) for x in zip(self[:2], other[:2])), self.lines + other.lines)
+
+    def taken(self, rows: np.ndarray) -> "Aligned":
+        pairs = of_runs(self.pairs, self.numbers[:, 4], rows)
+        return Aligned(self.numbers[rows], pairs, [self.lines[i] for i in rows.tolist()])
+
+
+NO_UNITS = Aligned(np.zeros((0, 5), np.int64), np.zeros(0, np.int64), [])
+
+
+def aligned_units(sides: Sides, different: list[str]) -> Aligned:
+    """Tokens of both sides end where a unit does, so that no group and no link
+    goes over it and all units are aligned in a row."""
+    units = sides.encoded(different).kept()
+    aligned = align(np.cumsum(sides.sizes_a[units.ids_a]), np.cumsum(sides.sizes_b[units.ids_b]))
     at_a, at_b = aligned.links()
-    pairs, times = np.unique(pair_of(ids_a[at_a], ids_b[at_b]), return_counts=True)
-    digest = sha256(groups_text(aligned, ids_a, ids_b, written)).hexdigest()
-    return len(ids_a), len(ids_b), aligned.n_groups, len(at_a), digest, pairs, times
+    edge_a, edge_b = edges(units.counts_a), edges(units.counts_b)
+    groups = np.append(aligned.group_of_a, aligned.n_groups)[edge_a]
+    # Links lie in the order of the shorter list.
+    links = np.searchsorted(at_a, edge_a) if aligned.driver == "a" else np.searchsorted(at_b, edge_b)
+    numbers = np.column_stack((~units.good, units.counts_a, units.counts_b, np.diff(groups), np.diff(links)))
+    pairs = pair_of(units.ids_a[at_a], units.ids_b[at_b])
+    return Aligned(numbers.astype(np.int64), pairs, groups_texts(aligned, units, sides.written))
+
+
+class Aligner:
+    """Rows of texts, put together of their units. Units that a pass has more
+    than once are remembered, up to REMEMBERED; then all are forgotten."""
+
+    def __init__(self, sides: Sides) -> None:
+        self.sides, self.known, self.aligned = sides, {}, NO_UNITS
+
+    def rows(self, texts: list[str]) -> list[tuple]:
+        """A row of ALIGNED for every text."""
+        different, codes, per_text = self.sides.split(texts)
+        place = np.fromiter((self.known.get(u, -1) for u in different), np.int64, len(different))
+        fresh = np.flatnonzero(place < 0)
+        new = aligned_units(self.sides, [different[i] for i in fresh.tolist()])
+        place[fresh] = len(self.known) + np.arange(len(fresh))
+        units, own = self.aligned.and_(new), place[codes]
+        edge = edges(per_text)
+        sums = np.diff(np.concatenate((np.zeros((1, 5), np.int64), np.cumsum(units.numbers[own], axis=0)))[edge], axis=0)
+        link_edge, links = edges(units.numbers[:, 4]), units.numbers[:, 4]
+        out = []
+        for i, (text, (bad, n_a, n_b, n_groups, n_links)) in enumerate(zip(texts, sums.tolist())):
+            if not text or bad:
+                out.append(NOTHING)
+                continue
+            mine = own[edge[i] : edge[i + 1]]
+            linked = units.pairs[ranges(link_edge[mine], links[mine])]
+            digest = sha256(";".join([units.lines[c] for c in mine.tolist()]).encode()).hexdigest()
+            out.append((n_a, n_b, n_groups, n_links, digest, *np.unique(linked, return_counts=True)))
+        self._remember(different, fresh, np.bincount(codes, minlength=len(different))[fresh] > 1, new)
+        return out
+
+    def _remember(self, different: list[str], fresh: np.ndarray, again: np.ndarray, new: Aligned) -> None:
+        again &= np.fromiter((len(different[i]) <= LONGEST_REMEMBERED for i in fresh.tolist()), bool, len(fresh))
+        if len(self.known) + int(again.sum()) > REMEMBERED:
+            self.known, self.aligned = {}, NO_UNITS
+            return
+        for i in fresh[again].tolist():
+            self.known[different[i]] = len(self.known)
+        self.aligned = self.aligned.and_(new.taken(np.flatnonzero(again)))
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:

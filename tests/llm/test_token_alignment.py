@@ -124,3 +124,24 @@ def test_units_give_the_same_tokens_as_whole_texts():
     for text, x, y in zip(rows, by_units, sides.tokens(rows)):
         assert (x is None) == (y is None), text
         assert x is None or all((u == v).all() for u, v in zip(x, y)), text
+
+
+def test_repeated_units_are_encoded_once_a_task(monkeypatch):
+    from panelwright.llm import token_alignment
+
+    with open(BYTE_PATH, "rb") as a, open(PIECE_PATH, "rb") as b:
+        sides = Sides(a.read(), b.read())
+    same = lambda x, y: [(*r[:5], *map(list, r[5:])) for r in x] == [(*r[:5], *map(list, r[5:])) for r in y]
+    rows = [t or "" for t in texts()]
+    want = [token_alignment.Aligner(sides).rows([t])[0] for t in rows]
+    encode, seen = sides.encoded, []
+    monkeypatch.setattr(sides, "encoded", lambda units: seen.extend(units) or encode(units))
+    aligner = token_alignment.Aligner(sides)
+    aligner.rows(["one two one two three"])
+    assert same(aligner.rows(["two one four", "one"]), token_alignment.Aligner(sides).rows(["two one four", "one"]))
+    assert seen[:4] == [" one", " two", " three", " four"]
+    for limit in (1 << 17, 5):
+        monkeypatch.setattr(token_alignment, "REMEMBERED", limit)
+        aligner = token_alignment.Aligner(sides)
+        assert same([r for i in range(0, len(rows), 7) for r in aligner.rows(rows[i : i + 7])], want)
+        assert len(aligner.known) <= limit
