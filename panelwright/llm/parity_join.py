@@ -183,7 +183,9 @@ def _sets(text: Column, size: int) -> Column:
                 nodes = [_node(h) if len(h) else 0 for h in found]
                 yield pd.DataFrame({"node": nodes, "members": [h.view(np.int64) for h in found]})
 
-    return of(text)
+    # Else a filter on the node is moved below the join that picks the texts, and
+    # all texts are cut into shingles for it.
+    return of.asNondeterministic()(text)
 
 
 def _held(keys: DataFrame) -> DataFrame:

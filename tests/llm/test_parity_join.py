@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from panelwright.llm import parity_join
 from panelwright.llm.parity_join import Bands, most_different, similar_sets
 from panelwright.llm.shingles import pieces, shingler
 
@@ -113,3 +114,22 @@ def test_long_texts_are_split_in_pieces():
     of = shingler(4)
     assert len(of("Ab c\td e  f")) == 2 and of("AB c d e").tolist() == of("ab\nC D e").tolist()
     assert len(of("word " * 2_000_000)) == 1  # ten MB
+
+
+def test_only_texts_of_needed_sets_are_cut_into_shingles(spark, documents, monkeypatch):
+    plans, write = [], parity_join.stored
+
+    def seen(df, name):
+        if name == "sets":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(parity_join, "stored", seen)
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = parity_join.similar_sets(documents([text, f"{text} x", "a b c d e", None])).collect()
+    assert sorted(r["component_id"] for r in rows) == [0, 0, 2, 3]
+    lines = plans[0].splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    (at,) = [i for i, line in enumerate(lines) if "LeftSemi, (doc_id" in line]
+    below = next((i for i in range(at + 1, len(lines)) if depth[i] <= depth[at]), len(lines))
+    assert not any("ArrowEvalPython" in line for line in lines[at:below]), plans[0]
