@@ -117,3 +117,32 @@ def test_folds(spark):
 
     ids = spark.range(200).select("id", held_out(F.col("id"), 5, 0).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in ids)
+
+
+def test_long_rows_and_all_shards_are_learnt_from(spark, documents, monkeypatch):
+    from panelwright.llm import toxicity as module
+
+    monkeypatch.setattr(module, "SHARD_ROWS", 30)
+    monkeypatch.setattr(module, "PASS_WORDS", 8000)
+    rng = random.Random(4)
+    texts, toxic = [], [i % 2 for i in range(160)]
+    for bad in toxic:
+        words = prose(rng, 4200).split()
+        texts.append(" ".join(words + [RUDE[1]] * bad + words[:50]))
+    assert min(map(len, texts)) > 20_000
+    labels, docs = labels_of(spark, [1] * len(texts), toxic), documents(texts)
+    rows = toxicity(docs, labels).collect()
+    held = [r for r in rows if r["held_out"]]
+    assert len(held) > 20 and np.mean([r["predicted"] == toxic[r["doc_id"]] for r in held]) >= 0.95
+    # Neither the order of rows nor their partitions change a score.
+    again = toxicity(docs.orderBy(F.desc("doc_id")).repartition(3), labels).collect()
+    scores = {r["doc_id"]: r["score"] for r in rows}
+    assert all(abs(r["score"] - scores[r["doc_id"]]) < 1e-6 for r in again)
+
+
+def test_packed_keys():
+    from panelwright.llm.toxicity import keys_of, packed, unpacked
+
+    texts = ["", "one two, Three", "naïve 東京 " + "w" * 90]
+    keys, sizes = keys_of(texts)
+    assert (np.concatenate([unpacked(p) for p in packed(texts)], 1) == keys).all() and sizes[0] == 0
