@@ -63,7 +63,9 @@ def full_panel(tables: Tables) -> DataFrame:
     span = days_between(tables)
     users = tables.events.select(F.col("user_id").alias("g")).distinct()
     rows = skeleton_between(users, PANEL, span["a"], span["b"])
-    joined = rows.join(days, ["g", "t"], "left")
+    # The planner takes unfolded rows for as many as there are users, and where a
+    # filter turns this into an inner join it would send all of them to every task.
+    joined = rows.join(days.hint("merge"), ["g", "t"], "left")
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_events", "n_error", "n_purchase")]
     return joined.select("t", "g", *counts, "value_sum", "value_max")
 

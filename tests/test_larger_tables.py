@@ -10,6 +10,8 @@ import __spark_entry__ as entry
 from panelwright.functions.scalars import steady_sum
 from panelwright.operators import ensemble as EN
 from panelwright.operators import spatial as SP
+from panelwright.workload.base import Tables
+from panelwright.workload.frames import full_panel
 
 
 def events_in(folder, spark, rows):
@@ -65,6 +67,15 @@ def test_queries_are_dealt_out_by_their_number(spark, panel, monkeypatch):
         assert abs(r.spdist - sum(sorted(math.dist((x, y), p) for p in places)[:3]) / 3) < 1e-9
 
 
+def test_an_unfolded_skeleton_is_not_broadcast(spark, tmp_path):
+    # A filter on counts makes the join an inner one, either side of which may be sent.
+    folder = events_in(tmp_path, spark, [(u, u % 9, "purchase", 1.0) for u in range(50) for _ in range(3)])
+    days = full_panel(Tables(spark, folder)).filter("n_purchase >= 3")
+    assert {(r.t, r.g) for r in days.collect()} == {(u % 9, u) for u in range(50)}
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert "Inner" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_rounds_of_em_share_passes(spark, monkeypatch):
     # The rounds, weights and likelihood of plain EM, from far fewer passes.
     rng = np.random.default_rng(3)
