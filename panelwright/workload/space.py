@@ -311,16 +311,14 @@ def _(t):
     return _dummies(t)
 
 
-def _dummies(t):
-    exact = _exact(t)
-    placed = D.assemble_draws(D.draw_cells(_vague(t), exact, _area_cells(t)), exact)
+def _dummies(t, draws=D.DRAWS):
     events = user_events(t).select(
         F.col("event_id").alias("id"),
         F.when(F.col("value") < 30, 1).otherwise(2).alias("kind"),
         F.col("t").alias("month_start"),
         (F.col("t") + 2).alias("month_end"),
     )
-    return D.imputed_dummies(placed, events, {"small": 1, "large": 2})
+    return D.dummies_of_events(_vague(t), _exact(t), _area_cells(t), events, {"small": 1, "large": 2}, draws)
 
 
 @query(
@@ -333,4 +331,4 @@ def _dummies(t):
     ["users", "user_events", "full_panel"],
 )
 def _(t):
-    return D.dummies_on_skeleton(full_panel(t).select("t", "g"), _dummies(t), 3, "g", "t")
+    return D.dummies_on_skeleton(full_panel(t).select("t", "g"), _dummies(t, [3]), 3, "g", "t")

@@ -8,8 +8,10 @@ import numpy as np
 
 import __spark_entry__ as entry
 from panelwright.functions.scalars import steady_sum
+from panelwright.operators import disaggregate as D
 from panelwright.operators import ensemble as EN
 from panelwright.operators import spatial as SP
+from panelwright.operators.ranking import uniform
 from panelwright.workload.base import Tables
 from panelwright.workload.frames import full_panel
 
@@ -76,6 +78,38 @@ def test_an_unfolded_skeleton_is_not_broadcast(spark, tmp_path):
     assert "Inner" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_draws_are_combined_before_they_are_shuffled(spark, tmp_path):
+    kinds = ["error", "signup", "signup"]
+    folder = events_in(tmp_path, spark, [(i % 25, i % 9, kinds[i % 3], float(i % 60)) for i in range(90)])
+    plan = entry.queries()["imputed_dummies"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert shuffled and not any("draw#" in line.split("hashpartitioning(")[1].split(")")[0] for line in shuffled)
+
+
+def test_dummies_of_events_are_those_of_their_placed_draws(spark):
+    # Ids twice and in both sets, unknown ids, kinds and conflicts, draws of two words.
+    cells = spark.createDataFrame([(c // 4, c) for c in range(12)], "area long, cell long")
+    vague = [(i, i % 4, i % 3 if i % 7 else None, 5 + i % 5) for i in range(60)] + [(3, 3, 0, 8), (3, 1, 2, 6)]
+    vague = spark.createDataFrame(vague, "id long, area long, conflict long, month long")
+    exact = [(i, i % 3, 4 + i % 6, i % 13) for i in range(50, 90)] + [(50, 2, 6, 11)]
+    exact = spark.createDataFrame(exact, "id long, conflict long, month long, cell long")
+    events = [(i, [1, 2, 3, None][i % 4], i % 5, i % 5 + 2) for i in range(5, 85)] + [(9, 2, 4, 9), (55, 1, 1, 1)]
+    events = spark.createDataFrame(events, "id long, kind int, month_start long, month_end long")
+    kinds = {"small": 1, "large": 2}
+    placed = D.assemble_draws(D.draw_cells(vague, exact, cells, 40), exact, 40)
+    want = {}
+    joined = placed.join(events, "id").withColumn("u", uniform("id", "draw", "kind", 1))
+    for r in joined.collect():
+        month = r.month_start + math.floor(r.u * (r.month_end - r.month_start + 1))
+        want.setdefault((r.draw, r.cell, month), set()).add(r.kind)
+    want = {k: tuple(max((int(v == c) for v in s if v), default=None) for c in (1, 2)) for k, s in want.items()}
+    for got in (D.dummies_of_events(vague, exact, cells, events, kinds, 40), D.imputed_dummies(placed, events, kinds)):
+        rows = got.collect()
+        assert {(r.draw, r.cell, r.month): (r.dummy_small, r.dummy_large) for r in rows} == want and len(rows) == len(want)
+    some = {tuple(r) for r in D.dummies_of_events(vague, exact, cells, events, kinds, [3, 36]).collect()}
+    assert some == {(*k, *v) for k, v in want.items() if k[0] in (3, 36)}
+
+
 def test_rounds_of_em_share_passes(spark, monkeypatch):
     # The rounds, weights and likelihood of plain EM, from far fewer passes.
     rng = np.random.default_rng(3)
