@@ -247,7 +247,7 @@ def coarse_grid(
 # before it is split further; buckets of the first level, over all slices, that
 # every task may get; and queries of a task.
 FIRST_BUCKETS, LAST_PLACES = 32, 8
-SENT_BUCKETS, TASK_QUERIES = 100_000, 50_000
+SENT_BUCKETS, TASK_QUERIES = 100_000, 20_000
 
 
 def _tree(points: DataFrame, slices: Sequence[str], dims: Sequence[str], side: float, levels: int, fan: int, origin: Sequence[float]) -> list[DataFrame]:

@@ -69,6 +69,14 @@ def test_queries_are_dealt_out_by_their_number(spark, panel, monkeypatch):
         assert abs(r.spdist - sum(sorted(math.dist((x, y), p) for p in places)[:3]) / 3) < 1e-9
 
 
+def test_a_task_has_few_queries(spark):
+    # Of a query three points in space and time keep a score of buckets.
+    queries = spark.range(200_000).selectExpr("id AS i", "id % 7 + 0e0 AS x", "id % 5 + 0e0 AS y", "9e0 AS z")
+    points = spark.createDataFrame([(x + 0.5, 2.0, 1.0) for x in range(5)], "x double, y double, z double")
+    out = SP.nearest_distance(queries, points, ["i"], ["x", "y", "z"], k=3, cell=1.0, causal="z")
+    assert "10), REPARTITION_BY_NUM" in out._jdf.queryExecution().toString()
+
+
 def test_an_unfolded_skeleton_is_not_broadcast(spark, tmp_path):
     # A filter on counts makes the join an inner one, either side of which may be sent.
     folder = events_in(tmp_path, spark, [(u, u % 9, "purchase", 1.0) for u in range(50) for _ in range(3)])
